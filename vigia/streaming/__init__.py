@@ -1,0 +1 @@
+"""Empty on purpose: the work covered here is batch only, with no stream source, watermark or state."""
