@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,9 +27,9 @@ from vigia.operators.split import split_bucket
 from vigia.plans import etl, models, views
 from vigia.plans.reports import SEX_RATIO, dataset, find_report
 from vigia.sources.landing import audit, count_lines, land_snapshot
-from vigia.sources.readers import read_cases, read_csv, read_latest
+from vigia.sources.readers import read_cases, read_csv, read_json_lines, read_latest
 from vigia.sources.scratch import scratch_path
-from vigia.sources.writers import publish, save_if_any, write_cases, write_csv
+from vigia.sources.writers import publish, save_if_any, write_cases, write_csv, write_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -442,20 +442,20 @@ def landing_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of the ETL stages, counted within the one write of its result."""
-    seen = {name: Observation(name) for name in ("leidos", "limpios", "enriquecidos")}
-
-    def count(df: DataFrame, name: str) -> DataFrame:
-        return df.observe(seen[name], F.count(F.lit(1)).alias("rows"))
-
-    raw = count(raw_cases(spark, sf_dir), "leidos")
-    clean = count(etl.clean_cases(raw), "limpios")
-    enriched = count(
-        etl.with_department(clean, star.departments(spark, sf_dir), {}, {}), "enriquecidos"
+    """Rows after landing, cleaning and enrichment, each counted in the files of its stage."""
+    landed = land_snapshot(raw_cases(spark, sf_dir), scratch_path(spark, "raw"), "api/casos")
+    raw = read_json_lines(spark, landed, RAW_CASE_SCHEMA)
+    clean_path = scratch_path(spark, "clean")
+    clean_rows = write_parquet(etl.clean_cases(raw), clean_path)
+    enriched = etl.with_department(
+        spark.read.parquet(clean_path), star.departments(spark, sf_dir), {}, {}
+    )
+    enriched_rows = write_cases(etl.derive_cases(enriched, VOCABULARY), scratch_path(spark, "trusted"))
+    written = spark.createDataFrame(
+        [("limpios", clean_rows), ("enriquecidos", enriched_rows)], "etapa string, registros bigint"
     )
-    write_cases(etl.derive_cases(enriched, VOCABULARY), scratch_path(spark, "stages"))
-    rows = [(name, observation.get["rows"]) for name, observation in seen.items()]
-    return spark.createDataFrame(rows, "etapa string, registros bigint")
+    lines = count_lines(spark, landed, header_lines=0).agg(F.sum("registros").alias("registros"))
+    return lines.select(F.lit("leidos").alias("etapa"), "registros").unionByName(written)
 
 
 def case_sample(spark: SparkSession, sf_dir: str) -> DataFrame:

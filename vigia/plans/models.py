@@ -105,6 +105,15 @@ def prepare_cases(df: DataFrame) -> DataFrame:
     )
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out evenly to as many tasks as the cluster has cores.
+
+    A fit passes over its rows some hundred times, so a few large or uneven input files would keep
+    most cores idle in each pass.
+    """
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def label_counts(df: DataFrame) -> DataFrame:
     return df.groupBy("label").agg(F.count(F.lit(1)).alias("casos"))
 
@@ -168,7 +177,7 @@ def _classify(
     used = list(dict.fromkeys(["id_caso", *categories, *numbers, *output, "label"]))
     train, test = hash_split(df.select(*used), "id_caso", TRAIN_PERCENT, seed)
     pipeline = Pipeline(stages=[_index(categories), *last])
-    with _cached(train.select(*categories, *numbers, "label")) as rows:
+    with _cached(_spread(train.select(*categories, *numbers, "label"))) as rows:
         model = pipeline.fit(rows)
     predictions = model.transform(test)
     return Fitted(

@@ -1,7 +1,7 @@
 """The batch job: etl, analytics, models, publish, gated in this order.
 
 A stage that fails stops the run; only the models are optional.  Each written dataset leaves a row
-in the audit, with its row count taken from the write itself.
+in the audit, with the rows counted in the written files.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ from vigia.plans.reports import (
     dataset,
 )
 from vigia.sources.readers import read_cases, read_latest
-from vigia.sources.writers import publish, save_if_any, save_result, write_cases
+from vigia.sources.writers import publish, save_if_any, save_result, write_cases, write_parquet
 
 # The datasets that become warehouse tables.
 PUBLISHED = ("temporal_mensual", "geografia_departamentos", "dashboard_kpis")
@@ -128,7 +128,7 @@ def write_rollups(cases: DataFrame, zones: Zones, vocabulary: Vocabulary) -> dic
         keys = [k for k in wanted if k in cases.columns]
         summed = rollup(cases, keys, vocabulary)
         path = f"{zones.analytics}/rollup_{label}.parquet"
-        summed.write.mode("overwrite").parquet(path)
+        write_parquet(summed, path)
         result[wanted] = spark.read.schema(summed.schema).parquet(path)
     return result
 

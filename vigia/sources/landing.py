@@ -8,22 +8,21 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigia.sources.writers import write_observed
 
-
-def land_snapshot(df: DataFrame, zone: str, dataset: str, at: datetime | None = None) -> int:
-    """Write the rows as JSON lines below ``<zone>/<dataset>/snapshot=<time>``; returns their number."""
+def land_snapshot(df: DataFrame, zone: str, dataset: str, at: datetime | None = None) -> str:
+    """Write the rows as JSON lines below ``<zone>/<dataset>/snapshot=<time>``; returns that folder."""
     stamp = (at or datetime.now(timezone.utc)).strftime("%Y%m%d_%H%M%S")
     target = f"{zone.rstrip('/')}/{dataset}/snapshot={stamp}"
-    return write_observed(df, lambda d: d.write.mode("errorifexists").json(target))
+    df.write.mode("errorifexists").json(target)
+    return target
 
 
 def land_tables(tables: Mapping[str, DataFrame], zone: str, prefix: str = "",
                 at: datetime | None = None) -> DataFrame:
-    """Land several tables; returns (dataset, rows)."""
-    rows = [(name, land_snapshot(df, zone, f"{prefix}{name}", at)) for name, df in tables.items()]
+    """Land several tables; returns (dataset, registros) counted in the landed files."""
     spark = next(iter(tables.values())).sparkSession
-    return spark.createDataFrame(rows, "dataset string, rows bigint")
+    folders = {name: land_snapshot(df, zone, f"{prefix}{name}", at) for name, df in tables.items()}
+    return audit({name: count_lines(spark, folder, header_lines=0) for name, folder in folders.items()})
 
 
 def count_lines(spark: SparkSession, path: str, header_lines: int = 1) -> DataFrame:

@@ -4,37 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
-def write_observed(df: DataFrame, write, name: str = "rows") -> int:
-    """Run ``write(df)`` and return the rows it wrote, counted within the same job."""
-    observation = Observation(name)
-    write(df.observe(observation, F.count(F.lit(1)).alias("rows")))
-    return observation.get["rows"]
+def write_parquet(df: DataFrame, path: str, by: Sequence[str] = ()) -> int:
+    """Overwrite a parquet folder; returns its rows.
+
+    The rows are counted from the footers of the written files.  That reads no data, and unlike a
+    counter kept while writing it stays right when tasks run again after an executor is lost.
+    """
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(*by) if by else writer).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).count()
 
 
 def write_cases(df: DataFrame, root: str, by: Sequence[str] = ("anio_reporte", "mes_reporte"),
                 replace_only_present: bool = False) -> int:
-    """Parquet partitioned by report year and month; returns the rows written.
+    """Parquet partitioned by report year and month; returns the rows of the whole dataset.
 
     REBALANCE brings the rows of a month together, so that a month does not end in one small file
     per task, and adaptive execution cuts a month that is far larger than the others into several
     files.  ``replace_only_present`` keeps the partitions the new data does not touch.
     """
+    writer = df.hint("rebalance", *by).write.mode("overwrite")
     mode = "dynamic" if replace_only_present else "static"
-
-    def write(rows: DataFrame) -> None:
-        (
-            rows.write.mode("overwrite")
-            .option("partitionOverwriteMode", mode)
-            .partitionBy(*by)
-            .parquet(root)
-        )
-
-    return write_observed(df.hint("rebalance", *by), write)
+    writer.option("partitionOverwriteMode", mode).partitionBy(*by).parquet(root)
+    return df.sparkSession.read.schema(df.schema).parquet(root).count()
 
 
 def flat_columns(df: DataFrame) -> list[str]:
@@ -61,7 +57,7 @@ def save_result(df: DataFrame, folder: str, name: str, single_file: bool = True)
     results; pass ``False`` for a result with one row per case.
     """
     target = f"{folder.rstrip('/')}/{name}"
-    rows = write_observed(df, lambda d: d.write.mode("overwrite").parquet(f"{target}.parquet"))
+    rows = write_parquet(df, f"{target}.parquet")
     written = df.sparkSession.read.schema(df.schema).parquet(f"{target}.parquet")
     flat = written.select(*flat_columns(written))
     if single_file:
