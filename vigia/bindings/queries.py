@@ -14,7 +14,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigia.bindings import star
-from vigia.bindings.star import LINE_ORDER, THRESHOLDS, VOCABULARY, case_fact, raw_cases, table
+from vigia.bindings.star import (
+    LINE_ORDER,
+    THRESHOLDS,
+    VOCABULARY,
+    case_fact,
+    order_rollup,
+    raw_cases,
+    report_source,
+    table,
+)
 from vigia.functions.dates import days_between, parse_date, period_label, week_start
 from vigia.functions.measures import age_in_years, bucket_label
 from vigia.functions.text import canonical_name, fold_text, pad_code
@@ -22,7 +31,7 @@ from vigia.model import DATE_COLUMNS, RAW_CASE_SCHEMA
 from vigia.operators.dedup import keep_first
 from vigia.operators.integrity import duplicate_keys, key_report
 from vigia.operators.lookup import coverage, join_any, join_first_match
-from vigia.operators.report import Report, required_columns
+from vigia.operators.report import rollup, state_columns
 from vigia.operators.split import split_bucket
 from vigia.plans import etl, models, views
 from vigia.plans.reports import SEX_RATIO, dataset, find_report
@@ -47,15 +56,14 @@ def rounded(df: DataFrame) -> DataFrame:
 
 # --- result datasets -------------------------------------------------------------------------
 
-def _columns_of(name: str, report: Report | None = None) -> list[str]:
+def _source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name == SEX_RATIO:
-        return ["grupo_edad", "sexo"]
-    return required_columns(report or find_report(name), VOCABULARY)
+        return case_fact(spark, sf_dir, ["grupo_edad", "sexo"])
+    return report_source(spark, sf_dir, find_report(name))
 
 
 def _dataset(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    fact = case_fact(spark, sf_dir, _columns_of(name))
-    return dataset(fact, name, THRESHOLDS, VOCABULARY)
+    return dataset(_source(spark, sf_dir, name), name, THRESHOLDS, VOCABULARY)
 
 
 def _dataset_query(name: str) -> Query:
@@ -66,10 +74,8 @@ def _plain_query(name: str) -> Query:
     """The dataset on cases without enrichment."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        report = find_report(name)
-        plain = report.fallback if report.fallback is not None else report
-        fact = case_fact(spark, sf_dir, _columns_of(name, plain))
-        return rounded(dataset(fact, name, THRESHOLDS, VOCABULARY))
+        plain = find_report(name).fallback
+        return rounded(dataset(report_source(spark, sf_dir, plain), name, THRESHOLDS, VOCABULARY))
 
     return run
 
@@ -333,9 +339,25 @@ def duplicate_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- views -----------------------------------------------------------------------------------
 
+VIEW_KEYS = ("nombre_departamento", "region", "poblacion_departamento", "nombre_municipio")
+
+
 def _view(build: Callable[..., DataFrame], *names: str) -> Query:
+    """A view over datasets.
+
+    Several datasets are taken from one roll-up written to the shared folder, so that the cases are
+    read once, as they are when the datasets have been published.
+    """
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return rounded(build(*[_dataset(spark, sf_dir, name) for name in names]))
+        if len(names) == 1:
+            return rounded(build(_dataset(spark, sf_dir, names[0])))
+        states = list(state_columns(VOCABULARY))
+        summed = rollup(order_rollup(spark, sf_dir, VIEW_KEYS, states), VIEW_KEYS, VOCABULARY)
+        path = scratch_path(spark, "view")
+        write_parquet(summed, path)
+        source = spark.read.schema(summed.schema).parquet(path)
+        return rounded(build(*[dataset(source, name, THRESHOLDS, VOCABULARY) for name in names]))
 
     return run
 

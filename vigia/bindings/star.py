@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from vigia.functions.measures import age_in_years
 from vigia.model import CASE_COLUMNS, Thresholds, Vocabulary
 from vigia.operators.lookup import lookup
+from vigia.operators.report import Report, mentions, required_columns, state_columns, with_states
 from vigia.plans.etl import derived_columns, hospital_capacity
 
 VOCABULARY = Vocabulary(
@@ -79,8 +80,23 @@ _DERIVED_FROM = {
 }
 
 
+# Declared, so that planning a query needs no job that looks for the schema.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def departments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,6 +155,50 @@ def _closure(columns: Iterable[str]) -> list[str]:
     return [c for c in CASE_COLUMNS if c in wanted]
 
 
+def _customer_side(spark: SparkSession, sf_dir: str, tables: set[str]) -> DataFrame:
+    """Customers with as much of nation and hospitals as asked for."""
+    customer = table(spark, sf_dir, "customer")
+    if "nation" in tables:
+        nations = departments(spark, sf_dir).select(
+            "id_departamento",
+            F.col("nombre_departamento").alias("n_name"),
+            F.col("poblacion_2020").alias("poblacion_departamento"),
+            "densidad_poblacional",
+            "region",
+        )
+        customer = lookup(customer, nations, F.col("c_nationkey"), "id_departamento")
+    if "supplier" in tables:
+        capacity = hospital_capacity(hospitals(spark, sf_dir))
+        customer = lookup(customer, capacity, F.col("c_custkey"), "id_municipio")
+    return customer
+
+
+def _order_side(spark: SparkSession, sf_dir: str, tables: set[str]) -> DataFrame:
+    """Orders with their customer, if asked for."""
+    orders = table(spark, sf_dir, "orders")
+    if not tables & {"customer", "nation", "supplier"}:
+        return orders
+    customer = _customer_side(spark, sf_dir, tables)
+    return orders.join(customer, orders["o_custkey"] == customer["c_custkey"], "left")
+
+
+def _with_part(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
+    part = table(spark, sf_dir, "part")
+    return lines.join(part, lines["l_partkey"] == part["p_partkey"], "left")
+
+
+def _tables(columns: Iterable[str]) -> set[str]:
+    return {t for c in columns for t in _COLUMNS[c][0]}
+
+
+def _with_derived(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Add the derived columns among ``columns``; the age first, as the age group builds on it."""
+    derived = derived_columns(VOCABULARY)
+    if "edad_anios" in columns:
+        df = df.withColumn("edad_anios", age_in_years(F.col("edad"), F.col("unidad_edad")))
+    return df.withColumns({c: derived[c] for c in columns if c in derived})
+
+
 def case_fact(
     spark: SparkSession,
     sf_dir: str,
@@ -147,38 +207,98 @@ def case_fact(
 ) -> DataFrame:
     """Cases with the given columns; ``lines`` replaces the line items, e.g. deduplicated ones."""
     columns = list(columns)
-    stored = [c for c in _closure(columns) if c in _COLUMNS]
-    tables = {t for c in stored for t in _COLUMNS[c][0]}
+    wanted = _closure(columns)
+    stored = [c for c in wanted if c in _COLUMNS]
+    tables = _tables(stored)
     fact = table(spark, sf_dir, "lineitem") if lines is None else lines
-    if tables & {"orders", "customer", "nation", "supplier"}:
-        orders = table(spark, sf_dir, "orders")
-        if tables & {"customer", "nation", "supplier"}:
-            customer = table(spark, sf_dir, "customer")
-            if "nation" in tables:
-                nations = departments(spark, sf_dir).select(
-                    "id_departamento",
-                    F.col("nombre_departamento").alias("n_name"),
-                    F.col("poblacion_2020").alias("poblacion_departamento"),
-                    "densidad_poblacional",
-                    "region",
-                )
-                customer = lookup(customer, nations, F.col("c_nationkey"), "id_departamento")
-            if "supplier" in tables:
-                capacity = hospital_capacity(hospitals(spark, sf_dir))
-                customer = lookup(customer, capacity, F.col("c_custkey"), "id_municipio")
-            orders = orders.join(customer, orders["o_custkey"] == customer["c_custkey"], "left")
+    if tables - {"part"}:
+        orders = _order_side(spark, sf_dir, tables)
         fact = fact.join(orders, fact["l_orderkey"] == orders["o_orderkey"], "left")
     if "part" in tables:
-        part = table(spark, sf_dir, "part")
-        fact = fact.join(part, fact["l_partkey"] == part["p_partkey"], "left")
-
+        fact = _with_part(spark, sf_dir, fact)
     fact = fact.select(*[F.expr(_COLUMNS[c][1]).alias(c) for c in stored])
-    derived = {"edad_anios": age_in_years(F.col("edad"), F.col("unidad_edad")), **derived_columns(VOCABULARY)}
-    # The age feeds the age group, hence two steps.
-    for step in (("edad_anios",), tuple(d for d in derived if d != "edad_anios")):
-        wanted = _closure(columns)
-        fact = fact.withColumns({c: derived[c] for c in step if c in wanted})
-    return fact.select(*columns)
+    return _with_derived(fact, wanted).select(*columns)
+
+
+# Columns that have one value per order, and the states that follow from them.
+ORDER_COLUMNS = frozenset(
+    c for c, (tables, text) in _COLUMNS.items() if tables and "part" not in tables and "l_" not in text
+) | {"anio_reporte", "mes_reporte", "semana_reporte", "recuperado_flag"}
+_LINE_STATES = {
+    "st_cases": (), "st_deaths": ("estado", "fallecido"), "st_severe": ("estado",),
+    "st_age_sum": ("edad_anios",), "st_age_n": ("edad_anios",),
+}
+_ORDER_STATES = {"st_recovered": ("recuperado", "recuperado_flag")}
+_CUSTOMER_STATES = {
+    "st_hospital": ("ubicacion",),
+    "st_density_sum": ("densidad_poblacional",), "st_density_n": ("densidad_poblacional",),
+}
+
+
+def _stored(columns: Iterable[str]) -> list[str]:
+    return [c for c in _closure(columns) if c in _COLUMNS]
+
+
+def _add(df: DataFrame, columns: Iterable[str], keep: Iterable[str]) -> DataFrame:
+    """Project ``keep`` and the given case columns, those they derive from included."""
+    columns = list(columns)
+    stored = [F.expr(_COLUMNS[c][1]).alias(c) for c in _stored(columns)]
+    return _with_derived(df.select(*keep, *stored), _closure(columns))
+
+
+def order_rollup(
+    spark: SparkSession, sf_dir: str, columns: Iterable[str], states: Iterable[str]
+) -> DataFrame:
+    """Sums of the states by order or by customer, for reports whose columns are all of these.
+
+    The line items are summed by order before they meet the orders, and the orders by customer
+    before they meet the customers if no column of the order itself is asked for.  The joins need
+    the same exchanges by these keys, so the sums add none: each task first folds its rows of a key
+    into one, and a key that holds a large share of all rows crosses the network once per task.
+    """
+    columns, states = list(columns), list(states)
+    definitions = state_columns(VOCABULARY)
+
+    def of(level: dict[str, tuple[str, ...]]) -> tuple[list[str], list[str]]:
+        names = [s for s in level if s in states or s == "st_cases"]  # the others multiply it
+        return names, sorted({c for s in names for c in level[s]})
+
+    def scaled(names: list[str]) -> dict[str, Column]:
+        """A state that is the same for all cases of the row, times their number."""
+        return {s: F.expr(definitions[s]) * F.col("st_cases") for s in names}
+
+    sums, inputs = of(_LINE_STATES)
+    lines = table(spark, sf_dir, "lineitem")
+    if "part" in _tables(_stored(inputs)):
+        lines = _with_part(spark, sf_dir, lines)
+    lines = with_states(_add(lines, inputs, ["l_orderkey"]), VOCABULARY, sums)
+    df = lines.groupBy("l_orderkey").agg(*[F.sum(s).alias(s) for s in sums])
+
+    names, inputs = of(_ORDER_STATES)
+    own = [c for c in columns if _tables(_stored([c])) == {"orders"}]
+    orders = table(spark, sf_dir, "orders")
+    df = df.join(orders, df["l_orderkey"] == orders["o_orderkey"], "left")
+    df = _add(df, sorted({*own, *inputs}), ["o_custkey", *sums]).withColumns(scaled(names))
+    sums += names
+    names, inputs = of(_CUSTOMER_STATES)
+    rest = [c for c in columns if c not in own]
+    if rest or names:
+        if not own:
+            df = df.groupBy("o_custkey").agg(*[F.sum(s).alias(s) for s in sums])
+        customer = _customer_side(spark, sf_dir, _tables(_stored([*rest, *inputs])))
+        df = df.join(customer, df["o_custkey"] == customer["c_custkey"], "left")
+        df = _add(df, sorted({*rest, *inputs}), [*own, *sums]).withColumns(scaled(names))
+        sums += names
+    return df.select(*columns, *sums)
+
+
+def report_source(spark: SparkSession, sf_dir: str, report: Report) -> DataFrame:
+    """What a report runs on: order sums where its columns allow, else cases."""
+    texts = report.texts()
+    columns = mentions(texts, CASE_COLUMNS)
+    if columns and set(columns) <= ORDER_COLUMNS:
+        return order_rollup(spark, sf_dir, columns, mentions(texts, state_columns(VOCABULARY)))
+    return case_fact(spark, sf_dir, required_columns(report, VOCABULARY))
 
 
 # Total order of the line items that share a case id.

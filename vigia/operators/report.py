@@ -13,7 +13,7 @@ import re
 from collections.abc import Iterable, Mapping
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigia.model import CASE_COLUMNS, Thresholds, Vocabulary
@@ -70,7 +70,8 @@ class Report:
         return texts + [t for t in (self.where,) if t]
 
 
-def _mentions(texts: Iterable[str], names: Iterable[str]) -> list[str]:
+def mentions(texts: Iterable[str], names: Iterable[str]) -> list[str]:
+    """Those of ``names`` that occur as words in the texts."""
     words = set(re.findall(r"\w+", " ".join(texts)))
     return [n for n in names if n in words]
 
@@ -79,8 +80,8 @@ def required_columns(report: Report, vocabulary: Vocabulary = Vocabulary()) -> l
     """Case columns a report reads, those behind its states included."""
     states = state_columns(vocabulary)
     texts = report.texts()
-    texts += [states[s] for s in _mentions(texts, states)]
-    return _mentions(texts, CASE_COLUMNS)
+    texts += [states[s] for s in mentions(texts, states)]
+    return mentions(texts, CASE_COLUMNS)
 
 
 def with_states(df: DataFrame, vocabulary: Vocabulary, only: Iterable[str] | None = None) -> DataFrame:
@@ -90,7 +91,7 @@ def with_states(df: DataFrame, vocabulary: Vocabulary, only: Iterable[str] | Non
     return df.withColumns({
         s: F.expr(text)
         for s, text in wanted.items()
-        if s in names and set(_mentions([text], CASE_COLUMNS)) <= set(df.columns)
+        if s in names and set(mentions([text], CASE_COLUMNS)) <= set(df.columns)
     })
 
 
@@ -117,15 +118,18 @@ def _ordering(order: Iterable[str], keys: Iterable[str]) -> list:
     return [F.col(c).desc_nulls_last() if down else F.col(c).asc_nulls_first() for c, down in columns]
 
 
-def top_keys(df: DataFrame, key: str, measure: str, number: int) -> DataFrame:
-    """The ``number`` values of ``key`` with the largest sum of ``measure``, ties by key."""
-    return (
-        df.groupBy(key)
-        .agg(F.sum(measure).alias("__total"))
-        .orderBy(F.col("__total").desc(), F.col(key).asc_nulls_first())
-        .limit(number)
-        .select(key)
-    )
+def within_top(df: DataFrame, key: str, measure: str, number: int) -> DataFrame:
+    """Rows of the ``number`` values of ``key`` with the largest sum of ``measure``, ties by key.
+
+    A NULL key takes its place among them and is left out after that, as ``key IN (top keys)``
+    does.  A semi join with the top keys would plan the input twice; here it is one pass, and the
+    rank limit cuts the rows of each task to its own top keys before they meet in one.
+    """
+    total = F.sum(measure).over(Window.partitionBy(key))
+    place = F.dense_rank().over(Window.orderBy(F.col("__total").desc(), F.col(key).asc_nulls_first()))
+    ranked = df.withColumn("__total", total).withColumn("__place", place)
+    kept = ranked.filter((F.col("__place") <= number) & F.col(key).isNotNull())
+    return kept.drop("__total", "__place")
 
 
 def run_report(
@@ -135,9 +139,9 @@ def run_report(
     vocabulary: Vocabulary = Vocabulary(),
 ) -> DataFrame | None:
     """Plan a report on cases or on a roll-up of them; ``None`` if it is optional and cannot run."""
-    states = _mentions(report.texts(), state_columns(vocabulary))
+    states = mentions(report.texts(), state_columns(vocabulary))
     rows = with_states(df, vocabulary, states)
-    needed = [*_mentions(report.texts(), CASE_COLUMNS), *states]
+    needed = [*mentions(report.texts(), CASE_COLUMNS), *states]
     if not set(needed) <= set(rows.columns):
         if report.fallback is not None:
             return run_report(df, report.fallback, thresholds, vocabulary)
@@ -159,7 +163,7 @@ def run_report(
         result = result.filter(report.having.format(**values))
     if report.top:
         key, measure, number = report.top
-        result = result.join(top_keys(result, key, measure, values[number]), key, "left_semi")
+        result = within_top(result, key, measure, values[number])
     for name, text in report.derived.items():
         result = result.withColumn(name, F.expr(text.format(**values)))
     if report.keep:
