@@ -68,7 +68,7 @@ def join_any(
         (F.col("__probe.probe_kind") == F.col("__kind")) & (F.col("__probe.probe_key") == F.col("__key")),
         "left",
     )
-    also_by_code = (F.col("__kind") == "N") & F.col("__entry.__dim_code").eqNullSafe(F.col("__code"))
+    also_by_code = (F.col("__kind") == "N") & (F.col("__entry.__dim_code") == F.col("__code"))
     kept = matched.filter(~F.coalesce(also_by_code, F.lit(False)))
     return kept.select(*df.columns, *[F.col(f"__entry.{c}").alias(c) for c in payload])
 
