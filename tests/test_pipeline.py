@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from tests.conftest import raw_row, table_rows, write_json_array
 from vigia.__main__ import main
 from vigia.model import Thresholds
-from vigia.plans import models, pipeline
+from vigia.plans import models, pipeline, views
 from vigia.plans.pipeline import Settings, Zones, run_all, run_analytics, run_etl
 from vigia.plans.reports import DATASETS
 from vigia.sources.landing import land_tables
@@ -67,6 +67,22 @@ def test_rollups_write_what_the_cases_say(spark, zones, tmp_path):
         assert table_rows(left.select(*columns)) == table_rows(right.select(*columns)), name
 
 
+def test_written_datasets_are_queried_by_sql(spark, zones, tmp_path):
+    run_etl(spark, zones, SETTINGS)
+    other = Zones(zones.raw, zones.trusted, str(tmp_path))
+    run_analytics(spark, other, SETTINGS, names=[
+        "dashboard_kpis", "geografia_departamentos", "geografia_regiones", "temporal_mensual",
+        "geografia_municipios_top50", "sql_ranking_departamentos"])
+    names = views.register(spark, other.analytics)
+    assert len(names) == 11 and all(spark.table(name).count() > 0 for name in names)
+    rows = spark.sql("SELECT * FROM vista_consolidada WHERE region = :region ORDER BY total_casos DESC LIMIT 2",
+                     args={"region": "Andina"}).collect()
+    assert len(rows) == 2 and {r.casos_nacional for r in rows} == {400}
+    assert spark.sql("SELECT * FROM ranking_departamentos ORDER BY ranking LIMIT 20").first().ranking == 1
+    for name in names:
+        spark.catalog.dropTempView(name)
+
+
 def test_missing_dimensions_leave_cases_plain(spark, zones, tmp_path):
     write_json_array(tmp_path / "raw" / "api" / "casos" / "1.json", list(raw_records(60)))
     plain = Zones(str(tmp_path / "raw"), str(tmp_path / "trusted"), str(tmp_path / "refined"))

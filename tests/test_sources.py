@@ -101,6 +101,8 @@ def test_results_as_parquet_and_csv(spark, tmp_path):
     assert len(list((tmp_path / "r.csv").glob("part-*.csv"))) == 1
     assert table_rows(read_csv(spark, str(tmp_path / "r.csv"))) == [(" b", "2"), ("a ", "1")]
     assert spark.read.parquet(str(tmp_path / "r.parquet")).columns == df.columns
+    save_result(spark.range(0, 100, 1, 4), str(tmp_path), "many", single_file_rows=99)
+    assert len(list((tmp_path / "many.csv").glob("part-*.csv"))) > 1
 
 
 def test_absent_and_empty_results_are_not_written(spark, tmp_path):

@@ -71,7 +71,7 @@ class Settings:
     first_match: bool = False       # department by code, else name, instead of either
     extra_reports: bool = False
     use_rollups: bool = True
-    parallel: int = 4               # results written at the same time
+    parallel: int = 8               # results or models worked on at the same time
     trees: int = models.MORTALITY_TREES
 
 
@@ -145,7 +145,11 @@ def run_analytics(spark: SparkSession, zones: Zones, settings: Settings = Settin
         source = rollups.get(ROLLUP_OF.get(name), cases)
         result = dataset(source, name, settings.thresholds, settings.vocabulary)
         target = "sql_edad_departamento" if name == "sql_edad_region" and "region" not in cases.columns else name
-        return target, save_if_any(result, zones.analytics, target)
+        if result is None:
+            return target, None
+        # Only the regions have an empty stand-in; any other result is written as it is.
+        save = save_if_any if name == "geografia_regiones" else save_result
+        return target, save(result, zones.analytics, target)
 
     with ThreadPoolExecutor(settings.parallel) as pool:
         for name, rows in pool.map(run, names):
@@ -159,16 +163,20 @@ def run_models(spark: SparkSession, zones: Zones, settings: Settings = Settings(
     audit = audit or Audit()
     cases = models.prepare_cases(read_cases(spark, zones.cases))
     vocabulary, thresholds = settings.vocabulary, settings.thresholds
-    mortality = models.mortality_model(cases, trees=settings.trees)
-    severity = models.severity_model(cases, vocabulary, trees=settings.trees)
-    hospital = models.hospitalization_model(cases, vocabulary)
+    with ThreadPoolExecutor(settings.parallel) as pool:
+        fits = (
+            pool.submit(models.mortality_model, cases, trees=settings.trees),
+            pool.submit(models.severity_model, cases, vocabulary, trees=settings.trees),
+            pool.submit(models.hospitalization_model, cases, vocabulary),
+        )
+        mortality, severity, hospital = (fit.result() for fit in fits)
     by_case = {
         "predictions_mortality": mortality.predictions,
         "predictions_severity": severity.predictions,
         "predictions_hospitalization": hospital.predictions,
     }
     for name, df in by_case.items():
-        audit.add("models", name, save_result(df, zones.models, name, single_file=False))
+        audit.add("models", name, save_result(df, zones.models, name, single_file_rows=0))
     if hospital.warning:
         audit.add("models", "predictions_hospitalization", None, "warning", hospital.warning)
     for members_name, profile_name, clustered in (

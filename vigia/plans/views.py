@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vigia.functions.dates import period_label
@@ -39,6 +39,39 @@ def _largest(df: DataFrame, measure: str, keys: Sequence[str], limit: int | None
     return ordered if limit is None else ordered.limit(limit)
 
 
+# Names under which the datasets and views are queried by SQL.
+PUBLISHED_NAMES = (
+    "dashboard_kpis", "geografia_departamentos", "geografia_regiones", "temporal_mensual",
+    "geografia_municipios_top50",
+)
+
+
+def register(spark: SparkSession, folder: str) -> list[str]:
+    """Temporary views over the written datasets, so that every query of the service runs as SQL.
+
+    ``folder`` is the analytics folder of a run with enrichment; returns the names registered.
+    """
+    written = {
+        name: spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+        for name in (*PUBLISHED_NAMES, "sql_ranking_departamentos")
+    }
+    by_department, by_region = written["geografia_departamentos"], written["geografia_regiones"]
+    by_month, summary = written["temporal_mensual"], written["dashboard_kpis"]
+    # View names.
+    named = {
+        **{name: written[name] for name in PUBLISHED_NAMES},
+        "ranking_departamentos": written["sql_ranking_departamentos"],
+        "vista_consolidada": consolidated(by_department, by_region, summary, limit=None),
+        "top_departamentos_letalidad": top_cfr(by_department),
+        "top_meses_criticos": critical_months(by_month),
+        "comparativa_regiones": region_comparison(by_department),
+        "departamentos_poblacion": affected_population(by_department, limit=None),
+    }
+    for name, df in named.items():
+        df.createOrReplaceTempView(name)
+    return list(named)
+
+
 def kpis(summary: DataFrame) -> DataFrame:
     return summary.limit(1)
 
@@ -78,7 +111,7 @@ def consolidated(
     by_region: DataFrame,
     summary: DataFrame,
     region: str | None = None,
-    limit: int = 20,
+    limit: int | None = 20,
 ) -> DataFrame:
     """Departments ⟕ regions, with the one row of national totals as scalar subqueries."""
     if region is not None:
@@ -130,7 +163,7 @@ def region_comparison(departments: DataFrame) -> DataFrame:
     )
 
 
-def affected_population(departments: DataFrame, limit: int = 20) -> DataFrame:
+def affected_population(departments: DataFrame, limit: int | None = 20) -> DataFrame:
     share = rate(F.col("total_casos"), F.col("poblacion_departamento"))
     return _largest(
         departments.select(

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+SINGLE_FILE_ROWS = 1_000_000
+
 
 def write_parquet(df: DataFrame, path: str, by: Sequence[str] = ()) -> int:
     """Overwrite a parquet folder; returns its rows.
@@ -50,27 +52,25 @@ def write_csv(df: DataFrame, path: str) -> None:
     )
 
 
-def save_result(df: DataFrame, folder: str, name: str, single_file: bool = True) -> int:
+def save_result(df: DataFrame, folder: str, name: str, single_file_rows: int = SINGLE_FILE_ROWS) -> int:
     """``<name>.parquet`` and, read back from it, ``<name>.csv``; returns the rows.
 
-    The plan runs once.  ``single_file`` puts the CSV copy in one file: meant for aggregated
-    results; pass ``False`` for a result with one row per case.
+    The plan runs once.  The CSV copy is one file up to ``single_file_rows`` rows, so that it suits
+    a spreadsheet; a larger result is copied by as many tasks as it has files.
     """
     target = f"{folder.rstrip('/')}/{name}"
     rows = write_parquet(df, f"{target}.parquet")
     written = df.sparkSession.read.schema(df.schema).parquet(f"{target}.parquet")
     flat = written.select(*flat_columns(written))
-    if single_file:
-        flat = flat.coalesce(1)
-    write_csv(flat, f"{target}.csv")
+    write_csv(flat.coalesce(1) if rows <= single_file_rows else flat, f"{target}.csv")
     return rows
 
 
-def save_if_any(df: DataFrame | None, folder: str, name: str, single_file: bool = True) -> int | None:
-    """Save a result unless it is absent or empty; ``None`` then."""
+def save_if_any(df: DataFrame | None, folder: str, name: str) -> int | None:
+    """Save a result unless it is absent or empty; ``None`` then.  The test may run the plan again."""
     if df is None or df.isEmpty():
         return None
-    return save_result(df, folder, name, single_file)
+    return save_result(df, folder, name)
 
 
 def publish(df: DataFrame, table: str, path: str | None = None) -> None:
