@@ -1,7 +1,7 @@
 """Headline timings; prints one JSON line.
 
 Queries are run to the end with the ``noop`` sink, so that all columns are computed and no rows
-travel to the driver.  ``pipeline_*`` is the whole batch job in a fresh folder: raw JSON landed,
+travel to the driver.  ``job_*`` is the whole batch job in a fresh folder: raw JSON landed,
 ETL, all result datasets, all models with their full settings, publishing.
 
     BENCH_SF_DIR   folder of the tables (default /root/testdata/sf0.1)
@@ -69,13 +69,13 @@ def main() -> None:
         for name, build in dimensions.items():
             land_snapshot(build(spark, folder), zones.raw, RAW_DIMENSIONS[name])
 
-    times["pipeline_land"] = timed(land)
-    times["pipeline_etl"] = timed(lambda: run_etl(spark, zones, settings, audit))
-    times["pipeline_analytics"] = timed(lambda: run_analytics(spark, zones, settings, audit))
-    times["pipeline_models"] = timed(lambda: run_models(spark, zones, settings, audit))
-    times["pipeline_publish"] = timed(lambda: run_publish(spark, zones, audit, tables_root=f"{root}/tables"))
+    times["job_land"] = timed(land)
+    times["job_etl"] = timed(lambda: run_etl(spark, zones, settings, audit))
+    times["job_analytics"] = timed(lambda: run_analytics(spark, zones, settings, audit))
+    times["job_models"] = timed(lambda: run_models(spark, zones, settings, audit))
+    times["job_publish"] = timed(lambda: run_publish(spark, zones, audit, tables_root=f"{root}/tables"))
     print(json.dumps({
-        "metric": "total time of the headline queries and the whole pipeline",
+        "metric": "total time of the headline queries and the whole job",
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,

@@ -38,6 +38,11 @@ def test_test_rows_are_the_hashed_fifth(cases):
     assert ids == expected and 0.1 < len(ids) / cases.count() < 0.3
 
 
+def test_no_deaths_give_no_curve(cases):
+    fitted = models.mortality_model(cases.filter("fallecido = 0"), trees=1, depth=1)
+    assert fitted.metrics == {"auc": 0.0, "accuracy": 1.0, "f1": 1.0}
+
+
 def test_severity(cases):
     fitted = models.severity_model(cases, trees=4, depth=3)
     assert {r.label for r in fitted.predictions.select("label").distinct().collect()} == {0.0, 1.0, 2.0}

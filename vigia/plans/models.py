@@ -165,7 +165,9 @@ def _evaluate(predictions: DataFrame, metrics: Mapping[str, str]) -> dict[str, f
     with _cached(predictions.select("label", "prediction", "rawPrediction")) as rows:
         for name, metric in metrics.items():
             if metric == "areaUnderROC":
-                # One class in the test rows gives 0.0.
+                if label_counts(rows).count() < 2:
+                    values[name] = 0.0      # no curve without both classes
+                    continue
                 evaluator = BinaryClassificationEvaluator(labelCol="label", metricName=metric)
             else:
                 evaluator = MulticlassClassificationEvaluator(labelCol="label", metricName=metric)
