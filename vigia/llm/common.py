@@ -60,21 +60,25 @@ def annotate(df: DataFrame, text: str, make: Callable[[], Callable[[list[str | N
     ``make`` runs once in each task and gives a function from a list of texts to the new columns.
     A column of ``df`` that has the name of a new one is replaced.
     """
-    kept = [c for c in df.columns if c.lower() not in {f.lower() for f in fields}]
-    source = free_name(df, "__text")
-    rows = df.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{text}`").cast("string").alias(source))
-    schema = T.StructType(rows.schema.fields[:-1] + [T.StructField(n, T._parse_datatype_string(t)) for n, t in fields.items()])
+    new = {f.lower() for f in fields}
+    kept = [c for c in df.columns if c.lower() not in new]
+    source = text if text in kept and df.schema[text].dataType == T.StringType() else free_name(df, "__text")
+    extra = [] if source == text else [F.col(f"`{text}`").cast("string").alias(source)]
+    rows = df.select(*(F.col(f"`{c}`") for c in kept), *extra)
+    old = rows.schema.fields[:len(kept)]
+    schema = T.StructType(old + [T.StructField(n, T._parse_datatype_string(t)) for n, t in fields.items()])
     types = [_ARROW[t] for t in fields.values()]
+    at = rows.columns.index(source)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
+            texts = batch.column(at).to_pylist()
             for part in slices(texts):
                 made = work(texts[part])
-                old = [c.slice(part.start, part.stop - part.start) for c in batch.columns[:-1]]
+                same = [c.slice(part.start, part.stop - part.start) for c in batch.columns[:len(kept)]]
                 yield pa.RecordBatch.from_arrays(
-                    [*old, *(pa.array(made[n], type=t) for n, t in zip(fields, types, strict=True))], names=[*kept, *fields])
+                    [*same, *(pa.array(made[n], type=t) for n, t in zip(fields, types, strict=True))], names=[*kept, *fields])
 
     return rows.mapInArrow(run, schema)
 

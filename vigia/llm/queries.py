@@ -7,12 +7,20 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from vigia.llm import langid
 from vigia.llm.bpe import encode_documents
-from vigia.llm.common import table
+from vigia.llm.common import held_out, may_learn, table
 
 VOCABULARY = "byte_bpe_50k.json"
 
 
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    """The predicted language of every document; learned from two thirds of them."""
+    documents = table(spark, folder, "documents")
+    model = langid.fit(documents.where(may_learn("doc_id")))
+    return langid.identify(documents.select("doc_id", "text", held_out("doc_id").alias("held_out")), model).drop("text")
+
+
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Token counts and digests of ids and decoded text of every document."""
     documents = table(spark, folder, "documents").select("doc_id", "text")
@@ -20,6 +28,7 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language": op2_language,
     "op10_bpe": op10_bpe,
 }
 
