@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vigia.llm import langid
+from vigia.llm import langid, quality
 from vigia.llm.bpe import encode_documents
 from vigia.llm.common import held_out, may_learn, table
 
@@ -21,6 +22,20 @@ def op2_language(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(documents.select("doc_id", "text", held_out("doc_id").alias("held_out")), model).drop("text")
 
 
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality of every document; learned from two thirds of the labels."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    scored = quality.score_quality(documents.withColumn("held_out", held_out("doc_id")), learned_quality(spark, folder)).drop("text")
+    return scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
+
+
+def learned_quality(spark: SparkSession, folder: str) -> quality.Field | None:
+    labels = table(spark, folder, "labels").where(may_learn("doc_id") & F.col("quality").isNotNull())
+    # A document that is labelled twice with different marks counts as bad.
+    labels = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    return quality.fit(table(spark, folder, "documents").select("doc_id", "text"), labels)
+
+
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Token counts and digests of ids and decoded text of every document."""
     documents = table(spark, folder, "documents").select("doc_id", "text")
@@ -29,6 +44,7 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language": op2_language,
+    "op4_quality": op4_quality,
     "op10_bpe": op10_bpe,
 }
 
