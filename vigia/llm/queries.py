@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigia.llm import langid, quality
+from vigia.llm import langid, quality, simhash
 from vigia.llm.bpe import encode_documents
 from vigia.llm.common import held_out, may_learn, table
 
@@ -36,6 +36,12 @@ def learned_quality(spark: SparkSession, folder: str) -> quality.Field | None:
     return quality.fit(table(spark, folder, "documents").select("doc_id", "text"), labels)
 
 
+def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select(F.col("id").alias("doc_id"), simhash.as_hex(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Token counts and digests of ids and decoded text of every document."""
     documents = table(spark, folder, "documents").select("doc_id", "text")
@@ -45,6 +51,7 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language": op2_language,
     "op4_quality": op4_quality,
+    "op7_simhash": op7_simhash,
     "op10_bpe": op10_bpe,
 }
 
