@@ -18,6 +18,7 @@ SLICE_CHARS = 4_000_000
 
 _ARROW = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(),
           "boolean": pa.bool_(), "binary": pa.binary(), "array<float>": pa.list_(pa.float32()),
+          "array<double>": pa.list_(pa.float64()),
           "array<bigint>": pa.list_(pa.int64()), "array<string>": pa.list_(pa.string())}
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigia.llm import langid, quality, simhash
+from vigia.llm import decontaminate, langid, quality, simhash
 from vigia.llm.bpe import encode_documents
 from vigia.llm.common import held_out, may_learn, table
 
@@ -22,6 +22,14 @@ def op2_language(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(documents.select("doc_id", "text", held_out("doc_id").alias("held_out")), model).drop("text")
 
 
+def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document and benchmark item that it holds, and the share of the item's words found in order."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.find_leaks(documents, table(spark, folder, "benchmark"))
+    pairs = found.select("doc_id", F.explode(F.arrays_zip("leaked_items", "leaked_shares")).alias("leak"))
+    return pairs.select("doc_id", F.col("leak.leaked_items").cast("bigint").alias("item_id"), F.col("leak.leaked_shares").alias("share"))
+
+
 def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     """The quality of every document; learned from two thirds of the labels."""
     documents = table(spark, folder, "documents").select("doc_id", "text")
@@ -50,6 +58,7 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language": op2_language,
+    "op3_decontaminate": op3_decontaminate,
     "op4_quality": op4_quality,
     "op7_simhash": op7_simhash,
     "op10_bpe": op10_bpe,
