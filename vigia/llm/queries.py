@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigia.llm import decontaminate, langid, quality, simhash
+from vigia.llm import decontaminate, langid, neighbours, quality, simhash
 from vigia.llm.bpe import encode_documents
 from vigia.llm.common import held_out, may_learn, table
 
@@ -50,6 +50,12 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), simhash.as_hex(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op8_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one."""
+    vectors = table(spark, folder, "embeddings")
+    return neighbours.search(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Token counts and digests of ids and decoded text of every document."""
     documents = table(spark, folder, "documents").select("doc_id", "text")
@@ -61,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
     "op4_quality": op4_quality,
     "op7_simhash": op7_simhash,
+    "op8_neighbours": op8_neighbours,
     "op10_bpe": op10_bpe,
 }
 
