@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from vigia.llm import decontaminate, langid, neighbours, quality, simhash
 from vigia.llm.bpe import encode_documents
 from vigia.llm.common import held_out, may_learn, table
+from vigia.llm.urlfilter import Rule, judge
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -56,6 +57,15 @@ def op8_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.search(vectors, vectors.where(F.col("vec_id") % 50 == 0))
 
 
+#: The rules that URLs are judged by.
+URL_RULES = [Rule("net", "/", "block"), Rule("example.net", "/en/", "allow"), Rule("example.com", "/de/", "block"), Rule("org", "/fr/", "allow")]
+
+
+def op9_urls(spark: SparkSession, folder: str) -> DataFrame:
+    """The verdict on every page's URL."""
+    return judge(table(spark, folder, "pages").select("page_id", "url"), URL_RULES)
+
+
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Token counts and digests of ids and decoded text of every document."""
     documents = table(spark, folder, "documents").select("doc_id", "text")
@@ -68,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": op4_quality,
     "op7_simhash": op7_simhash,
     "op8_neighbours": op8_neighbours,
+    "op9_urls": op9_urls,
     "op10_bpe": op10_bpe,
 }
 
