@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigia.llm import decontaminate, langid, neighbours, quality, simhash
+from vigia.llm import decontaminate, htmltext, langid, neighbours, quality, simhash
 from vigia.llm.bpe import encode_documents
 from vigia.llm.common import held_out, may_learn, table
 from vigia.llm.urlfilter import Rule, judge
@@ -45,6 +45,11 @@ def learned_quality(spark: SparkSession, folder: str) -> quality.Field | None:
     return quality.fit(table(spark, folder, "documents").select("doc_id", "text"), labels)
 
 
+def op6_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    return htmltext.extract(table(spark, folder, "pages").select("page_id", "url", "html"), keep_html=False)
+
+
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = simhash.near_duplicates(table(spark, folder, "documents"))
@@ -76,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language": op2_language,
     "op3_decontaminate": op3_decontaminate,
     "op4_quality": op4_quality,
+    "op6_main_text": op6_main_text,
     "op7_simhash": op7_simhash,
     "op8_neighbours": op8_neighbours,
     "op9_urls": op9_urls,
