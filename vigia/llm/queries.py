@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigia.llm import decontaminate, htmltext, langid, neighbours, quality, simhash
+from vigia.llm import decontaminate, htmltext, langid, licenses, neighbours, quality, simhash, warc
 from vigia.llm.bpe import encode_documents
 from vigia.llm.common import held_out, may_learn, table
 from vigia.llm.urlfilter import Rule, judge
@@ -16,6 +16,17 @@ from vigia.llm.urlfilter import Rule, judge
 VOCABULARY = "byte_bpe_50k.json"
 
 
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page as it is read back from its archive."""
+    records = warc.round_trip(table(spark, folder, "pages"))
+    number = lambda urn: F.regexp_extract(urn, "^<urn:page:(-?[0-9]+)>$", 1).try_cast("bigint")
+    revisit = F.col("type") == "revisit"
+    return records.select(
+        number("id").alias("page_id"), F.when(revisit, F.col("said_bytes")).otherwise(F.col("length")).alias("payload_bytes"),
+        F.when(revisit, F.substring_index("said_digest", ":", -1)).otherwise(F.col("digest")).alias("payload_digest"),
+        F.col("type").alias("record_type"), F.when(revisit, number("refers")).alias("refers_to"))
+
+
 def op2_language(spark: SparkSession, folder: str) -> DataFrame:
     """The predicted language of every document; learned from two thirds of them."""
     documents = table(spark, folder, "documents")
@@ -45,6 +56,14 @@ def learned_quality(spark: SparkSession, folder: str) -> quality.Field | None:
     return quality.fit(table(spark, folder, "documents").select("doc_id", "text"), labels)
 
 
+def op5_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document and licence that it holds, with the closest part."""
+    found = licenses.scan_licenses(table(spark, folder, "documents").select("doc_id", "text"))
+    hit = F.explode(F.arrays_zip("licenses", "license_scores", "license_parts")).alias("hit")
+    return found.where(F.size("licenses") > 0).select("doc_id", hit).select(
+        "doc_id", F.col("hit.licenses").alias("license"), F.col("hit.license_scores").alias("dice"), F.col("hit.license_parts").alias("part"))
+
+
 def op6_main_text(spark: SparkSession, folder: str) -> DataFrame:
     """The main text of every page."""
     return htmltext.extract(table(spark, folder, "pages").select("page_id", "url", "html"), keep_html=False)
@@ -78,9 +97,11 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op2_language": op2_language,
     "op3_decontaminate": op3_decontaminate,
     "op4_quality": op4_quality,
+    "op5_licenses": op5_licenses,
     "op6_main_text": op6_main_text,
     "op7_simhash": op7_simhash,
     "op8_neighbours": op8_neighbours,
