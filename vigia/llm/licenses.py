@@ -3,7 +3,8 @@
 Every line, every sentence, every paragraph and the whole of a text are compared with licence templates: one-line notices made
 from licence names, and the standard wordings of short licences and file headers.  A Dice coefficient of ``t`` bounds the
 ratio of the two sizes to between ``t / (2 - t)`` and its inverse, so that only templates of about a part's own size are
-looked at; and parts that share no bigram with any template need no comparison.
+looked at.  It also means that a part has at least ``t / (2 - t)`` of a template's bigrams, and so one at least of any other few
+of them: texts and lines with none of these few, chosen among the rarer ones, need no comparison.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left, bisect_right
 from functools import lru_cache
+from math import ceil
 
 from pyspark.sql import DataFrame
 
@@ -79,13 +81,17 @@ WORDINGS = {
 _WORD = re.compile(r"\w+")
 _SENTENCE = re.compile(r"(?<=[.!?;:])\s+")
 _PARAGRAPH = re.compile(r"\n\s*\n")
+_YEAR = re.compile(r"(?:19|20)\d\d")
+#: Words too common in any text to tell a licence.
+_COMMON = frozenset("a an and any are at be by can for from in is it may not of on or that the this to under with you work file terms".split())
 
 Grams = frozenset[tuple[str, str]]
 
 
 def normalised(text: str) -> list[str]:
     """Words in lower case; punctuation, markup signs and the numbers of years are left out."""
-    return [w for w in _WORD.findall(text.lower()) if not (len(w) == 4 and w.isdigit() and w[:2] in ("19", "20"))]
+    words = _WORD.findall(text.lower())
+    return [w for w in words if not (len(w) == 4 and _YEAR.fullmatch(w))] if _YEAR.search(text) else words
 
 
 def bigrams(words: list[str]) -> Grams:
@@ -107,7 +113,8 @@ class Templates:
         self.least = least
         self.templates = sorted(((len(grams), name, grams) for name, grams in found if grams), key=lambda t: (t[0], t[1], sorted(t[2])))
         self.sizes = [t[0] for t in self.templates]
-        self.known = frozenset().union(*(t[2] for t in self.templates))
+        self.anchors = frozenset(gram for size, _, grams in self.templates for gram in sorted(
+            grams, key=lambda g: (len(_COMMON & {*g}), g))[:size - ceil(size * least / (2 - least) - 1e-9) + 1])
         self.largest = self.sizes[-1] * (2 - least) / least
 
     def best(self, grams: Grams) -> tuple[float, str] | None:
@@ -131,20 +138,20 @@ class Templates:
             if hit and hit[0] > found.get(hit[1], (0.0, ""))[0]:
                 found[hit[1]] = hit[0], part
 
-        any_line = False
-        for line in (text or "").split("\n"):
+        words = normalised(text or "")
+        if self.anchors.isdisjoint(zip(words, words[1:])):
+            return []
+        for line in text.split("\n"):
             grams = bigrams(normalised(line))
-            # What a line does not share with the templates, its sentences don't either.
-            if self.known.isdisjoint(grams):
+            if self.anchors.isdisjoint(grams):
                 continue
-            any_line = True
             if len(grams) <= self.largest:
                 look(line, grams)
             sentences = _SENTENCE.split(line)
             if len(sentences) > 1:
                 for sentence in sentences:
                     look(sentence, bigrams(normalised(sentence)))
-        if any_line and "\n" in text:
+        if "\n" in text:
             paragraphs = _PARAGRAPH.split(text)
             for part in [*(p for p in paragraphs if "\n" in p), *([text] if len(paragraphs) > 1 else [])]:
                 grams = bigrams(normalised(part))
