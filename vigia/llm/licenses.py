@@ -83,7 +83,7 @@ _SENTENCE = re.compile(r"(?<=[.!?;:])\s+")
 _PARAGRAPH = re.compile(r"\n\s*\n")
 _YEAR = re.compile(r"(?:19|20)\d\d")
 #: Words too common in any text to tell a licence.
-_COMMON = frozenset("a an and any are at be by can for from in is it may not of on or that the this to under with you work file terms".split())
+_COMMON = frozenset("a an and any are at be by can for from in is it may not of on or that the this to under with you".split())
 
 Grams = frozenset[tuple[str, str]]
 
