@@ -65,6 +65,7 @@ def folded(text: str) -> np.ndarray:
     blank = points == 32
     keep = ~blank
     keep[1:] |= ~blank[:-1]
+    keep[:1] = True
     return points[keep]
 
 
@@ -73,8 +74,11 @@ def mark(text: str | None, row: np.ndarray) -> bool:
     found = False
     carry = np.array([32], dtype=np.uint32)
     for start in range(0, len(text or ""), PIECE):
-        points = np.concatenate([carry, folded(text[start:start + PIECE])])
-        if start + PIECE >= len(text):
+        fresh = folded(text[start:start + PIECE])
+        if len(fresh) and fresh[0] == 32 and carry[-1] == 32:
+            fresh = fresh[1:]
+        points = np.concatenate([carry, fresh])
+        if start + PIECE >= len(text) and points[-1] != 32:
             points = np.append(points, np.uint32(32))
         found = found or bool((points != 32).any())
         for size in range(MIN_GRAM, MAX_GRAM + 1):

@@ -194,6 +194,8 @@ def buckets(prints: DataFrame, layout: Plan) -> DataFrame:
 def forest(left: np.ndarray, right: np.ndarray | None, distance: int) -> list[tuple[int, int]]:
     """Links that connect what is connected at ``distance`` among ``left`` (``right`` None), or between ``left`` and ``right``."""
     both = left if right is None else np.concatenate([left, right])
+    # Bits of a negative number would be counted in its absolute value.
+    bits = both.astype(np.int64).view(np.uint64)
     side = np.zeros(len(both), dtype=bool)
     side[len(left):] = True
     free, links = np.ones(len(both), dtype=bool), []
@@ -204,7 +206,7 @@ def forest(left: np.ndarray, right: np.ndarray | None, distance: int) -> list[tu
         front = [root]
         while front:
             at = front.pop()
-            near = free & (np.bitwise_count(both ^ both[at]) <= distance)
+            near = free & (np.bitwise_count(bits ^ bits[at]) <= distance)
             if right is not None:
                 near &= side != side[at]
             for k in np.flatnonzero(near).tolist():
