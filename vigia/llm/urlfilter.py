@@ -83,7 +83,7 @@ def features(url: Column, host: Column, path: Column) -> dict[str, Column]:
     """Lexical features of a URL that is not NULL; its suffix statistics come by join."""
     query = F.when(F.instr(url, "?") > 0, F.substring_index(F.substring_index(url, "?", -1), "#", 1)).otherwise("")
     length = F.length(url).cast("double")
-    first = F.element_at(F.split(path, "/"), 2)
+    first = F.get(F.split(path, "/"), F.lit(1))
     return {
         "url_length": F.log1p(length),
         "host_length": F.length(host).cast("double"),

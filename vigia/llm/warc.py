@@ -95,21 +95,21 @@ CANDIDATE = f"file string, split bigint, start bigint, body bigint, next bigint,
 
 
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
-    """(file, split, piece) of all archives: what stands between two magics, in file order within a split."""
+    """(file, split, size, piece) of all archives: what stands between two magics, in file order within a split, and the file's size."""
     rows = spark.read.option("lineSep", MAGIC).option("recursiveFileLookup", "true").text(path)
     return rows.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
-                       F.col("value").cast("binary").alias("piece"))
+                       F.col("_metadata.file_size").alias("size"), F.col("value").cast("binary").alias("piece"))
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, list[bytes]]]:
-    """The pieces of each split; a task holds one split at a time."""
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, int, list[bytes]]]:
+    """File, split, file size and pieces of each split; a task holds one split at a time."""
     key, held = None, []
     for batch in batches:
-        for file, split, piece in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-            if (file, split) != key:
+        for *at, piece in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+            if at != key:
                 if key:
                     yield *key, held
-                key, held = (file, split), []
+                key, held = at, []
             held.append(piece)
     if key:
         yield *key, held
@@ -192,7 +192,7 @@ def candidates(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     schema = T._parse_datatype_string(CANDIDATE)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for file, split, pieces in _runs(batches):
+        for file, split, _, pieces in _runs(batches):
             yield _arrow(_candidates(file, split, pieces), schema)
 
     found = stored(_pieces(spark, path).mapInArrow(emit, schema), "warc-candidates")
@@ -276,10 +276,11 @@ def joined_payloads(spark: SparkSession, path: str, cut: DataFrame, firsts: Data
 
         def emit(batches: Iterator[pa.RecordBatch], known=known) -> Iterator[pa.RecordBatch]:
             wanted, shifts = known.value
-            for file, split, pieces in _runs(batches):
+            for file, split, size, pieces in _runs(batches):
                 place, rows = shifts.get((file, split), 0), []
                 for piece in pieces:
-                    whole = piece + _MAGIC
+                    # No magic follows the last piece of a file.
+                    whole = (piece + _MAGIC)[:max(0, size - place)]
                     for start, first, last in wanted.get(file, ()):
                         if first < place + len(whole) and place < last:
                             rows.append((file, start, last - first, place, whole[max(0, first - place):last - place]))
