@@ -94,3 +94,15 @@ def test_outcome_flags_use_the_vocabulary(spark):
         1, 1, "65+", 2021, 1, 53)
     assert derive_cases(df, Vocabulary(deceased=("X",))).first().fallecido == 0
     assert derive_cases(df).select(F.col("fallecido")).dtypes == [("fallecido", "int")]
+
+
+def test_the_usable_duplicate_survives(spark):
+    cases = raw(
+        spark,
+        {"id_de_caso": "7", "fecha_reporte_web": "2020-03-06"},
+        {"id_de_caso": "7", "departamento": "5", "fecha_reporte_web": "junk"},
+        {"id_de_caso": "7", "departamento": "5", "fecha_reporte_web": "2020-03-07", "sexo": "F"},
+        {"id_de_caso": "8", "fecha_reporte_web": "2020-03-06"},
+    )
+    kept = clean_cases(cases).select("id_caso", "codigo_departamento", "sexo").collect()
+    assert [tuple(r) for r in kept] == [("7", "5", "F")]

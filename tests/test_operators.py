@@ -170,9 +170,9 @@ def test_single_recovery_has_no_deviation(cases):
     assert row.casos_recuperados == 1 and row.desviacion_std is None
 
 
-def test_pivot_skips_null_values(spark):
+def test_pivot_counts_other_values_together(spark):
     df = spark.createDataFrame([("a", "F"), ("a", None), ("b", "M"), ("c", None)], "g string, s string")
-    assert table_rows(pivot_counts(df, "g", "s", ["F", "M"])) == [("a", 1, 0), ("b", 0, 1), ("c", 0, 0)]
+    assert table_rows(pivot_counts(df, "g", "s", ["F", "M"])) == [("a", 1, 0, 1), ("b", 0, 1, 0), ("c", 0, 0, 1)]
 
 
 def test_null_takes_a_place_in_the_top_and_is_dropped(spark):

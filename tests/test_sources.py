@@ -3,6 +3,9 @@ import re
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql import types as T
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
@@ -101,14 +104,14 @@ def test_results_as_parquet_and_csv(spark, tmp_path):
     assert len(list((tmp_path / "r.csv").glob("part-*.csv"))) == 1
     assert table_rows(read_csv(spark, str(tmp_path / "r.csv"))) == [(" b", "2"), ("a ", "1")]
     assert spark.read.parquet(str(tmp_path / "r.parquet")).columns == df.columns
-    save_result(spark.range(0, 100, 1, 4), str(tmp_path), "many", single_file_rows=99)
+    save_result(spark.range(0, 100, 1, 4), str(tmp_path), "many", one_file=False)
     assert len(list((tmp_path / "many.csv").glob("part-*.csv"))) > 1
 
 
 def test_absent_and_empty_results_are_not_written(spark, tmp_path):
-    assert save_if_any(None, str(tmp_path), "none") is None
-    assert save_if_any(spark.range(0), str(tmp_path), "empty") is None
-    assert save_if_any(spark.range(2), str(tmp_path), "some") == 2
+    assert save_if_any(spark, None, str(tmp_path), "none") is None
+    assert save_if_any(spark, spark.range(0), str(tmp_path), "empty") is None
+    assert save_if_any(spark, spark.range(2), str(tmp_path), "some") == 2
     assert sorted(p.name for p in tmp_path.iterdir()) == ["some.csv", "some.parquet"]
 
 
@@ -133,3 +136,50 @@ def test_relational_reads_need_bounds(spark):
 def test_csv_keeps_blanks(spark, tmp_path):
     write_csv(spark.createDataFrame([(" x ",)], "v string"), str(tmp_path / "b"))
     assert read_csv(spark, str(tmp_path / "b")).first().v == " x "
+
+
+def complete(folder):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / "_SUCCESS").touch()
+    return folder
+
+
+def test_all_pages_of_a_snapshot_are_read(spark, tmp_path):
+    folder = complete(tmp_path / "d" / "snapshot=20240101_000000")
+    write_json_array(folder / "page1.json", [{"a": 1}, {"a": 2}])
+    write_json_array(folder / "page2.json", [{"a": 3}])
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
+    assert table_rows(read_latest(spark, str(tmp_path / "d"), schema)) == [(1, None), (2, None), (3, None)]
+
+
+def test_unfinished_snapshots_and_unreadable_records(spark, tmp_path):
+    schema = T.StructType([T.StructField("a", T.LongType())])
+    (complete(tmp_path / "d" / "snapshot=20240101_000000") / "part-0.json").write_text('{"a": 1}\n')
+    half = tmp_path / "d" / "snapshot=20240202_000000"
+    half.mkdir()
+    (half / "part-0.json").write_text('{"a": 2}\n')
+    assert table_rows(read_latest(spark, str(tmp_path / "d"), schema)) == [(1,)]
+    (complete(half) / "part-1.json").write_text("{broken\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+        read_latest(spark, str(tmp_path / "d"), schema).collect()
+
+
+def test_csv_columns_are_matched_by_header(spark, tmp_path):
+    folder = complete(tmp_path / "d" / "snapshot=20240101_000000")
+    (folder / "part-0.csv").write_text("Region,codigo_dane,extra,id_departamento\nR,05,x,5\nS,11,y,z\n")
+    df = read_latest(spark, str(tmp_path / "d"), DIMENSION_SCHEMAS["departamentos"])
+    assert df.schema == DIMENSION_SCHEMAS["departamentos"]
+    assert table_rows(df, "codigo_dane", "region", "id_departamento", "capital") == [("05", "R", 5, None), ("11", "S", None, None)]
+
+
+def test_column_that_is_null_throughout(spark, tmp_path, dimensions):
+    emptied = dimensions["municipios"].withColumn("categoria", F.lit(None).cast("string"))
+    land_snapshot(emptied, str(tmp_path), "m", datetime(2024, 1, 1))
+    df = read_latest(spark, str(tmp_path / "m"), DIMENSION_SCHEMAS["municipios"])
+    assert df.columns == emptied.columns and df.count() == emptied.count()
+
+
+def test_stale_results_go(spark, tmp_path):
+    assert save_if_any(spark, spark.range(3), str(tmp_path), "r") == 3
+    assert save_if_any(spark, spark.range(0), str(tmp_path), "r") is None
+    assert not (tmp_path / "r.parquet").exists() and not (tmp_path / "r.csv").exists()

@@ -113,10 +113,10 @@ _CLEAN = f"""
   SELECT * REPLACE ({', '.join(_parsed(c) for c in _DATES)}), {_AGE} AS edad_anios FROM raw
 ), clean AS (
   SELECT * EXCLUDE (position) FROM (
-    SELECT *, row_number() OVER (PARTITION BY id_caso ORDER BY {', '.join(c + ' ASC NULLS FIRST' for c in _RAW_ORDER)})
+    SELECT *, row_number() OVER (PARTITION BY id_caso ORDER BY {', '.join(c + ' ASC NULLS LAST' for c in _RAW_ORDER)})
            AS position
-    FROM parsed
-  ) WHERE position = 1 AND codigo_departamento IS NOT NULL
+    FROM parsed WHERE codigo_departamento IS NOT NULL
+  ) WHERE position = 1
 )"""
 
 
@@ -190,6 +190,7 @@ _DASHBOARD = f"""SELECT coalesce(d.nombre_departamento, 'N/A') AS nombre_departa
        ROUND(coalesce(CAST(r.fallecidos AS DOUBLE) / NULLIF(r.total_casos, 0) * 100, 0), 6) AS letalidad_region
 FROM ({_DEPARTMENTS}) d LEFT JOIN ({_REGIONS}) r ON d.region = r.region
 ORDER BY d.tasa_letalidad DESC, d.nombre_departamento, d.region LIMIT 50"""
+_ALL_ROWS = _DASHBOARD.removesuffix(" LIMIT 50")
 _ROUNDED_DEPARTMENTS = f"""SELECT nombre_departamento, region, poblacion_departamento, total_casos, fallecidos,
        ROUND(casos_por_100k, 6) AS casos_por_100k, ROUND(tasa_letalidad, 6) AS tasa_letalidad
 FROM ({_DEPARTMENTS})"""
@@ -259,7 +260,11 @@ WHERE total_casos > 40 AND incidencia > 500""",
        ROUND(CAST(COUNT(*) AS DOUBLE) / NULLIF(MAX(poblacion_departamento), 0) * 100000, 6) AS tasa_ataque
 FROM fact GROUP BY nombre_departamento, grupo_edad""",
     "sex_ratio_pivot": """SELECT grupo_edad, CAST(SUM(CASE WHEN sexo = 'F' THEN 1 ELSE 0 END) AS BIGINT) AS "F",
-       CAST(SUM(CASE WHEN sexo = 'O' THEN 1 ELSE 0 END) AS BIGINT) AS "O"
+       CAST(SUM(CASE WHEN sexo = 'O' THEN 1 ELSE 0 END) AS BIGINT) AS "O",
+       CAST(SUM(CASE WHEN sexo IN ('F', 'O') THEN 0 ELSE 1 END) AS BIGINT) AS otros
+FROM fact GROUP BY grupo_edad""",
+    "sex_ratio_one_listed": """SELECT grupo_edad, CAST(SUM(CASE WHEN sexo = 'F' THEN 1 ELSE 0 END) AS BIGINT) AS "F",
+       CAST(SUM(CASE WHEN sexo = 'F' THEN 0 ELSE 1 END) AS BIGINT) AS otros
 FROM fact GROUP BY grupo_edad""",
     "severity_index": f"""SELECT nombre_departamento, total_casos, fallecidos, ROUND(g, 6) AS porcentaje_graves,
        ROUND(h, 6) AS porcentaje_hospitalizados, ROUND(c, 6) AS tasa_letalidad,
@@ -309,7 +314,7 @@ FROM fact WHERE nombre_departamento IN {TOP10} AND grupo_edad IS NOT NULL GROUP
     "department_detail": f"SELECT * FROM ({_ROUNDED_DEPARTMENTS}) WHERE nombre_departamento = 'NATION_7'",
     "ranking_top20": f"SELECT * FROM ({_RANKING}) ORDER BY ranking, nombre_departamento, region LIMIT 20",
     "regions_view": _ROUNDED_REGIONS,
-    "temporal_last": f"SELECT * FROM ({_MONTHS}) ORDER BY anio_reporte, mes_reporte LIMIT 24",
+    "temporal_last": f"SELECT * FROM ({_MONTHS}) ORDER BY anio_reporte DESC, mes_reporte DESC LIMIT 24",
     "period_label": f"""SELECT *, CAST(anio_reporte AS VARCHAR) || '-' || lpad(CAST(mes_reporte AS VARCHAR), 2, '0') AS periodo
 FROM ({_MONTHS})""",
     "consolidated": _consolidated("", 20),
@@ -330,11 +335,11 @@ FROM ({_DEPARTMENTS})
 ORDER BY CAST(total_casos AS DOUBLE) / NULLIF(poblacion_departamento, 0) * 100 DESC, nombre_departamento, region LIMIT 20""",
     "dashboard_consolidated": _DASHBOARD,
     "region_distribution": f"SELECT region, total_casos FROM ({_REGIONS}) WHERE region IS NOT NULL AND region <> 'null' AND region <> ''",
-    "top10_cfr": f"SELECT * FROM ({_DASHBOARD}) ORDER BY tasa_letalidad DESC, nombre_departamento, region LIMIT 10",
-    "top10_per_100k": f"SELECT * FROM ({_DASHBOARD}) ORDER BY casos_por_100k DESC, nombre_departamento, region LIMIT 10",
+    "top10_cfr": f"SELECT * FROM ({_ALL_ROWS}) ORDER BY tasa_letalidad DESC, nombre_departamento, region LIMIT 10",
+    "top10_per_100k": f"SELECT * FROM ({_ALL_ROWS}) ORDER BY casos_por_100k DESC, nombre_departamento, region LIMIT 10",
     "ranked_badges": f"""SELECT CAST(row_number() OVER (ORDER BY tasa_letalidad DESC, nombre_departamento, region) AS INTEGER) AS posicion, *,
        CASE WHEN tasa_letalidad > 34 THEN 'badge-high' WHEN tasa_letalidad > 33 THEN 'badge-medium' ELSE 'badge-low' END AS nivel
-FROM ({_DASHBOARD})""",
+FROM ({_ALL_ROWS})""",
     "top_municipalities": _MUNICIPALITIES,
     "sql_view": f"""SELECT region, anio_reporte, {N} AS casos, {D} AS fallecidos,
        CAST(RANK() OVER (PARTITION BY anio_reporte ORDER BY COUNT(*) DESC) AS INTEGER) AS ranking
@@ -413,6 +418,8 @@ GROUP BY 1, 2""",
             WHEN contains(n, 'NATION_2') THEN 'NATION_TWO' ELSE n END AS nombre_canonico,
        lower(n) AS nombre_plegado, {N} AS casos
 FROM (SELECT nombre_departamento, upper(trim(nombre_departamento)) AS n FROM raw) GROUP BY 1, 2, 3""",
+    "snapshot_by_stamp": f"""SELECT sexo, estado, nombre_departamento AS departamento_nom, CAST(COUNT(*) AS BIGINT) AS registros
+FROM raw GROUP BY 1, 2, 3""",
     "json_latest": f"""SELECT sexo, estado, nombre_departamento AS departamento_nom, CAST(COUNT(*) AS BIGINT) AS registros
 FROM raw GROUP BY 1, 2, 3""",
 }
@@ -434,6 +441,7 @@ LEFT JOIN muni m ON lpad(c.codigo_municipio, 5, '0') = m.codigo
 LEFT JOIN hosp h ON TRY_CAST(c.codigo_municipio AS BIGINT) = h.id_municipio"""
 _CLEAN_SQL = {
     "clean_cases": f"{_CLEAN_COLUMNS} FROM clean",
+    "empty_dimension": f"SELECT sexo, {N} AS casos, CAST(0 AS BIGINT) AS con_poblacion FROM clean GROUP BY sexo",
     "csv_roundtrip": f"{_CLEAN_COLUMNS} FROM clean",
     "etl_trusted": _TRUSTED,
     "stage_counts": f"""SELECT 'leidos' AS etapa, {N} AS registros FROM raw
@@ -451,6 +459,8 @@ _TWO_NAMES = """, two AS (
   LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN nation ON s_nationkey = n_nationkey
 )"""
 _DIMENSION_SQL = {
+    "csv_dimensions": """SELECT codigo AS codigo_dane, poblacion AS poblacion_2020, ROUND(densidad, 6) AS densidad_poblacional, region
+FROM dept""",
     "join_any": _TWO_NAMES + """
 SELECT t.id_caso, t.codigo, t.nombre, d.id_departamento, d.poblacion AS poblacion_2020, d.region
 FROM two t LEFT JOIN dept d ON t.codigo = d.codigo OR t.nombre = d.nombre""",
@@ -477,7 +487,7 @@ LEFT JOIN bad b ON b.restriccion = r.restriccion GROUP BY r.restriccion""",
     "dedup_cases": """SELECT id_caso, l_partkey, l_suppkey, l_quantity, l_extendedprice, CAST(l_shipdate AS DATE) AS l_shipdate
 FROM (SELECT *, l_orderkey * 10 + l_linenumber AS id_caso,
              row_number() OVER (PARTITION BY l_orderkey * 10 + l_linenumber
-                                ORDER BY l_shipdate NULLS FIRST, l_partkey NULLS FIRST, l_suppkey NULLS FIRST, l_extendedprice NULLS FIRST) AS position
+                                ORDER BY l_shipdate NULLS LAST, l_partkey NULLS LAST, l_suppkey NULLS LAST, l_extendedprice NULLS LAST) AS position
       FROM lineitem) WHERE position = 1""",
     "landing_audit": "\nUNION ALL ".join(
         f"SELECT 'csv_{name}' AS dataset, {N} AS registros FROM {name}"

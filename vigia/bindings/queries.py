@@ -27,11 +27,11 @@ from vigia.bindings.star import (
 from vigia.functions.dates import days_between, parse_date, period_label, week_start
 from vigia.functions.measures import age_in_years, bucket_label
 from vigia.functions.text import canonical_name, fold_text, pad_code
-from vigia.model import DATE_COLUMNS, RAW_CASE_SCHEMA
+from vigia.model import DATE_COLUMNS, DIMENSION_SCHEMAS, RAW_CASE_SCHEMA
 from vigia.operators.dedup import keep_first
 from vigia.operators.integrity import duplicate_keys, key_report
 from vigia.operators.lookup import coverage, join_any, join_first_match
-from vigia.operators.report import rollup, state_columns
+from vigia.operators.report import pivot_counts, rollup, state_columns
 from vigia.operators.split import split_bucket
 from vigia.plans import etl, models, views
 from vigia.plans.reports import SEX_RATIO, dataset, find_report
@@ -381,9 +381,9 @@ VIEW_QUERIES: dict[str, Query] = {
     "affected_population": _view(views.affected_population, DEPARTMENTS),
     "dashboard_consolidated": _view(views.dashboard, DEPARTMENTS, REGIONS),
     "region_distribution": _view(views.region_distribution, REGIONS),
-    "top10_cfr": _view(lambda d, r: views.top_cfr_rows(views.dashboard(d, r)), DEPARTMENTS, REGIONS),
-    "top10_per_100k": _view(lambda d, r: views.top_per_100k(views.dashboard(d, r)), DEPARTMENTS, REGIONS),
-    "ranked_badges": _view(lambda d, r: views.ranked_table(views.dashboard(d, r), THRESHOLDS),
+    "top10_cfr": _view(lambda d, r: views.top_cfr_rows(views.dashboard(d, r, None)), DEPARTMENTS, REGIONS),
+    "top10_per_100k": _view(lambda d, r: views.top_per_100k(views.dashboard(d, r, None)), DEPARTMENTS, REGIONS),
+    "ranked_badges": _view(lambda d, r: views.ranked_table(views.dashboard(d, r, None), THRESHOLDS),
                            DEPARTMENTS, REGIONS),
     "top_municipalities": _view(lambda m: m, "geografia_municipios_top50"),
 }
@@ -435,10 +435,42 @@ def json_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.groupBy("sexo", "estado", "departamento_nom").agg(F.count(F.lit(1)).alias("registros"))
 
 
+def snapshot_by_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An older snapshot that is landed later; the one with the larger stamp is read."""
+    zone = scratch_path(spark, "raw")
+    raw = raw_cases(spark, sf_dir)
+    land_snapshot(raw, zone, "api/casos", datetime(2024, 1, 8))
+    land_snapshot(raw.filter(F.col("sexo") == "F"), zone, "api/casos", datetime(2024, 1, 1))
+    df = read_latest(spark, f"{zone}/api/casos", RAW_CASE_SCHEMA)
+    return df.groupBy("sexo", "estado", "departamento_nom").agg(F.count(F.lit(1)).alias("registros"))
+
+
+def csv_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The department dimension landed as CSV and read by its declared schema: codes keep their zeros."""
+    zone = scratch_path(spark, "dimensions")
+    write_csv(star.departments(spark, sf_dir), f"{zone}/snapshot=20240101_000000")
+    df = read_latest(spark, zone, DIMENSION_SCHEMAS["departamentos"])
+    return rounded(df.select("codigo_dane", "poblacion_2020", "densidad_poblacional", "region"))
+
+
+def empty_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A department dimension landed without rows is there: all cases stay, none with a population."""
+    zone = scratch_path(spark, "dimensions")
+    land_snapshot(star.departments(spark, sf_dir).limit(0), zone, "departamentos", datetime(2024, 1, 1))
+    dimension = read_latest(spark, f"{zone}/departamentos", DIMENSION_SCHEMAS["departamentos"])
+    cases = etl.with_department(clean_list(spark, sf_dir), dimension)
+    return cases.groupBy("sexo").agg(F.count(F.lit(1)).alias("casos"), F.count("poblacion_departamento").alias("con_poblacion"))
+
+
+def sex_ratio_one_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cases by age group and sex with one sex listed: the others are counted together."""
+    return pivot_counts(case_fact(spark, sf_dir, ["grupo_edad", "sexo"]), "grupo_edad", "sexo", ["F"])
+
+
 def csv_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A result saved as parquet and CSV; the CSV copy is read."""
     folder = scratch_path(spark, "refined")
-    save_if_any(_dataset(spark, sf_dir, "recuperacion_por_tipo"), folder, "recuperacion_por_tipo")
+    save_if_any(spark, _dataset(spark, sf_dir, "recuperacion_por_tipo"), folder, "recuperacion_por_tipo")
     df = read_csv(spark, f"{folder}/recuperacion_por_tipo.csv", infer=True)
     counts = ["total_casos", "recuperados", "fallecidos"]
     return rounded(df.withColumns({c: F.col(c).cast("bigint") for c in counts}))
@@ -448,9 +480,10 @@ def publish_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A published table whose contents are replaced."""
     path = scratch_path(spark, "warehouse")
     monthly = _dataset(spark, sf_dir, MONTHS)
-    publish(monthly.filter("anio_reporte = 1995"), "vigia_temporal_mensual", path)
-    publish(monthly, "vigia_temporal_mensual", path)
-    return rounded(spark.table("vigia_temporal_mensual"))
+    name = f"vigia_{path.rpartition('-')[2]}_temporal_mensual"
+    publish(monthly.filter("anio_reporte = 1995"), name, path)
+    publish(monthly, name, path)
+    return rounded(spark.table(name))
 
 
 def landing_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -599,6 +632,10 @@ OPERATOR_QUERIES: dict[str, Query] = {
     "landing_audit": landing_audit,
     "stage_counts": stage_counts,
     "case_sample": case_sample,
+    "snapshot_by_stamp": snapshot_by_stamp,
+    "csv_dimensions": csv_dimensions,
+    "empty_dimension": empty_dimension,
+    "sex_ratio_one_listed": sex_ratio_one_listed,
 }
 MODEL_QUERIES: dict[str, Query] = {
     "ml_dataset": ml_dataset,

@@ -64,6 +64,7 @@ class Report:
     fallback: Report | None = None               # used when columns are absent
     optional: bool = False                       # absent columns give no result
     empty_schema: str | None = None              # absent columns give an empty result
+    one_file: bool = True                        # CSV copy in one file: only where code lists bound the rows
 
     def texts(self) -> list[str]:
         texts = [*self.keys, *self.grain, *self.carried.values(), *self.measures.values()]
@@ -176,16 +177,19 @@ def run_report(
     return result
 
 
-def pivot_counts(df: DataFrame, key: str, column: str, values: Iterable[str]) -> DataFrame:
+def pivot_counts(df: DataFrame, key: str, column: str, values: Iterable[str], rest: str = "otros") -> DataFrame:
     """Cases by ``key`` with one column per listed value of ``column``; absent pairs are 0.
 
     The values are given, which saves the extra job that would look for them and keeps the schema
-    the same for any data; other values, NULL included, get no column.
+    the same for any data; other values, NULL included, are counted together in ``rest``.
     """
-    rows = with_states(df, Vocabulary(), ["st_cases"])
+    values = list(values)
+    rows = with_states(df, Vocabulary(), ["st_cases"]).withColumn(
+        column, F.when(F.col(column).isin(values), F.col(column)).otherwise(rest))
+    values = [v for v in values if v != rest] + [rest]
     return (
         rows.groupBy(key)
-        .pivot(column, list(values))
+        .pivot(column, values)
         .agg(F.sum("st_cases"))
         .na.fill(0)
         .orderBy(F.col(key).asc_nulls_first())

@@ -54,11 +54,12 @@ def clean_cases(
 ) -> DataFrame:
     """Canonical, parsed cases, one row per case id, with a department code.
 
-    Of several rows with one id the first in ``order`` stays (default: all other columns, which
-    leaves no ties between different rows).
+    Rows without a department code can't stay and are no rivals either.  Of several others with one id the first in
+    ``order`` stays (default: all other columns, which leaves no ties between different rows), a value before
+    a NULL and so a readable date before an unreadable one.
     """
     parsed = parse_columns(canonical_columns(raw), date_formats)
-    return keep_first(parsed, ["id_caso"], order).filter(F.col("codigo_departamento").isNotNull())
+    return keep_first(parsed.filter(F.col("codigo_departamento").isNotNull()), ["id_caso"], order)
 
 
 def hospital_capacity(hospitals: DataFrame) -> DataFrame:

@@ -106,12 +106,12 @@ def prepare_cases(df: DataFrame) -> DataFrame:
 
 
 def _spread(df: DataFrame) -> DataFrame:
-    """Rows dealt out evenly to as many tasks as the cluster has cores.
+    """Rows dealt out evenly to as many tasks as the session shuffles to.
 
     A fit passes over its rows some hundred times, so a few large or uneven input files would keep
-    most cores idle in each pass.
+    most cores idle in each pass.  The number of cores is no guide: it is that of the moment.
     """
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def label_counts(df: DataFrame) -> DataFrame:
@@ -187,12 +187,22 @@ def _classify(
 ) -> Fitted:
     used = list(dict.fromkeys(["id_caso", *categories, *numbers, *output, "label"]))
     train, test = hash_split(df.select(*used), "id_caso", TRAIN_PERCENT, seed)
-    pipeline = Pipeline(stages=[_index(categories), *last])
     with _cached(_spread(train.select(*categories, *numbers, "label"))) as rows:
-        model = pipeline.fit(rows)
+        index = _index(categories).fit(rows)
+        # A category needs a bin for each of its labels and one for others.
+        bins = max(32, 1 + max(map(len, index.labelsArray)))
+        for stage in last:
+            if isinstance(stage, RandomForestClassifier):
+                stage.setMaxBins(bins)
+        model = Pipeline(stages=[index, *last]).fit(rows)
     predictions = model.transform(test)
+    # The assembler leaves out cases without all numbers: they are part of the result, undecided.
+    missing = F.lit(False)
+    for number in numbers:
+        missing = missing | F.col(number).isNull() | F.isnan(F.col(number).cast("double"))
+    undecided = test.filter(missing).select(*output, "label", F.lit(None).cast("double").alias("prediction"))
     return Fitted(
-        predictions.select(*output, "label", "prediction"),
+        predictions.select(*output, "label", "prediction").unionByName(undecided),
         _evaluate(predictions, metrics),
         model,
         tuple(features),

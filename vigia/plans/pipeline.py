@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vigia.model import (
     DATE_FORMATS,
+    DIMENSION_SCHEMAS,
     RAW_CASE_SCHEMA,
     RAW_CASES,
     RAW_DIMENSIONS,
@@ -34,6 +35,7 @@ from vigia.plans.reports import (
     MUNICIPALITY_KEYS,
     ROLLUP_OF,
     dataset,
+    one_file,
 )
 from vigia.sources.readers import read_cases, read_latest
 from vigia.sources.writers import publish, save_if_any, save_result, write_cases, write_parquet
@@ -92,7 +94,7 @@ class Audit:
 def _dimension(spark: SparkSession, zones: Zones, name: str) -> DataFrame | None:
     """A landed dimension, or ``None`` if nothing was landed.  Any other error goes up."""
     try:
-        return read_latest(spark, f"{zones.raw.rstrip('/')}/{RAW_DIMENSIONS[name]}")
+        return read_latest(spark, f"{zones.raw.rstrip('/')}/{RAW_DIMENSIONS[name]}", DIMENSION_SCHEMAS[name])
     except FileNotFoundError:
         return None
 
@@ -101,7 +103,7 @@ def run_etl(spark: SparkSession, zones: Zones, settings: Settings = Settings(),
             audit: Audit | None = None) -> Audit:
     """Newest raw list and dimensions -> trusted cases by year and month."""
     audit = audit or Audit()
-    raw = read_latest(spark, f"{zones.raw.rstrip('/')}/{RAW_CASES}", RAW_CASE_SCHEMA)
+    raw = read_latest(spark, f"{zones.raw.rstrip('/')}/{RAW_CASES}", RAW_CASE_SCHEMA, csv_as_strings=True)
     dimensions = {name: _dimension(spark, zones, name) for name in RAW_DIMENSIONS}
     for name, df in dimensions.items():
         if df is None:
@@ -145,11 +147,10 @@ def run_analytics(spark: SparkSession, zones: Zones, settings: Settings = Settin
         source = rollups.get(ROLLUP_OF.get(name), cases)
         result = dataset(source, name, settings.thresholds, settings.vocabulary)
         target = "sql_edad_departamento" if name == "sql_edad_region" and "region" not in cases.columns else name
-        if result is None:
-            return target, None
         # Only the regions have an empty stand-in; any other result is written as it is.
-        save = save_if_any if name == "geografia_regiones" else save_result
-        return target, save(result, zones.analytics, target)
+        if result is None or name == "geografia_regiones":
+            return target, save_if_any(spark, result, zones.analytics, target)
+        return target, save_result(result, zones.analytics, target, one_file(name))
 
     with ThreadPoolExecutor(settings.parallel) as pool:
         for name, rows in pool.map(run, names):
@@ -176,7 +177,10 @@ def run_models(spark: SparkSession, zones: Zones, settings: Settings = Settings(
         "predictions_hospitalization": hospital.predictions,
     }
     for name, df in by_case.items():
-        audit.add("models", name, save_result(df, zones.models, name, single_file_rows=0))
+        audit.add("models", name, save_result(df, zones.models, name, one_file=False))
+        undecided = spark.read.parquet(f"{zones.models}/{name}.parquet").where("prediction IS NULL").count()
+        if undecided:
+            audit.add("models", f"{name}_undecided", undecided, "undecided", "cases without all features get no prediction")
     if hospital.warning:
         audit.add("models", "predictions_hospitalization", None, "warning", hospital.warning)
     for members_name, profile_name, clustered in (

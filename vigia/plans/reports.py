@@ -101,7 +101,7 @@ _ALL = [
         grain=("codigo_municipio",),
         carried={c: f"max({c})" for c in ("num_hospitales", "total_camas_uci", "total_camas_general")},
         derived={"casos_por_cama_uci": "try_divide(total_casos, camas_uci)"},
-        order=("-casos_por_cama_uci",), optional=True,
+        order=("-casos_por_cama_uci",), optional=True, one_file=False,
     ),
     # transmission, location, status
     Report(
@@ -172,7 +172,7 @@ _ALL = [
         {"total_casos": CASES, "fallecidos": DEATHS, "incidencia_100k": PER_100K_MUNICIPALITY,
          "letalidad": CFR},
         having="total_casos > {critical_cases} AND incidencia_100k > {critical_per_100k}",
-        order=("-incidencia_100k",), optional=True,
+        order=("-incidencia_100k",), optional=True, one_file=False,
     ),
     Report(
         "severidad_departamentos", DEPARTMENT,
@@ -313,6 +313,11 @@ def dataset(
     return run_report(df, find_report(name), thresholds, vocabulary)
 
 
+def one_file(name: str) -> bool:
+    """Whether code lists bound the rows of a dataset, so that its CSV copy is one file."""
+    return name == SEX_RATIO or find_report(name).one_file
+
+
 # Keys of the roll-ups that feed the datasets of a whole run.  Their domains are code lists, so the
 # first one stays small at any number of cases; the second has one row per municipality.
 DEMOGRAPHIC_KEYS = (

@@ -90,8 +90,11 @@ def regions(by_region: DataFrame) -> DataFrame:
 
 
 def temporal(by_month: DataFrame, limit: int | None = None) -> DataFrame:
-    ordered = by_month.orderBy(F.col("anio_reporte").asc_nulls_first(), F.col("mes_reporte").asc_nulls_first())
-    return ordered if limit is None else ordered.limit(limit)
+    """Months in ascending order; with a limit the newest ones."""
+    year, month = F.col("anio_reporte"), F.col("mes_reporte")
+    if limit is not None:
+        by_month = by_month.orderBy(year.desc_nulls_last(), month.desc_nulls_last()).limit(limit)
+    return by_month.orderBy(year.asc_nulls_first(), month.asc_nulls_first())
 
 
 def with_period(by_month: DataFrame) -> DataFrame:
@@ -174,7 +177,7 @@ def affected_population(departments: DataFrame, limit: int | None = 20) -> DataF
     )
 
 
-def dashboard(departments: DataFrame, by_region: DataFrame, limit: int = 50) -> DataFrame:
+def dashboard(departments: DataFrame, by_region: DataFrame, limit: int | None = 50) -> DataFrame:
     """Departments ⟕ regions by fatality rate, every gap filled for display."""
     joined = departments.join(
         _region_totals(by_region), departments["region"] == F.col("__region"), "left"
@@ -198,7 +201,7 @@ def region_distribution(by_region: DataFrame) -> DataFrame:
 
 
 def ranked_table(rows: DataFrame, thresholds: Thresholds = Thresholds()) -> DataFrame:
-    """Position by fatality rate and a badge; ``rows`` is the dashboard view, at most its limit."""
+    """Position by fatality rate and a badge; ``rows`` is the dashboard view without limit, one row per department."""
     order = Window.orderBy(F.col("tasa_letalidad").desc_nulls_last(), "nombre_departamento", "region")
     badge = level(
         F.col("tasa_letalidad"),

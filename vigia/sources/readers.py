@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import json
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vigia.sources.files import entries
+
 
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """JSON files that hold an array (or one object) each.
@@ -23,7 +27,7 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | None
     return (spark.read.schema(schema) if schema else spark.read).json(path)
 
 
-def read_csv(spark: SparkSession, path: str, infer: bool = False, schema: T.StructType | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | list[str], infer: bool = False, schema: T.StructType | None = None) -> DataFrame:
     """CSV with a header.
 
     Columns are strings unless ``infer`` (a second pass over the file) or a schema (columns in file
@@ -47,46 +51,62 @@ def read_cases(spark: SparkSession, root: str, first: tuple[int, int] | None = N
     return df
 
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """(path, modificationTime, length) of all files below a folder; contents are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(root)
-        .select("path", "modificationTime", "length")
-    )
-
-
 def latest_snapshot(spark: SparkSession, root: str) -> str:
-    """Newest file below a folder, by modification time and then path.
+    """The newest snapshot directly in a folder.
 
-    A snapshot written by Spark is a folder ``snapshot=<time>`` of part files; the folder is
-    returned then.
+    Snapshot folders are named ``snapshot=<time>``: the largest time that has been written to its end
+    (``_SUCCESS``) is taken, whenever it was written.  Without such folders it is the newest loose file, by
+    modification time and then path.
+    """
+    found = entries(spark, root)
+    stamped = [e for e in found if e.folder and e.name.startswith("snapshot=")]
+    for entry in sorted(stamped, key=lambda e: e.name, reverse=True):
+        if any(e.name == "_SUCCESS" for e in entries(spark, entry.path)):
+            return entry.path
+    loose = [e for e in found if not e.folder and e.name[0] not in "._"]
+    if not loose:
+        raise FileNotFoundError(f"no snapshot in {root}")
+    return max(loose, key=lambda e: (e.changed, e.path)).path
+
+
+def typed_by_name(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of a schema, found by name; a column that is not there is NULL, a value that does not fit too."""
+    known = {c.lower(): c for c in df.columns}
+    return df.select(*(
+        (F.col(f"`{known[f.name.lower()]}`").try_cast(f.dataType) if f.name.lower() in known else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in schema.fields))
+
+
+def read_latest(spark: SparkSession, root: str, schema: T.StructType | None = None, csv_as_strings: bool = False) -> DataFrame:
+    """Read the newest snapshot in a folder, all of its files, in the format their names tell.
+
+    JSON whose first line is an object by itself is JSON lines, any other is an array or object to each file; a
+    record that cannot be read is an error.  CSV columns are matched with the schema by header and inferred without one
+    (``csv_as_strings``: all strings, as they stand).  A snapshot without data is an empty table.
     """
-    try:
-        files = list_files(spark, root)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        raise FileNotFoundError(f"no files below {root}") from error
-    newest = files.agg(F.max_by("path", F.struct("modificationTime", "path")).alias("path")).first()
-    if newest is None or newest["path"] is None:
-        raise FileNotFoundError(f"no files below {root}")
-    path = newest["path"]
-    folder, _, _ = path.rpartition("/")
-    return folder if folder.rpartition("/")[2].startswith("snapshot=") else path
-
-
-def read_latest(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
-    """Read the newest snapshot below a folder in the format its name tells."""
     path = latest_snapshot(spark, root)
-    if path.rpartition("/")[2].startswith("snapshot="):
-        return read_json_lines(spark, path, schema)
-    if path.endswith(".json"):
-        return read_json_array(spark, path, schema)
-    if path.endswith(".csv"):
-        return read_csv(spark, path, infer=True)
-    raise ValueError(f"no reader for {path}")
+    inside = [e.path for e in entries(spark, path) if not e.folder and e.name[0] not in "._"]
+    if not inside:
+        if schema is None:
+            raise ValueError(f"{path} is empty and no schema is given")
+        return spark.createDataFrame([], schema)
+    kinds = {re.search(r"[.](json|csv)([.]\w+)?$", p).group(1) if re.search(r"[.](json|csv)([.]\w+)?$", p) else None for p in inside}
+    if kinds == {"csv"}:
+        rows = read_csv(spark, inside, infer=schema is None and not csv_as_strings)
+        return rows if schema is None or csv_as_strings else typed_by_name(rows, schema)
+    if kinds != {"json"}:
+        raise ValueError(f"no reader for {path}")
+    reader = spark.read.option("mode", "FAILFAST")
+    reader = reader.schema(schema) if schema else reader
+    first = spark.read.text(inside[0]).where(F.trim("value") != "").first()
+    return reader.option("multiLine", first is not None and not _is_object(first[0])).json(inside)
+
+
+def _is_object(line: str) -> bool:
+    try:
+        return isinstance(json.loads(line.lstrip("\ufeff")), dict)
+    except ValueError:
+        return False
 
 
 def read_table(

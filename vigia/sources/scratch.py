@@ -20,7 +20,8 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get(SETTING, None) or context.getConf().get(SETTING) or context.getCheckpointDir()
     if root:
         return root
-    if not context.master.startswith("local"):
+    # local-cluster has executors of its own.
+    if context.master != "local" and not context.master.startswith("local["):
         raise ValueError(f"set {SETTING} to a folder all executors can reach")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="vigia-"))
     return context.getCheckpointDir()

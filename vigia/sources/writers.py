@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-SINGLE_FILE_ROWS = 1_000_000
-
+from vigia.sources.files import remove_path
 
 def write_parquet(df: DataFrame, path: str, by: Sequence[str] = ()) -> int:
     """Overwrite a parquet folder; returns its rows.
@@ -52,25 +51,35 @@ def write_csv(df: DataFrame, path: str) -> None:
     )
 
 
-def save_result(df: DataFrame, folder: str, name: str, single_file_rows: int = SINGLE_FILE_ROWS) -> int:
+def save_result(df: DataFrame, folder: str, name: str, one_file: bool = True) -> int:
     """``<name>.parquet`` and, read back from it, ``<name>.csv``; returns the rows.
 
-    The plan runs once.  The CSV copy is one file up to ``single_file_rows`` rows, so that it suits
-    a spreadsheet; a larger result is copied by as many tasks as it has files.
+    The plan runs once.  The CSV copy is one file for datasets that code lists bound (``one_file``, declared
+    with the dataset and never decided by a count); any other is copied by as many tasks as it has files.
     """
     target = f"{folder.rstrip('/')}/{name}"
     rows = write_parquet(df, f"{target}.parquet")
     written = df.sparkSession.read.schema(df.schema).parquet(f"{target}.parquet")
     flat = written.select(*flat_columns(written))
-    write_csv(flat.coalesce(1) if rows <= single_file_rows else flat, f"{target}.csv")
+    write_csv(flat.coalesce(1) if one_file else flat, f"{target}.csv")
     return rows
 
 
-def save_if_any(df: DataFrame | None, folder: str, name: str) -> int | None:
-    """Save a result unless it is absent or empty; ``None`` then.  The test may run the plan again."""
+def save_if_any(spark: SparkSession, df: DataFrame | None, folder: str, name: str, one_file: bool = True) -> int | None:
+    """Save a result unless it is absent or empty; ``None`` then, and what an earlier run left is removed.
+
+    The test may run the plan again.
+    """
     if df is None or df.isEmpty():
+        remove_result(spark, folder, name)
         return None
-    return save_result(df, folder, name)
+    return save_result(df, folder, name, one_file)
+
+
+def remove_result(spark: SparkSession, folder: str, name: str) -> None:
+    """Removes a result that is no longer there, so that nothing stale is served."""
+    for suffix in ("parquet", "csv"):
+        remove_path(spark, f"{folder.rstrip('/')}/{name}.{suffix}")
 
 
 def publish(df: DataFrame, table: str, path: str | None = None) -> None:
