@@ -38,6 +38,35 @@ def test_test_rows_are_the_hashed_fifth(cases):
     assert ids == expected and 0.1 < len(ids) / cases.count() < 0.3
 
 
+def test_cases_without_all_numbers_stay_undecided(cases):
+    gaps = cases.withColumn("densidad_poblacional", F.when(F.col("id_caso").cast("int") % 3 != 0, F.col("densidad_poblacional")))
+    found = models.mortality_model(gaps, trees=1, depth=1).predictions
+    expected = models.hash_split(gaps, "id_caso")[1]
+    assert {r.id_caso for r in found.select("id_caso").collect()} == {r.id_caso for r in expected.select("id_caso").collect()}
+    assert {r.id_caso for r in found.filter("prediction IS NULL").collect()} == {r.id_caso for r in expected.filter("densidad_poblacional IS NULL").collect()}
+
+
+def test_many_labels_get_bins(cases):
+    assert models.mortality_model(cases.withColumn("tipo_contagio", F.col("id_caso")), trees=1, depth=1).predictions.count() > 0
+
+
+def test_metrics_of_counts(spark):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+
+    counts = {(0.0, 0.0): 5, (0.0, 1.0): 2, (1.0, 1.0): 3, (1.0, 2.0): 1, (2.0, 0.0): 4}
+    rows = spark.createDataFrame([k for k, n in counts.items() for _ in range(n)], "label double, prediction double")
+    for name, value in models._from_counts(counts).items():
+        assert abs(MulticlassClassificationEvaluator(metricName=name).evaluate(rows) - value) < 1e-12
+
+
+def test_clusters_read_their_written_table(cases):
+    clustered = models.cluster_groups(cases, LOW)
+    for df in (clustered.members, clustered.profile):
+        plan = df._jdf.queryExecution().toString()
+        assert "FileScan" in plan or "Relation" in plan
+        assert "InMemoryRelation" not in plan and "fecha_reporte" not in plan
+
+
 def test_no_deaths_give_no_curve(cases):
     fitted = models.mortality_model(cases.filter("fallecido = 0"), trees=1, depth=1)
     assert fitted.metrics == {"auc": 0.0, "accuracy": 1.0, "f1": 1.0}

@@ -343,7 +343,7 @@ FROM ({_ALL_ROWS})""",
     "top_municipalities": _MUNICIPALITIES,
     "sql_view": f"""SELECT region, anio_reporte, {N} AS casos, {D} AS fallecidos,
        CAST(RANK() OVER (PARTITION BY anio_reporte ORDER BY COUNT(*) DESC) AS INTEGER) AS ranking
-FROM fact WHERE anio_reporte >= 1994 GROUP BY region, anio_reporte""",
+FROM fact WHERE anio_reporte >= 1997 GROUP BY region, anio_reporte""",
     # typed cases
     "code_norm": f"""SELECT lpad(CAST(codigo_departamento AS VARCHAR), 2, '0') AS departamento_2,
        lpad(CAST(codigo_municipio AS VARCHAR), 2, '0') AS municipio_2, lpad(CAST(codigo_municipio AS VARCHAR), 5, '0') AS municipio_5,
@@ -378,7 +378,7 @@ LEFT JOIN (muni m JOIN hosp h ON h.id_municipio = m.id_municipio) ON m.codigo =
 FROM fact GROUP BY tipo_contagio, ubicacion""",
     "publish_table": _MONTHS,
     "parquet_partitioned": f"""SELECT anio_reporte, mes_reporte, {N} AS casos, {D} AS fallecidos FROM fact
-WHERE fecha_reporte >= DATE '1994-03-01' AND fecha_reporte < DATE '1997-11-01' GROUP BY anio_reporte, mes_reporte""",
+WHERE fecha_reporte >= DATE '1996-03-01' AND fecha_reporte < DATE '1997-11-01' GROUP BY anio_reporte, mes_reporte""",
     "case_sample": """SELECT id_caso, fecha_reporte, nombre_departamento, nombre_municipio, ROUND(edad_anios, 6) AS edad_anios, sexo, estado,
        grupo_edad, fallecido, recuperado_flag
 FROM fact ORDER BY fact.id_caso, fecha_reporte, nombre_departamento, nombre_municipio, fact.edad_anios, sexo, estado LIMIT 10""",

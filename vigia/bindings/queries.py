@@ -412,7 +412,7 @@ def parquet_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "cases")
     columns = ["id_caso", "estado", "edad_anios", "anio_reporte", "mes_reporte", "fallecido"]
     write_cases(case_fact(spark, sf_dir, columns), root)
-    period = read_cases(spark, root, (1994, 3), (1997, 10))
+    period = read_cases(spark, root, (1996, 3), (1997, 10))
     return period.groupBy("anio_reporte", "mes_reporte").agg(
         F.count(F.lit(1)).alias("casos"), F.sum("fallecido").alias("fallecidos")
     )

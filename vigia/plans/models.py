@@ -15,8 +15,9 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +33,7 @@ from vigia.plans.reports import (
     PER_100K_DEPARTMENT,
     RECOVERY,
 )
+from vigia.sources.scratch import scratch_path
 
 # Model settings and features.
 SEED = 42
@@ -159,20 +161,42 @@ def _forest(trees: int, depth: int, seed: int) -> RandomForestClassifier:
                                   maxDepth=depth, seed=seed, cacheNodeIds=True)
 
 
-def _evaluate(predictions: DataFrame, metrics: Mapping[str, str]) -> dict[str, float]:
-    """Metrics of the cached (label, prediction, rawPrediction) rows."""
-    values = {}
-    with _cached(predictions.select("label", "prediction", "rawPrediction")) as rows:
-        for name, metric in metrics.items():
-            if metric == "areaUnderROC":
-                if label_counts(rows).count() < 2:
-                    values[name] = 0.0      # no curve without both classes
-                    continue
-                evaluator = BinaryClassificationEvaluator(labelCol="label", metricName=metric)
-            else:
-                evaluator = MulticlassClassificationEvaluator(labelCol="label", metricName=metric)
-            values[name] = float(evaluator.evaluate(rows))
-    return values
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    """Written to the scratch folder and read back: what follows scans this table and not the cases."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _from_counts(counts: Mapping[tuple[float, float], int]) -> dict[str, float]:
+    """Metrics of a confusion table {(label, prediction): cases}, weighted by the cases of each label."""
+    total = sum(counts.values())
+    if not total:
+        return {"accuracy": 0.0, "f1": 0.0, "weightedPrecision": 0.0, "weightedRecall": 0.0}
+    precision = recall = f1 = 0.0
+    for label in {k for k, _ in counts}:
+        hits = counts.get((label, label), 0)
+        cases = sum(n for (k, _), n in counts.items() if k == label)
+        called = sum(n for (_, k), n in counts.items() if k == label)
+        p, r = (hits / called if called else 0.0), hits / cases
+        precision, recall = precision + p * cases / total, recall + r * cases / total
+        f1 += (2 * p * r / (p + r) if p + r else 0.0) * cases / total
+    accuracy = sum(n for (label, k), n in counts.items() if label == k) / total
+    return {"accuracy": accuracy, "f1": f1, "weightedPrecision": precision, "weightedRecall": recall}
+
+
+def _evaluate(rows: DataFrame, metrics: Mapping[str, str]) -> dict[str, float]:
+    """Metrics of written (label, prediction, score) rows: one count of pairs, one more pass for a curve."""
+    decided = rows.filter(F.col("prediction").isNotNull())
+    counts = {(r["label"], r["prediction"]): r["n"] for r in
+              decided.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n")).collect()}
+    found = _from_counts(counts)
+    if "areaUnderROC" in metrics.values():
+        # No curve without both classes.
+        both = len({label for label, _ in counts}) == 2
+        curve = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="score", metricName="areaUnderROC")
+        found["areaUnderROC"] = float(curve.evaluate(decided)) if both else 0.0
+    return {name: found[metric] for name, metric in metrics.items()}
 
 
 def _classify(
@@ -195,15 +219,17 @@ def _classify(
             if isinstance(stage, RandomForestClassifier):
                 stage.setMaxBins(bins)
         model = Pipeline(stages=[index, *last]).fit(rows)
-    predictions = model.transform(test)
+    score = F.coalesce(F.get(vector_to_array("probability"), F.lit(1)), F.lit(0.0)).alias("score")
+    predictions = model.transform(test).select(*output, "label", "prediction", score)
     # The assembler leaves out cases without all numbers: they are part of the result, undecided.
     missing = F.lit(False)
     for number in numbers:
         missing = missing | F.col(number).isNull() | F.isnan(F.col(number).cast("double"))
-    undecided = test.filter(missing).select(*output, "label", F.lit(None).cast("double").alias("prediction"))
+    undecided = test.filter(missing).select(*output, "label", F.lit(None).cast("double").alias("prediction"), F.lit(None).cast("double").alias("score"))
+    written = _stored(predictions.unionByName(undecided), "predictions")
     return Fitted(
-        predictions.select(*output, "label", "prediction").unionByName(undecided),
-        _evaluate(predictions, metrics),
+        written.select(*output, "label", "prediction"),
+        _evaluate(written, metrics),
         model,
         tuple(features),
     )
@@ -300,6 +326,7 @@ def feature_importance(fitted: Fitted, spark: SparkSession) -> DataFrame:
 def _cluster(table: DataFrame, features: Sequence[str], k: int, profile: Mapping[str, str],
              key: Sequence[str], seed: int) -> Clustered | None:
     """K-means on standardised features; ``None`` with fewer complete rows than clusters."""
+    table = _stored(table, "features")
     with _cached(table) as rows:
         if rows.dropna(subset=list(features)).count() < k:
             return None
