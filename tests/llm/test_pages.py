@@ -90,6 +90,7 @@ def test_every_page_comes_back(spark, small):
     ("<!-- x --><p>t<!-- > --> u</p><form>f</form><aside>q</aside>", "t u"), ("<nav><p>n</nav>z", "z"), ("<p>&lt;b&gt; &#233;&copy;", "<b> é©"),
     ("<article><h1>T</h1><p><b>s<br><p>t</article><footer>f</footer>", "T\ns\nt"), ("<b>" * 2000 + "deep", "deep"), ("<style>p{}</style><noscript>n</noscript>k", "k"),
     ("<div hidden>h</div><div style='display:none'>i</div>j", "j"), ("<dl><dt>a<dd>b<dt>c</dl>", "a\nb\nc"), ("</p></div>q", "q"),
+    ("<p title='a>b'>x</p>", "x"), ("<p don't>x</p><p>it's</p>", "x\nit's"), ("<p title=\"x>y</p>z", "y\nz"), ("<a " + "b='c' " * 5000, ""),
     ("<div id=cookie-notice>c</div><div class=sidebar>s</div><div class=siteHeader>h</div>m", "m"),
 ])
 def test_blocks(html, text):
