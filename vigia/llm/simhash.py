@@ -300,7 +300,8 @@ def keep_one(df: DataFrame, text: str = "text", id: str = "doc_id", distance: in
     flag = free_name(df, "component")
     found = near_duplicates(df.where(F.col(id).isNotNull()), text, id, distance, size)
     ids = stored(found.where("id = component").groupBy("id").agg(F.count(F.lit(1)).alias("n")), "simhash-kept")
-    kept = df.join(ids.select(F.col("id").alias(flag)), F.col(id) == F.col(flag), "left_semi")
+    # Nearly all ids are kept, so their table grows with the input: the rows are dealt out by id at every size.
+    kept = df.join(ids.select(F.col("id").alias(flag)).hint("shuffle_hash"), F.col(id) == F.col(flag), "left_semi")
     if not ids.where("n > 1").isEmpty():
         kept = kept.dropDuplicates([id])
     return kept.unionByName(df.where(F.col(id).isNull()))
