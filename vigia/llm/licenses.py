@@ -5,6 +5,9 @@ from licence names, and the standard wordings of short licences and file headers
 ratio of the two sizes to between ``t / (2 - t)`` and its inverse, so that only templates of about a part's own size are
 looked at.  It also means that a part has at least ``t / (2 - t)`` of a template's bigrams, and so one at least of any other few
 of them: texts and lines with none of these few, chosen among the rarer ones, need no comparison.
+
+A notice without the name, as "This work is licensed under the", is nearly all of many notices: the words that tell the licence must
+be in the part as well.
 """
 
 from __future__ import annotations
@@ -79,10 +82,11 @@ WORDINGS = {
 }
 
 _WORD = re.compile(r"\w+")
-_SENTENCE = re.compile(r"(?<=[.!?;:])\s+")
+_SENTENCE = re.compile(r"(?<=[.!?])\s+")
 _PARAGRAPH = re.compile(r"\n\s*\n")
 _YEAR = re.compile(r"(?:19|20)\d\d")
 #: Words too common in any text to tell a licence.
+_VAGUE = frozenset("the license licence version public international terms style software".split())
 _COMMON = frozenset("a an and any are at be by can for from in is it may not of on or that the this to under with you".split())
 
 Grams = frozenset[tuple[str, str]]
@@ -106,14 +110,17 @@ class Templates:
     """Templates in order of size."""
 
     def __init__(self, least: float = LEAST):
-        texts = {(name, t) for name, wordings in WORDINGS.items() for t in wordings}
-        texts |= {(name, f"{phrase} {the}{called}") for name, names in NAMES.items() for called in names for phrase in PHRASES for the in ("", "the ")}
-        texts |= {(name, f"SPDX-License-Identifier: {name}") for name in NAMES}
-        found = {(name, bigrams(normalised(text))) for name, text in texts}
+        texts = {(name, "", t) for name, wordings in WORDINGS.items() for t in wordings}
+        texts |= {(name, called, f"{phrase} {the}{called}") for name, names in NAMES.items() for called in names for phrase in PHRASES
+                  for the in ("", "the ")}
+        texts |= {(name, name, f"SPDX-License-Identifier: {name}") for name in NAMES}
+        found = {(name, frozenset(normalised(called)) - _VAGUE, bigrams(normalised(text))) for name, called, text in texts}
         self.least = least
-        self.templates = sorted(((len(grams), name, grams) for name, grams in found if grams), key=lambda t: (t[0], t[1], sorted(t[2])))
+        #: Size, licence, words that must be there, bigrams.
+        self.templates = sorted(((len(grams), name, needed, grams) for name, needed, grams in found if grams),
+                                key=lambda t: (t[0], t[1], sorted(t[2]), sorted(t[3])))
         self.sizes = [t[0] for t in self.templates]
-        self.anchors = frozenset(gram for size, _, grams in self.templates for gram in sorted(
+        self.anchors = frozenset(gram for size, _, _, grams in self.templates for gram in sorted(
             grams, key=lambda g: (len(_COMMON & {*g}), g))[:size - ceil(size * least / (2 - least) - 1e-9) + 1])
         self.largest = self.sizes[-1] * (2 - least) / least
 
@@ -122,10 +129,10 @@ class Templates:
         size = len(grams)
         first = bisect_left(self.sizes, size * self.least / (2 - self.least) - 1e-9)
         last = bisect_right(self.sizes, size * (2 - self.least) / self.least + 1e-9)
-        found = None
-        for _, name, template in self.templates[first:last]:
+        found, words = None, {w for gram in grams for w in gram}
+        for _, name, needed, template in self.templates[first:last]:
             score = dice(grams, template)
-            if score >= self.least and (found is None or (-score, name) < (-found[0], found[1])):
+            if score >= self.least and needed <= words and (found is None or (-score, name) < (-found[0], found[1])):
                 found = score, name
         return found
 
@@ -133,10 +140,11 @@ class Templates:
         """(licence, Dice coefficient, part) for each licence of a text: its closest part, the first of ties."""
         found: dict[str, tuple[float, str]] = {}
 
-        def look(part: str, grams: Grams) -> None:
+        def look(part: str, grams: Grams) -> bool:
             hit = self.best(grams)
             if hit and hit[0] > found.get(hit[1], (0.0, ""))[0]:
                 found[hit[1]] = hit[0], part
+            return hit is not None
 
         words = normalised(text or "")
         if self.anchors.isdisjoint(zip(words, words[1:])):
@@ -145,8 +153,8 @@ class Templates:
             grams = bigrams(normalised(line))
             if self.anchors.isdisjoint(grams):
                 continue
-            if len(grams) <= self.largest:
-                look(line, grams)
+            if len(grams) <= self.largest and look(line, grams):
+                continue
             sentences = _SENTENCE.split(line)
             if len(sentences) > 1:
                 for sentence in sentences:
