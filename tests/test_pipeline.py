@@ -5,7 +5,7 @@ from tests.conftest import raw_row, table_rows, write_json_array
 from vigia.__main__ import main
 from vigia.model import Thresholds
 from vigia.plans import models, pipeline, views
-from vigia.plans.pipeline import Settings, Zones, run_all, run_analytics, run_etl
+from vigia.plans.pipeline import Settings, Zones, run_all, run_analytics, run_etl, run_models
 from vigia.plans.reports import DATASETS
 from vigia.sources.landing import land_tables
 
@@ -92,6 +92,24 @@ def test_missing_dimensions_leave_cases_plain(spark, zones, tmp_path):
     assert status["analytics", "geografia_regiones"] == status["analytics", "tasa_ataque"] == "skipped"
     assert status["analytics", "sql_edad_departamento"] == "ok"
     assert len(spark.read.parquet(plain.cases).columns) == 25
+    names = views.register(spark, plain.analytics)
+    assert {"temporal_mensual", "dashboard_kpis", "top_meses_criticos"} <= set(names) and "vista_consolidada" not in names
+    for name in names:
+        spark.catalog.dropTempView(name)
+
+
+def test_one_failing_model_leaves_the_others(spark, zones, tmp_path, monkeypatch):
+    def broken(*args, **kwargs):
+        raise ValueError("no fit")
+
+    run_etl(spark, zones, SETTINGS)
+    monkeypatch.setattr(models, "severity_model", broken)
+    other = Zones(zones.raw, zones.trusted, str(tmp_path))
+    status = {item: s for _, item, _, s, _ in run_models(spark, other, SETTINGS).rows}
+    assert status["predictions_severity"] == "failed" and status["predictions_mortality"] == "ok"
+    assert status["clusters_grupos_poblacionales"] in ("ok", "skipped")
+    row = spark.read.parquet(f"{other.models}/ml_metrics_completas.parquet").first()
+    assert row.severity_f1 is None and row.mortality_f1 is not None
 
 
 def test_a_broken_dimension_is_an_error(spark, zones, tmp_path):
@@ -115,7 +133,7 @@ def test_failed_models_do_not_stop_publishing(spark, zones, tmp_path, monkeypatc
     monkeypatch.setattr(models, "mortality_model", fail)
     other = Zones(zones.raw, str(tmp_path / "t"), str(tmp_path / "r"))
     rows = run_all(spark, other, SETTINGS, tables_root=str(tmp_path / "tables")).collect()
-    assert [(r.status, r.message) for r in rows if r.stage == "models"] == [("failed", "no luck")]
+    assert [(r.item, r.message) for r in rows if r.status == "failed"] == [("predictions_mortality", "no luck")]
     assert sum(r.stage == "publish" for r in rows) == 3
     for table in pipeline.PUBLISHED:
         spark.sql(f"DROP TABLE {table}")

@@ -1,4 +1,4 @@
-"""``spark-submit`` / ``python -m vigia`` entry: etl, analytics, models or all."""
+"""``spark-submit`` / ``python -m vigia`` entry: etl, analytics, models, publish or all."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import argparse
 from collections.abc import Sequence
 
 from vigia.model import DATE_FORMATS, EXTRA_DATE_FORMATS
-from vigia.plans.pipeline import Settings, Zones, run_all, run_analytics, run_etl, run_models
+from vigia.plans.pipeline import Settings, Zones, run_all, run_analytics, run_etl, run_models, run_publish
 from vigia.session import get_session
 
 
@@ -17,6 +17,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         "etl": ("raw", "trusted"),
         "analytics": ("trusted", "refined"),
         "models": ("trusted", "refined"),
+        "publish": ("refined",),
         "all": ("raw", "trusted", "refined"),
     }
     for job, names in folders.items():
@@ -27,6 +28,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         command.add_argument("--first-match", action="store_true", help="department by code, else name")
         command.add_argument("--extra-reports", action="store_true", help="write the documented-only datasets too")
         command.add_argument("--database", help="catalogue database to publish to")
+        command.add_argument("--tables-root", help="folder of the published tables; default: the session's warehouse")
     args = parser.parse_args(argv)
 
     zones = Zones(*(getattr(args, zone, "") for zone in ("raw", "trusted", "refined")))
@@ -37,7 +39,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     )
     spark = get_session(f"vigia-{args.job}")
     if args.job == "all":
-        audit = run_all(spark, zones, settings, args.database)
+        audit = run_all(spark, zones, settings, args.database, args.tables_root)
+    elif args.job == "publish":
+        audit = run_publish(spark, zones, database=args.database, tables_root=args.tables_root).table(spark)
     else:
         stage = {"etl": run_etl, "analytics": run_analytics, "models": run_models}[args.job]
         audit = stage(spark, zones, settings).table(spark)

@@ -386,16 +386,17 @@ def cluster_members(clustered: Clustered) -> DataFrame:
     ).orderBy("cluster", F.col("nombre_departamento").asc_nulls_first())
 
 
-def metrics_row(mortality: Fitted, severity: Fitted, hospitalization: Fitted, spark: SparkSession) -> DataFrame:
-    """All metrics as one row of named numbers."""
+def metrics_row(mortality: Fitted | None, severity: Fitted | None, hospitalization: Fitted | None, spark: SparkSession) -> DataFrame:
+    """All metrics as one row of named numbers, NULL for a model that could not be fitted."""
     values = {
         f"{prefix}_{name}": value
         for prefix, fitted in (("mortality", mortality), ("severity", severity),
                                ("hospitalization", hospitalization))
+        if fitted is not None
         for name, value in fitted.metrics.items()
     }
     schema = ", ".join(f"{name} double" for name in METRIC_NAMES)
-    return spark.createDataFrame([tuple(values[name] for name in METRIC_NAMES)], schema)
+    return spark.createDataFrame([tuple(values.get(name) for name in METRIC_NAMES)], schema)
 
 
 # Case columns the models read, for bindings that build only what is asked for.

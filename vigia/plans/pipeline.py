@@ -38,7 +38,7 @@ from vigia.plans.reports import (
     one_file,
 )
 from vigia.sources.readers import read_cases, read_latest
-from vigia.sources.writers import publish, save_if_any, save_result, write_cases, write_parquet
+from vigia.sources.writers import publish, remove_result, save_if_any, save_result, write_cases, write_parquet
 
 # The datasets that become warehouse tables.
 PUBLISHED = ("temporal_mensual", "geografia_departamentos", "dashboard_kpis")
@@ -165,32 +165,41 @@ def run_models(spark: SparkSession, zones: Zones, settings: Settings = Settings(
     cases = models.prepare_cases(read_cases(spark, zones.cases))
     vocabulary, thresholds = settings.vocabulary, settings.thresholds
     with ThreadPoolExecutor(settings.parallel) as pool:
-        fits = (
-            pool.submit(models.mortality_model, cases, trees=settings.trees),
-            pool.submit(models.severity_model, cases, vocabulary, trees=settings.trees),
-            pool.submit(models.hospitalization_model, cases, vocabulary),
-        )
-        mortality, severity, hospital = (fit.result() for fit in fits)
-    by_case = {
-        "predictions_mortality": mortality.predictions,
-        "predictions_severity": severity.predictions,
-        "predictions_hospitalization": hospital.predictions,
-    }
-    for name, df in by_case.items():
+        fits = {
+            "predictions_mortality": pool.submit(models.mortality_model, cases, trees=settings.trees),
+            "predictions_severity": pool.submit(models.severity_model, cases, vocabulary, trees=settings.trees),
+            "predictions_hospitalization": pool.submit(models.hospitalization_model, cases, vocabulary),
+            "clusters_departamentos": pool.submit(models.cluster_departments, cases, thresholds, vocabulary),
+            "clusters_grupos_poblacionales": pool.submit(models.cluster_groups, cases, thresholds, vocabulary),
+        }
+    done = {}
+    for name, fit in fits.items():
+        try:
+            done[name] = fit.result()
+        except Exception as error:  # noqa: BLE001 - one model that fails is no reason to lose the others
+            audit.add("models", name, None, "failed", str(error).splitlines()[0][:500])
+            done[name] = None
+    mortality, severity, hospital = (done[f"predictions_{name}"] for name in ("mortality", "severity", "hospitalization"))
+    for name, fitted in list(done.items())[:3]:
+        if fitted is None:
+            remove_result(spark, zones.models, name)
+            continue
+        df = fitted.predictions
         audit.add("models", name, save_result(df, zones.models, name, one_file=False))
         undecided = spark.read.parquet(f"{zones.models}/{name}.parquet").where("prediction IS NULL").count()
         if undecided:
             audit.add("models", f"{name}_undecided", undecided, "undecided", "cases without all features get no prediction")
-    if hospital.warning:
+    if hospital is not None and hospital.warning:
         audit.add("models", "predictions_hospitalization", None, "warning", hospital.warning)
     for members_name, profile_name, clustered in (
-        ("clusters_departamentos", "clusters_analisis_departamentos",
-         models.cluster_departments(cases, thresholds, vocabulary)),
-        ("clusters_grupos_poblacionales", "clusters_analisis_poblacional",
-         models.cluster_groups(cases, thresholds, vocabulary)),
+        ("clusters_departamentos", "clusters_analisis_departamentos", done["clusters_departamentos"]),
+        ("clusters_grupos_poblacionales", "clusters_analisis_poblacional", done["clusters_grupos_poblacionales"]),
     ):
         if clustered is None:
-            audit.add("models", members_name, None, "skipped", "too few groups or no dimension")
+            remove_result(spark, zones.models, members_name)
+            remove_result(spark, zones.models, profile_name)
+            if not any(row[:2] == ("models", members_name) for row in audit.rows):
+                audit.add("models", members_name, None, "skipped", "too few groups or no dimension")
             continue
         audit.add("models", members_name, save_result(clustered.members, zones.models, members_name))
         audit.add("models", profile_name, save_result(clustered.profile, zones.models, profile_name))

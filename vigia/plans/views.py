@@ -16,6 +16,7 @@ from vigia.functions.dates import period_label
 from vigia.functions.measures import level, rate, zero_if_missing
 from vigia.functions.text import is_label, label_or
 from vigia.model import Thresholds
+from vigia.sources.files import entries
 
 CATALOGUE = {
     "kpis": "National indicators",
@@ -49,24 +50,28 @@ PUBLISHED_NAMES = (
 def register(spark: SparkSession, folder: str) -> list[str]:
     """Temporary views over the written datasets, so that every query of the service runs as SQL.
 
-    ``folder`` is the analytics folder of a run with enrichment; returns the names registered.
+    ``folder`` is the analytics folder of a run; returns the names registered.  A run without enrichment has no regions
+    and populations: datasets and views that need them are left out.
     """
+    there = {e.name for e in entries(spark, folder)}
     written = {
         name: spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
-        for name in (*PUBLISHED_NAMES, "sql_ranking_departamentos")
+        for name in (*PUBLISHED_NAMES, "sql_ranking_departamentos") if f"{name}.parquet" in there
     }
-    by_department, by_region = written["geografia_departamentos"], written["geografia_regiones"]
-    by_month, summary = written["temporal_mensual"], written["dashboard_kpis"]
+    departments, regions_, months, summary, ranked = (written.get(name) for name in (
+        "geografia_departamentos", "geografia_regiones", "temporal_mensual", "dashboard_kpis", "sql_ranking_departamentos"))
+    named = {name: written[name] for name in PUBLISHED_NAMES if name in written}
     # View names.
-    named = {
-        **{name: written[name] for name in PUBLISHED_NAMES},
-        "ranking_departamentos": written["sql_ranking_departamentos"],
-        "vista_consolidada": consolidated(by_department, by_region, summary, limit=None),
-        "top_departamentos_letalidad": top_cfr(by_department),
-        "top_meses_criticos": critical_months(by_month),
-        "comparativa_regiones": region_comparison(by_department),
-        "departamentos_poblacion": affected_population(by_department, limit=None),
-    }
+    if ranked is not None:
+        named["ranking_departamentos"] = ranked
+    if months is not None:
+        named["top_meses_criticos"] = critical_months(months)
+    if departments is not None and {"region", "poblacion_departamento"} <= set(departments.columns):
+        if regions_ is not None and summary is not None:
+            named["vista_consolidada"] = consolidated(departments, regions_, summary, limit=None)
+        named["top_departamentos_letalidad"] = top_cfr(departments)
+        named["comparativa_regiones"] = region_comparison(departments)
+        named["departamentos_poblacion"] = affected_population(departments, limit=None)
     for name, df in named.items():
         df.createOrReplaceTempView(name)
     return list(named)
