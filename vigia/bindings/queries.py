@@ -401,7 +401,7 @@ def sql_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         WHERE anio_reporte >= :desde
         GROUP BY region, anio_reporte
         """,
-        args={"desde": 1994},
+        args={"desde": 1997},
     ))
 
 
