@@ -297,8 +297,12 @@ def keep_one(df: DataFrame, text: str = "text", id: str = "doc_id", distance: in
 
     Of rows that repeat an id one stays.  Rows with a NULL id can't be told apart and all stay.
     """
+    return keep_smallest(df, near_duplicates(df.where(F.col(id).isNotNull()), text, id, distance, size), id)
+
+
+def keep_smallest(df: DataFrame, found: DataFrame, id: str) -> DataFrame:
+    """The rows of ``df`` whose id is that of its component in ``found`` (id, component), once each, and those with a NULL id."""
     flag = free_name(df, "component")
-    found = near_duplicates(df.where(F.col(id).isNotNull()), text, id, distance, size)
     ids = stored(found.where("id = component").groupBy("id").agg(F.count(F.lit(1)).alias("n")), "simhash-kept")
     # Nearly all ids are kept, so their table grows with the input: the rows are dealt out by id at every size.
     kept = df.join(ids.select(F.col("id").alias(flag)).hint("shuffle_hash"), F.col(id) == F.col(flag), "left_semi")
