@@ -115,6 +115,21 @@ def test_template_branches_are_cut_by_entropy(spark):
     assert htmltext.extract(table.limit(0)).count() == 0
 
 
+def test_copies_of_a_page_count_once(spark):
+    def page(text):
+        return f"<html><body><div class=top>Welcome to this site</div><div id=content><p>{text}</p></div></body></html>"
+
+    rows = [(k, f"http://a.example/{k}", page("One text under many urls.")) for k in range(8)]
+    rows += [(100 + k, f"http://b.example/{k}", page("Copied 75 times." if k < 75 else f"Told only by page {k}.")) for k in range(100)]
+    # A page of nothing but what all others have keeps its text.
+    rows += [(300, "http://b.example/top", "<html><body><div class=top>Welcome to this site</div></body></html>")]
+    table = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    found = {r["page_id"]: r["text"] for r in htmltext.extract(table).collect()}
+    assert all(found[k] == "Welcome to this site\nOne text under many urls." for k in range(8))
+    assert all(found[100 + k] == ("Copied 75 times." if k < 75 else f"Told only by page {k}.") for k in range(100))
+    assert found[300] == "Welcome to this site"
+
+
 def test_articles_of_pages(spark, small):
     rows = {r["page_id"]: r for r in QUERIES["op6_main_text"](spark, small).collect()}
     pages = spark.read.parquet(f"{small}/pages.parquet").collect()

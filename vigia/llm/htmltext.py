@@ -7,6 +7,8 @@ entropy of its content over the pages, from 0 (the same on every page) to 1 (dif
 are cut from each page; so are branches whose markup says what they are (menus, headers, footers, forms, scripts, adverts, comments
 and the like).  What the page itself marks as its article is not judged by entropy, so that passages many pages share stay in.
 
+Equal pages of a host are one page to the entropies, however many urls they have.  Were nothing left of a page, it is kept uncut.
+
 The sums behind the entropies are additive: they are counted by host, node and content in tasks before they are shuffled,
 so that a host with a third of all pages is no heavier than its different contents.
 """
@@ -260,29 +262,37 @@ def contents(page: list[Block]) -> list[tuple[int, int, float]]:
     return [(_key(*node), _key(*texts), chars[node][1] / chars[node][0]) for node, texts in held.items()]
 
 
+def whole(page: list[Block]) -> int:
+    """A hash of all that a page's blocks hold, the same for its copies."""
+    return _key(*(part for block in page for part in (*block.path, "\x1e", block.text, "\x1e")))
+
+
 def main_text(page: list[Block], cut: set[int]) -> str:
-    """The blocks of a page, one line each; those below a style node of ``cut`` go unless they are in an article."""
-    return "\n".join(block.text for block in page if block.article or not cut or not any(
-        _key(*block.path[:depth]) in cut for depth in range(1, len(block.path) + 1)))
+    """The blocks of a page, one line each; those below a style node of ``cut`` go unless they are in an article or none would be left."""
+    kept = [block.text for block in page if block.article or not cut or not any(
+        _key(*block.path[:depth]) in cut for depth in range(1, len(block.path) + 1))]
+    return "\n".join(kept or [block.text for block in page])
 
 
 def style_trees(pages: DataFrame) -> DataFrame:
     """(host, node) of the branches of low importance, from ``pages`` (host, html).
 
-    With ``m`` pages that have a node, content ``c`` on ``n_c`` of them has the share ``n_c / m``; importance is the entropy of
+    With ``m`` different pages that have a node, content ``c`` on ``n_c`` of them has the share ``n_c / m``; importance is the entropy of
     these shares to the base ``m``.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hosts, htmls = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            found = [(h, *c) for h, html in zip(hosts, htmls, strict=True) for c in contents(blocks(html or ""))]
-            columns = list(zip(*found, strict=True)) or [[]] * 4
-            types = (pa.string(), pa.int64(), pa.int64(), pa.float64())
+            read = [blocks(html or "") for html in htmls]
+            found = [(h, whole(page), *c) for h, page in zip(hosts, read, strict=True) for c in contents(page)]
+            columns = list(zip(*found, strict=True)) or [[]] * 5
+            types = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, types, strict=True)],
-                                             names=["host", "node", "content", "linked"])
+                                             names=["host", "page", "node", "content", "linked"])
 
-    rows = pages.select("host", "html").mapInArrow(count, "host string, node bigint, content bigint, linked double")
-    each = rows.groupBy("host", "node", "content").agg(F.count(F.lit(1)).alias("n"), F.sum("linked").alias("linked"))
+    rows = pages.select("host", "html").mapInArrow(count, "host string, page bigint, node bigint, content bigint, linked double")
+    once = rows.groupBy("host", "page", "node", "content").agg(F.min("linked").alias("linked"))
+    each = once.groupBy("host", "node", "content").agg(F.count(F.lit(1)).alias("n"), F.sum("linked").alias("linked"))
     nodes = each.groupBy("host", "node").agg(
         F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("s"), F.sum("linked").alias("linked"))
     importance = F.when(F.col("m") > 1, (F.log("m") - F.col("s") / F.col("m")) / F.log("m")).otherwise(1.0)
