@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 import xxhash
 
@@ -167,6 +168,36 @@ def test_leaks_are_found_and_clean_texts_are_left_alone(spark):
     assert kept.columns == docs.columns and kept.count() == 150
 
 
+def changed_items(rng, items, words):
+    """(item, text): items with 20 to 45 % of their words replaced, at random places, at the head, in the middle or at the tail."""
+    for number, item in items:
+        for share, kind in itertools.product((0.2, 0.3, 0.4, 0.45), ("random", "head", "middle", "tail")):
+            k, n = int(len(item) * share), len(item)
+            at = {"random": rng.sample(range(n), k), "head": range(k), "middle": range((n - k) // 2, (n + k) // 2), "tail": range(n - k, n)}[kind]
+            copy = [rng.choice(words) if i in set(at) else w for i, w in enumerate(item)]
+            start = rng.randrange(len(words) - 200)
+            yield number, " ".join([*words[start:start + 70], *copy, *words[start + 100:start + 150]])
+
+
+def test_changed_items_reach_the_check():
+    folder = "/root/testdata/sf0.01"
+    texts = pq.read_table(f"{folder}/documents.parquet")["text"].to_pylist()
+    bench = [(str(r["item_id"]), r["text"], None) for r in pq.read_table(f"{folder}/benchmark.parquet").to_pylist()]
+    sums = decontaminate._Sums()
+    sums.add(texts)
+    index = decontaminate.Index(decontaminate._space(sums.moment, sums.frequency, sums.passages), bench)
+    words = [w for t in texts for w in decontaminate.words_of(t or "")]
+    cases = list(changed_items(random.Random(23), [(i, decontaminate.words_of(t)) for i, t, _ in bench], words))
+    answers = {i: (decontaminate.words_of(t), decontaminate.answer_of(t)) for i, t, _ in bench}
+    accepted = hits = 0
+    for (i, text), found in zip(cases, index.search([t for _, t in cases]), strict=True):
+        item, answer = answers[i]
+        share, said = longest(item, text.split()) / len(item), f" {' '.join(answer)} " in f" {text} "
+        if share >= 0.7 or share >= 0.5 and said:
+            accepted, hits = accepted + 1, hits + any(m[0] == i for m in found)
+    assert accepted > 300 and hits / accepted >= 0.98, (hits, accepted)
+
+
 def test_leaks_of_odd_rows(spark, monkeypatch):
     item = "what is the tallest mountain on the third moon of the seventh planet"
     rows = [(1, None), (1, None), (2, ""), (None, f"so, {item.upper()}!"), (3, "..."), (4, "word " * 60_000 + item)]

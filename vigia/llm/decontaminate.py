@@ -7,8 +7,8 @@ items to the whitened latent space and takes window and item for a candidate if
 longest common subsequence of the item's words and those around the window is long enough, or somewhat
 shorter with the item's answer found word by word, as in a paraphrase.
 
-Windows come in several lengths; an item is looked for by its middle words, as many as the longest window that it fills (a long
-item by all its pieces of that length), so that a leaked item fills a window.  Sums over passages are additive, windows are scored where their text is: nothing but the sums is shuffled.
+Windows come in several lengths; an item is looked for by overlapping pieces from its first word to its last, as long as the longest
+window that it fills and as the next shorter one, so that what is left of a changed item fills a window.  Sums over passages are additive, windows are scored where their text is: nothing but the sums is shuffled.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ PASSAGE = 32
 WINDOWS = (3, 6, 12, 24, 48)
 #: Blank words after each text, so that no window holds two texts, and what the places of texts are multiples of.
 GAP, ALIGN = 32, 16
-COSINE = 0.6
+COSINE = 0.5
 #: Share of an item's inverse document frequencies that a candidate's words must have.
 WEIGHT = 0.3
 #: Share of an item's words in the common subsequence: enough alone, and enough with the answer found.
@@ -272,6 +272,20 @@ def answer_of(text: str) -> list[str]:
     return sentences[-1] if sentences else []
 
 
+def pieces_of(words: int) -> list[tuple[int, int]]:
+    """(length, first word) of the pieces that an item of so many words is looked for by.
+
+    Pieces of the longest window that it fills, and of the next shorter one, each half over the one before, from the first word to
+    the last.  Items that must be found whole need one.
+    """
+    lengths = [w for w in WINDOWS if w <= words] or [WINDOWS[0]]
+    out = []
+    for length in lengths[-1:] if words < SHORT else lengths[-2:]:
+        last = max(0, words - length)
+        out += [(length, start) for start in ([*range(0, last, length // 2), last] if words >= SHORT else [last // 2])]
+    return out
+
+
 class Index:
     """Benchmark items in the latent space, by window length."""
 
@@ -281,10 +295,7 @@ class Index:
         pieces: dict[int, list[tuple[int, np.ndarray]]] = {}
         for n, (_, text, _) in enumerate(items):
             slots = slots_of(text)
-            length = max((w for w in WINDOWS if w <= len(slots)), default=WINDOWS[0])
-            many = max(1, len(slots) // length)
-            first = max(0, len(slots) - many * length) // 2
-            for start in range(first, first + many * length, length):
+            for length, start in pieces_of(len(slots)):
                 pieces.setdefault(length, []).append((n, slots[start:start + length]))
         self.pieces = {}
         for length, found in sorted(pieces.items()):
@@ -333,7 +344,7 @@ class Index:
             id, item, answer = self.items[number]
             best = (0.0, False)
             for first, last in spans:
-                # The window is about the middle of the item, or one piece of a long one.
+                # The window is about a piece of the item, which may be its first or last.
                 around = words[max(0, first - len(item)):last + len(item)]
                 if len(item) < SHORT:
                     found = (1.0, True) if contains(around, item) else (0.0, False)
