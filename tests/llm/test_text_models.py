@@ -176,6 +176,51 @@ def test_licenses_against_all_templates():
     assert {f[0] for f in tool.scan("Some prose. " + "\n\n".join(parts[:6]))} == {"Apache-2.0", "MIT", "All-Rights-Reserved", "GPL-3.0", "CC-BY-NC-4.0"}
 
 
+BSD = """Copyright (c) 1999, Someone. All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+%s
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+"""
+THIRD = """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+
+
+def test_wordings_across_line_breaks():
+    tool = licenses.templates(0.8)
+    prose = "Some words stand before it. They tell nothing.\n\n"
+    names = lambda text: {f[0] for f in tool.scan(text)} - {"All-Rights-Reserved"}
+    assert names(BSD % "") == names(prose + BSD % "" + prose) == {"BSD-2-Clause"}
+    assert names(BSD % THIRD) == names(prose + BSD % THIRD + prose) == {"BSD-3-Clause"}
+    assert names(f"{prose}This file. Licensed under the Apache\nLicense, Version 2.0. More prose.") == {"Apache-2.0"}
+    for name, wordings in licenses.WORDINGS.items():
+        for wording in wordings:
+            words = wording.split()
+            wrapped = "\n".join(" # " + " ".join(words[k:k + 9]) for k in range(0, len(words), 9))
+            assert name in {f[0] for f in tool.scan(f"{prose}{wrapped}\n\n{prose}")}, wording
+    assert tool.scan("All rights reserved.\n" * 20_000)[0][0] == "All-Rights-Reserved"
+
+
 def test_license_of_odd_rows(spark):
     rows = licenses.scan_licenses(odd_table(spark, licenses="clash")).collect()
     assert len(rows) == len(ODD) and all(r["licenses"] == [] for r in rows)

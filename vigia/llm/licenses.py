@@ -1,6 +1,6 @@
 """Licence scan by Dice coefficients of word bigrams.
 
-Every line, every sentence, every paragraph and the whole of a text are compared with licence templates: one-line notices made
+Every line, every sentence, every paragraph, the whole of a text and all runs of sentences across line breaks are compared with licence templates: one-line notices made
 from licence names, and the standard wordings of short licences and file headers.  A Dice coefficient of ``t`` bounds the
 ratio of the two sizes to between ``t / (2 - t)`` and its inverse, so that only templates of about a part's own size are
 looked at.  It also means that a part has at least ``t / (2 - t)`` of a template's bigrams, and so one at least of any other few
@@ -53,20 +53,71 @@ NAMES = {
 PHRASES = ("Licensed under", "Released under", "Distributed under", "Available under", "Published under", "This work is licensed under",
            "This file is licensed under", "This software is licensed under", "This project is licensed under", "This program is licensed under",
            "This content is licensed under", "Dual licensed under", "Subject to the terms of", "Distributed under the terms of")
-#: Standard wordings.
+#: The parts of standard wordings; a disclaimer is the same words under several licences, so none is a template of its own.
+_MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files
+    (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify,
+    merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is
+    furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included
+    in all copies or substantial portions of the Software."""
+_MIT_DISCLAIMER = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+    MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE
+    LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN
+    CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+_ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided
+    that the above copyright notice and this permission notice appear in all copies."""
+_ISC_DISCLAIMER = """THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED
+    WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR
+    CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT,
+    NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
+_BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+    conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the
+    following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the
+    following disclaimer in the documentation and/or other materials provided with the distribution."""
+_BSD_THIRD = """Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from
+    this software without specific prior written permission."""
+_BSD_DISCLAIMER = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT
+    NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL
+    THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES
+    (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS
+    INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE
+    OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_ZLIB_DISCLAIMER = """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any
+    damages arising from the use of this software."""
+_ZLIB = """Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and
+    redistribute it freely, subject to the following restrictions: The origin of this software must not be misrepresented; you must
+    not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product
+    documentation would be appreciated but is not required. Altered source versions must be plainly marked as such, and must not be
+    misrepresented as being the original software. This notice may not be removed or altered from any source distribution."""
+_BSL = """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying
+    documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software,
+    and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all
+    subject to the following: The copyright notices in the Software and this entire statement, including the above license grant, this
+    restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative
+    works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated
+    by a source language processor."""
+_BSL_DISCLAIMER = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+    MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE
+    DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT
+    OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+_UNLICENSE = """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile,
+    sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-
+    commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any
+    and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large
+    and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of
+    all present and future rights to this software under copyright law."""
+_UNLICENSE_DISCLAIMER = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+    MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM,
+    DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE
+    SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+#: Standard wordings, with and without the disclaimer.
 WORDINGS = {
     "All-Rights-Reserved": ("All rights reserved.", "Copyright. All rights reserved."),
-    "MIT": ("""Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
-        files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify,
-        merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished
-        to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all
-        copies or substantial portions of the Software.""",),
-    "ISC": ("""Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
-        provided that the above copyright notice and this permission notice appear in all copies.""",),
-    "BSD-2-Clause": ("""Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
-        following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and
-        the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and
-        the following disclaimer in the documentation and/or other materials provided with the distribution.""",),
+    "MIT": (_MIT, f"{_MIT} {_MIT_DISCLAIMER}"),
+    "ISC": (_ISC, f"{_ISC} {_ISC_DISCLAIMER}"),
+    "BSD-2-Clause": (_BSD, f"{_BSD} {_BSD_DISCLAIMER}"),
+    "BSD-3-Clause": (f"{_BSD} {_BSD_THIRD}", f"{_BSD} {_BSD_THIRD} {_BSD_DISCLAIMER}"),
+    "Zlib": (_ZLIB, f"{_ZLIB_DISCLAIMER} {_ZLIB}"),
+    "BSL-1.0": (_BSL, f"{_BSL} {_BSL_DISCLAIMER}"),
     "Apache-2.0": ("""Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the
         License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or
         agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS
@@ -76,13 +127,20 @@ WORDINGS = {
         published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.""",),
     "GPL-2.0": ("""This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as
         published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.""",),
+    "LGPL-3.0": ("""This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License
+        as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.""",),
+    "LGPL-2.1": ("""This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License
+        as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.""",),
+    "AGPL-3.0": ("""This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License
+        as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.""",),
     "MPL-2.0": ("""This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed
         with this file, You can obtain one at http://mozilla.org/MPL/2.0/.""",),
-    "Unlicense": ("This is free and unencumbered software released into the public domain.",),
+    "Unlicense": ("This is free and unencumbered software released into the public domain.", _UNLICENSE, f"{_UNLICENSE} {_UNLICENSE_DISCLAIMER}"),
 }
 
 _WORD = re.compile(r"\w+")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
+_UNIT = re.compile(r"(?<=[.!?])\s+|\n")
 _PARAGRAPH = re.compile(r"\n\s*\n")
 _YEAR = re.compile(r"(?:19|20)\d\d")
 #: Words too common in any text to tell a licence.
@@ -122,6 +180,7 @@ class Templates:
         self.sizes = [t[0] for t in self.templates]
         self.anchors = frozenset(gram for size, _, _, grams in self.templates for gram in sorted(
             grams, key=lambda g: (len(_COMMON & {*g}), g))[:size - ceil(size * least / (2 - least) - 1e-9) + 1])
+        self.known = frozenset().union(*(t[3] for t in self.templates))
         self.largest = self.sizes[-1] * (2 - least) / least
 
     def best(self, grams: Grams) -> tuple[float, str] | None:
@@ -165,8 +224,49 @@ class Templates:
                 grams = bigrams(normalised(part))
                 if len(grams) <= self.largest:
                     look(part, grams)
+        for name, (score, part) in self.windows(text).items():
+            if score > found.get(name, (0.0, ""))[0]:
+                found[name] = score, part
         return [(name, score, part.strip()) for name, (score, part) in sorted(found.items())]
 
+    def windows(self, text: str) -> dict[str, tuple[float, str]]:
+        """Licences of runs of two or more sentences or lines, whatever line breaks and paragraphs are between them.
+
+        A window has no more bigrams than the bounds allow, and no more than twice as many words.  An end without a bigram of any template
+        only lowers its coefficients, so that windows begin and end where there is one.  A licence found inside a window of another one is a
+        part of that one's wording.
+        """
+        units, at = [], 0
+        for stop in [*_UNIT.finditer(text), None]:
+            words = normalised(text[at:stop.start() if stop else len(text)])
+            if words:
+                units.append((at, stop.start() if stop else len(text), words))
+            at = stop.end() if stop else at
+        # Each unit's bigrams, with the one that leads into it.
+        own = [bigrams(words) for *_, words in units]
+        lead = [None, *((a[2][-1], b[2][0]) for a, b in zip(units, units[1:]))]
+        inside = [not self.known.isdisjoint(grams) for grams in own]
+        found: dict[str, tuple[float, int, int]] = {}
+        for i in range(len(units) - 1):
+            # Of a run of equal lines the last one begins.
+            if not (inside[i] or lead[i + 1] in self.known) or units[i][2] == units[i + 1][2]:
+                continue
+            grams, count = set(own[i]), len(units[i][2])
+            for j in range(i + 1, len(units)):
+                before = len(grams)
+                grams |= own[j]
+                grams.add(lead[j])
+                count += len(units[j][2])
+                if len(grams) > self.largest or count > 2 * self.largest:
+                    break
+                if len(grams) == before or not (inside[j] or lead[j] in self.known) or self.anchors.isdisjoint(grams):
+                    continue
+                hit = self.best(frozenset(grams))
+                if hit and hit[0] > found.get(hit[1], (0.0, 0, 0))[0]:
+                    found[hit[1]] = hit[0], units[i][0], units[j][1]
+        return {name: (score, text[a:b]) for name, (score, a, b) in found.items()
+                if not any(other != name and c <= a and b <= d and d - c > b - a for other, (_, c, d) in found.items())}
+
 
 @lru_cache(maxsize=4)
 def templates(least: float) -> Templates:
