@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigia.llm import decontaminate, htmltext, langid, licenses, neighbours, quality, simhash, warc
+from vigia.llm import decontaminate, htmltext, langid, licenses, merkle, neighbours, quality, runs, simhash, toxicity, warc
 from vigia.llm.bpe import encode_documents
 from vigia.llm.common import held_out, may_learn, table
+from vigia.llm.oracle import ORACLE as ORACLE
 from vigia.llm.urlfilter import Rule, judge
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -96,6 +98,39 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return encode_documents(documents, public_tokenizers.path(VOCABULARY), digests=True).drop("text")
 
 
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """The toxicity of every document; learned from three quarters of the labels."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    remains = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    labels = table(spark, folder, "labels").where(F.col("doc_id").isNotNull() & ~remains & F.col("toxic").isNotNull())
+    scored = toxicity.score_toxicity(documents.withColumn("held_out", remains), toxicity.fit(documents, labels)).drop("text")
+    return scored.withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
+
+
+def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaf, proof and verification of every document; every third one is tampered with."""
+    documents = table(spark, folder, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, merkle.leaf(*fields[:-1], lower))
+    return merkle.manifest(documents, merkle.leaf(*fields), tampered)
+
+
+def op13_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """The periodic runs of every document; the tail of every tenth one is made periodic first."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    number = F.crc32(F.col("doc_id").cast("string"))
+    # Words of those texts only whose tail changes.
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    cut = documents.withColumn("number", number).withColumn("words", F.when(F.col("number") % 10 == 0, words))
+    g, n = F.floor(F.col("number") / 10), F.size("words")
+    cut = cut.withColumn("a", F.when(n > 0, g % n)).withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + g % 8)))
+    tail = F.transform(F.sequence(F.lit(0), n - F.col("a") - 1), lambda i: F.get("words", (F.col("a") + i % F.col("p")).cast("int")))
+    planted = F.concat_ws(" ", F.slice("words", F.lit(1), F.col("a").cast("int")), tail)
+    texts = cut.select("doc_id", F.when(F.col("a").isNotNull(), planted).otherwise(F.col("text")).alias("text"))
+    return runs.annotate_runs(texts).drop("text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_language": op2_language,
@@ -107,7 +142,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neighbours": op8_neighbours,
     "op9_urls": op9_urls,
     "op10_bpe": op10_bpe,
+    "op11_toxicity": op11_toxicity,
+    "op12_merkle": op12_merkle,
+    "op13_runs": op13_runs,
 }
-
-#: DuckDB twins of the queries that SQL can state.
-ORACLE: dict[str, str] = {}
