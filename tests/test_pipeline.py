@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -6,7 +8,7 @@ from vigia.__main__ import main
 from vigia.model import Thresholds
 from vigia.plans import models, pipeline, views
 from vigia.plans.pipeline import Settings, Zones, run_all, run_analytics, run_etl, run_models
-from vigia.plans.reports import DATASETS
+from vigia.plans.reports import DATASETS, ROLLUP_OF
 from vigia.sources.landing import land_tables
 
 SETTINGS = Settings(Thresholds(month_cases=2, critical_cases=2, critical_per_100k=1.0, recovered_cases=1, cluster_cases=1), trees=2)
@@ -142,3 +144,62 @@ def test_failed_models_do_not_stop_publishing(spark, zones, tmp_path, monkeypatc
 def test_command_line_needs_a_job():
     with pytest.raises(SystemExit):
         main([])
+
+
+def written(root):
+    """When each file of the datasets was written."""
+    found = {}
+    for folder, _, names in os.walk(root):
+        found.update({os.path.join(folder, n): os.stat(os.path.join(folder, n)).st_mtime_ns for n in names})
+    return found
+
+
+def test_a_broken_run_goes_on_where_it_stopped(spark, zones, tmp_path, monkeypatch):
+    other = Zones(zones.raw, str(tmp_path / "t"), str(tmp_path / "r"))
+    run = {"settings": SETTINGS, "tables_root": str(tmp_path / "tables")}
+
+    def broken(*args, **kwargs):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        patch.setattr(pipeline, "run_models", broken)
+        with pytest.raises(KeyboardInterrupt):
+            run_all(spark, other, **run)
+    before = written(other.analytics) | written(other.cases)
+    assert len({os.path.basename(os.path.dirname(p)) for p in before if p.endswith("_SUCCESS")}) >= 2 * 29
+    resumed = run_all(spark, other, resume=True, **run).collect()
+    assert {p: t for p, t in written(other.analytics).items()} | written(other.cases) == before
+    models_before = written(other.models)
+    again = run_all(spark, other, resume=True, **run).collect()
+    assert written(other.models) == models_before
+    whole = run_all(spark, Zones(zones.raw, str(tmp_path / "t2"), str(tmp_path / "r2")), **run).collect()
+    assert [tuple(r) for r in resumed] == [tuple(r) for r in again] == [tuple(r) for r in whole]
+    for table in pipeline.PUBLISHED:
+        spark.sql(f"DROP TABLE {table}")
+
+
+def test_what_has_changed_is_done_again(spark, zones, tmp_path):
+    run_etl(spark, zones, SETTINGS)
+    other = Zones(zones.raw, zones.trusted, str(tmp_path))
+    names = ["dashboard_kpis", "estado_casos", "geografia_regiones"]
+
+    def run(settings=SETTINGS):
+        manifest = pipeline.manifest_of(spark, other, settings)
+        run_analytics(spark, other, settings, names=names, manifest=manifest)
+        return {p: t for p, t in written(other.analytics).items() if "rollup" not in p}
+
+    first = run()
+    assert run() == first
+    path = f"{other.analytics}/estado_casos.parquet"
+    spark.read.parquet(path).limit(1).coalesce(1).write.mode("append").parquet(path)  # somebody wrote there
+    second = run()
+    assert {p for p, t in second.items() if first.get(p) != t} and all("estado_casos" in p for p, t in second.items() if first.get(p) != t)
+    third = run(Settings(Thresholds(cluster_cases=7), trees=2))
+    assert all(second.get(p) != t for p, t in third.items())
+    run_etl(spark, zones, SETTINGS)  # new trusted cases
+    assert all(third.get(p) != t for p, t in run(Settings(Thresholds(cluster_cases=7), trees=2)).items())
+
+
+def test_three_reads_of_the_cases_feed_a_run():
+    """Two roll-ups and the weeks; durations come from the states of a roll-up."""
+    assert [name for name in DATASETS if name not in ROLLUP_OF] == ["temporal_semanal"]

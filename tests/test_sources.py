@@ -12,7 +12,15 @@ from pyspark.sql import functions as F
 from tests.conftest import case_rows, raw_row, same_rows, table_rows, write_json_array
 from vigia.model import DIMENSION_SCHEMAS, RAW_CASE_SCHEMA
 from vigia.sources.landing import audit, count_lines, land_snapshot, land_tables
-from vigia.sources.readers import latest_snapshot, read_cases, read_csv, read_json_array, read_latest, read_table
+from vigia.sources.readers import (
+    latest_snapshot,
+    read_cases,
+    read_csv,
+    read_json_array,
+    read_latest,
+    read_table,
+    unfitting_values,
+)
 from vigia.sources.scratch import scratch_path, scratch_root
 from vigia.sources.writers import flat_columns, publish, save_if_any, save_result, write_cases, write_csv
 
@@ -123,6 +131,75 @@ def test_publishing_replaces_contents(spark, tmp_path):
     spark.sql("DROP TABLE vigia_test_publish")
 
 
+def test_a_load_that_fails_leaves_the_contents(spark, tmp_path):
+    path, name = str(tmp_path / "t"), "vigia_test_swap"
+    publish(spark.range(5), name, path)
+    reader = spark.table(name)  # somebody who has begun to read
+    broken = spark.range(9).select(F.when(F.col("id") < 8, F.col("id")).otherwise(F.raise_error(F.lit("no luck")).cast("bigint")).alias("id"))
+    with pytest.raises(Exception, match="no luck"):
+        publish(broken, name, path)
+    assert spark.table(name).count() == 5
+    first = publish(spark.range(2), name, path)
+    assert reader.count() == 5 and spark.table(name).count() == 2
+    publish(spark.range(3), name, path)
+    last = publish(spark.range(4).withColumn("more", F.lit("it's")), name, path)
+    assert table_rows(spark.table(name), "id") == [(0, "it's"), (1, "it's"), (2, "it's"), (3, "it's")]
+    assert not (tmp_path / "t" / first.rpartition("/")[2]).exists() and len([p for p in (tmp_path / "t").iterdir() if (p / "_SUCCESS").exists()]) == 2
+    assert spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"].endswith(last.rpartition("/")[2])
+    spark.sql(f"DROP TABLE {name}")
+
+
+def scanned_rows(df):
+    """Rows that the scans of a query gave on, after it has run."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    found, waiting = 0, [plan]
+    while waiting:
+        node = waiting.pop()
+        children = node.children()
+        waiting += [children.apply(i) for i in range(children.size())]
+        if "Scan parquet" in node.nodeName():
+            found += node.metrics().apply("numOutputRows").value()
+    return found
+
+
+def test_row_groups_without_the_department_or_id_are_skipped(spark, tmp_path):
+    rows = spark.range(60_000).selectExpr("CAST(xxhash64(id) AS STRING) AS id_caso", "CAST(pmod(xxhash64(id, 1), 20) AS STRING) AS codigo_departamento",
+                                          "CAST(2020 + id % 2 AS INT) AS anio_reporte", "CAST(id % 2 AS INT) AS mes_reporte", "repeat(CAST(id AS STRING), 9) AS other")
+    options = {"parquet.block.size": "65536", "parquet.page.size": "4096"}
+    assert write_cases(rows, str(tmp_path / "c"), options=options) == 60_000
+    cases = read_cases(spark, str(tmp_path / "c"))
+    one = cases.filter("codigo_departamento = '7'")
+    assert one.count() == rows.filter("codigo_departamento = '7'").count()
+    assert scanned_rows(one) < 15_000
+    wanted = rows.first()["id_caso"]
+    assert cases.filter(F.col("id_caso") == wanted).count() == 1
+    # The Bloom filters: ids are in order only within a department.
+    assert scanned_rows(cases.filter(F.col("id_caso") == wanted)) < 15_000
+    # Another query is not served fewer rows.
+    assert cases.agg(F.sum("mes_reporte")).first()[0] == 30_000
+
+
+def test_pages_beside_lines(spark, tmp_path):
+    folder = complete(tmp_path / "d" / "snapshot=20240101_000000")
+    (folder / "a.json").write_text('{"a": 1}\n{"a": 2}\n')
+    write_json_array(folder / "b.json", [{"a": 3}, {"a": 4}])
+    (folder / "c.json").write_text('\n  {\n "a":\n 5}')
+    (folder / "d.json").write_text('{"a": 6, "b": "' + "x" * 10_000 + '"}\n{"a": 7}')
+    (folder / "e.json").write_text("")
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
+    assert [r.a for r in read_latest(spark, str(tmp_path / "d"), schema).orderBy("a").collect()] == [1, 2, 3, 4, 5, 6, 7]
+
+
+def test_values_that_do_not_fit_are_counted(spark, tmp_path):
+    folder = complete(tmp_path / "d" / "snapshot=20240101_000000")
+    (folder / "part-0.csv").write_text("Region,codigo_dane,extra,id_departamento,poblacion_2020\nR,05,x,5,many\nS,11,y,z,\nT,12,y,z,7\n")
+    schema = DIMENSION_SCHEMAS["departamentos"]
+    assert unfitting_values(spark, str(tmp_path / "d"), schema) == {"id_departamento": 2, "poblacion_2020": 1}
+    write_json_array(complete(tmp_path / "e" / "snapshot=20240101_000000") / "a.json", [{"region": "R"}])
+    assert unfitting_values(spark, str(tmp_path / "e"), schema) == {}
+
+
 def test_scratch_folder_is_stable_within_a_session(spark):
     assert scratch_root(spark) == scratch_root(spark)
     assert scratch_path(spark, "x") != scratch_path(spark, "x")

@@ -27,6 +27,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         command.add_argument("--extra-dates", action="store_true", help="accept more date patterns")
         command.add_argument("--first-match", action="store_true", help="department by code, else name")
         command.add_argument("--extra-reports", action="store_true", help="write the documented-only datasets too")
+        command.add_argument("--resume", action="store_true", help="leave out what an earlier run has finished")
         command.add_argument("--database", help="catalogue database to publish to")
         command.add_argument("--tables-root", help="folder of the published tables; default: the session's warehouse")
     args = parser.parse_args(argv)
@@ -39,7 +40,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     )
     spark = get_session(f"vigia-{args.job}")
     if args.job == "all":
-        audit = run_all(spark, zones, settings, args.database, args.tables_root)
+        audit = run_all(spark, zones, settings, args.database, args.tables_root, args.resume)
     elif args.job == "publish":
         audit = run_publish(spark, zones, database=args.database, tables_root=args.tables_root).table(spark)
     else:

@@ -298,6 +298,10 @@ FROM fact GROUP BY nombre_departamento, anio_reporte, mes_reporte
 WINDOW w AS (PARTITION BY nombre_departamento ORDER BY anio_reporte, mes_reporte ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
     "national_cumulative": f"""SELECT fecha_reporte, {N} AS casos, CAST(SUM(COUNT(*)) OVER (ORDER BY fecha_reporte) AS BIGINT) AS casos_acumulados
 FROM fact GROUP BY fecha_reporte""",
+    "national_cumulative_municipality": f"""SELECT fecha_reporte, codigo_municipio, {N} AS casos,
+       CAST(SUM(COUNT(*)) OVER (ORDER BY fecha_reporte NULLS FIRST, codigo_municipio NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT)
+         AS casos_acumulados
+FROM fact GROUP BY fecha_reporte, codigo_municipio""",
     # cases without enrichment
     "geo_department_plain": f"SELECT nombre_departamento, {N} AS total_casos, {D} AS fallecidos, {CFR} AS tasa_letalidad FROM fact GROUP BY nombre_departamento",
     "geo_municipality_top50_plain": f"""SELECT nombre_municipio, nombre_departamento, {N} AS total_casos, {D} AS fallecidos
@@ -379,6 +383,10 @@ FROM fact GROUP BY tipo_contagio, ubicacion""",
     "publish_table": _MONTHS,
     "parquet_partitioned": f"""SELECT anio_reporte, mes_reporte, {N} AS casos, {D} AS fallecidos FROM fact
 WHERE fecha_reporte >= DATE '1996-03-01' AND fecha_reporte < DATE '1997-11-01' GROUP BY anio_reporte, mes_reporte""",
+    "department_cases": """SELECT id_caso, codigo_departamento, estado, anio_reporte, mes_reporte, fallecido FROM fact WHERE codigo_departamento = 7""",
+    "age_ranks": """SELECT ROUND(edad_anios, 6) AS edad_anios, rows, CAST(below AS BIGINT) AS rows_below, below + (rows + 1) / 2 AS rank
+FROM (SELECT edad_anios, COUNT(*) AS rows, coalesce(SUM(COUNT(*)) OVER (ORDER BY edad_anios ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+      FROM fact WHERE edad_anios IS NOT NULL GROUP BY edad_anios)""",
     "case_sample": """SELECT id_caso, fecha_reporte, nombre_departamento, nombre_municipio, ROUND(edad_anios, 6) AS edad_anios, sexo, estado,
        grupo_edad, fallecido, recuperado_flag
 FROM fact ORDER BY fact.id_caso, fecha_reporte, nombre_departamento, nombre_municipio, fact.edad_anios, sexo, estado LIMIT 10""",
@@ -404,6 +412,85 @@ GROUP BY nombre_departamento HAVING COUNT(*) > 100""",
 FROM fact WHERE edad_anios IS NOT NULL AND sexo IS NOT NULL AND nombre_departamento IS NOT NULL AND tipo_contagio IS NOT NULL
 GROUP BY grupo_edad, sexo HAVING COUNT(*) > 100""",
 }
+_COMPLETE = "edad_anios IS NOT NULL AND sexo IS NOT NULL AND nombre_departamento IS NOT NULL AND tipo_contagio IS NOT NULL"
+_MODEL_ROWS = f"""SELECT *, CAST('0x' || substr(md5('42:' || CAST(id_caso AS VARCHAR)), 1, 8) AS BIGINT) % 100 >= 80 AS is_test,
+       {_days('fecha_notificacion', 'fecha_diagnostico')} AS dias_notificacion_diagnostico
+FROM fact WHERE {_COMPLETE}"""
+
+
+def _area(label: str, score: str) -> str:
+    """Area under the curve from mean ranks by window functions."""
+    return f"""SELECT '{label}' AS etiqueta, '{score}' AS puntaje, CAST(SUM(y) AS BIGINT) AS positivos, CAST(SUM(1 - y) AS BIGINT) AS negativos,
+       ROUND((SUM(CASE WHEN y = 1 THEN mean_rank ELSE 0 END) - SUM(y) * (SUM(y) + 1) / 2) / (CAST(SUM(y) AS DOUBLE) * SUM(1 - y)), 6) AS auc
+FROM (SELECT {label} AS y, rank() OVER (ORDER BY {score}) + (COUNT(*) OVER (PARTITION BY {score}) - 1) / 2 AS mean_rank
+      FROM model_rows WHERE is_test AND {score} IS NOT NULL)"""
+
+
+def _features(label: str, categories: tuple[str, ...], numbers: tuple[str, ...], where: str = "TRUE") -> str:
+    """Indexes by frequency in the training rows, and all features standardised by the moments of the training rows."""
+    tables = ", ".join(
+        f"""k_{c} AS (SELECT {c} AS v, row_number() OVER (ORDER BY COUNT(*) DESC, {c}) - 1 AS place, COUNT(*) OVER () AS known
+  FROM used WHERE NOT is_test AND {c} IS NOT NULL GROUP BY {c})""" for c in categories)
+    places = ", ".join(f"CAST(coalesce(k_{c}.place, (SELECT MAX(known) FROM k_{c})) AS DOUBLE) AS {c}_idx" for c in categories)
+    joins = " ".join(f"LEFT JOIN k_{c} ON u.{c} = k_{c}.v" for c in categories)
+    names = [*numbers, *[f"{c}_idx" for c in categories]]
+    moments = ", ".join(f"AVG({n}) AS m_{n}, STDDEV_SAMP({n}) AS d_{n}" for n in names)
+    scaled = ", ".join(f"ROUND(CASE WHEN d_{n} > 0 THEN ({n} - m_{n}) / d_{n} ELSE 0 END, 6) AS {n}_escalada" for n in names)
+    return f"""WITH model_rows AS ({_MODEL_ROWS}), used AS (SELECT *, CAST({label} AS DOUBLE) AS label FROM model_rows WHERE {where}), {tables},
+seen AS (SELECT u.id_caso, u.is_test, u.label, {', '.join(f'u.{n}' for n in numbers)}, {places} FROM used u {joins}),
+moments AS (SELECT {moments} FROM seen WHERE NOT is_test)
+SELECT id_caso, label, {', '.join(f'ROUND({n}, 6) AS {n}' for n in names)}, {scaled} FROM seen, moments WHERE is_test"""
+
+
+def _cluster_check(table: str, keys: tuple[str, ...], features: tuple[str, ...]) -> str:
+    moments = ", ".join(f"AVG({f}) AS m_{f}, STDDEV_SAMP({f}) AS d_{f}" for f in features)
+    scaled = ", ".join(f"ROUND(CASE WHEN d_{f} > 0 THEN ({f} - m_{f}) / d_{f} ELSE 0 END, 6) AS {f}_escalada" for f in features)
+    return f"""WITH t AS ({table}), moments AS (SELECT {moments} FROM t)
+SELECT {', '.join(keys)}, {scaled}, TRUE AS mas_cercano, TRUE AS centro_es_media FROM t, moments"""
+
+
+_LABEL_3 = "CASE estado WHEN 'A' THEN 2 WHEN 'N' THEN 1 ELSE 0 END"
+_RATE = "CAST({} AS DOUBLE) / COUNT(*) * 100"
+_DEPARTMENT_TABLE = f"""SELECT nombre_departamento, AVG(edad_anios) AS edad_promedio, {_RATE.format('SUM(fallecido)')} AS tasa_letalidad,
+  {_RATE.format('SUM(recuperado_flag)')} AS tasa_recuperacion, MAX(densidad_poblacional) AS densidad,
+  CAST(COUNT(*) AS DOUBLE) / NULLIF(MAX(poblacion_departamento), 0) * 100000 AS incidencia_100k
+  FROM fact WHERE {_COMPLETE} GROUP BY nombre_departamento HAVING COUNT(*) > 100"""
+_GROUP_TABLE = f"""SELECT grupo_edad, sexo, AVG(edad_anios) AS edad_promedio, {_RATE.format('SUM(fallecido)')} AS tasa_mortalidad,
+  {_RATE.format('SUM(recuperado_flag)')} AS tasa_recuperacion, {_RATE.format(_HOSPITAL)} AS tasa_hospitalizacion
+  FROM fact WHERE {_COMPLETE} GROUP BY grupo_edad, sexo HAVING COUNT(*) > 100"""
+_MODEL_SQL = {
+    "auc_by_ranks": f"WITH model_rows AS ({_MODEL_ROWS})\n" + "\nUNION ALL ".join(
+        _area(label, score) for label in ("fallecido", "recuperado_flag") for score in ("edad_anios", "dias_notificacion_diagnostico")),
+    "mortality_features": _features("fallecido", ("sexo", "tipo_contagio", "ubicacion", "region"), ("edad_anios", "densidad_poblacional")),
+    "severity_features": _features(_LABEL_3, ("sexo", "tipo_contagio", "grupo_edad"), ("edad_anios", "densidad_poblacional")),
+    "hospital_features": _features("CASE WHEN ubicacion IN ('BUILDING', 'MACHINERY', 'FURNITURE') THEN 1 ELSE 0 END", ("sexo", "tipo_contagio"),
+                                   ("edad_anios",), "ubicacion IS NOT NULL"),
+    "classification_metrics": f"""WITH model_rows AS ({_MODEL_ROWS}), pairs AS (
+  SELECT {_LABEL_3} AS y, CASE WHEN edad_anios >= 60 THEN 2 WHEN edad_anios >= 30 THEN 1 ELSE 0 END AS p FROM model_rows WHERE is_test
+), per_label AS (
+  SELECT y AS k, CAST(COUNT(*) AS DOUBLE) AS cases, CAST(SUM(CASE WHEN p = y THEN 1 ELSE 0 END) AS DOUBLE) AS hits,
+         (SELECT CAST(COUNT(*) AS DOUBLE) FROM pairs q WHERE q.p = pairs.y) AS called
+  FROM pairs GROUP BY y
+), rates AS (SELECT *, cases / SUM(cases) OVER () AS share, coalesce(hits / NULLIF(called, 0), 0) AS pr, hits / cases AS re FROM per_label)
+SELECT ROUND(SUM(hits) / SUM(cases), 6) AS accuracy, ROUND(SUM(share * coalesce(2 * pr * re / NULLIF(pr + re, 0), 0)), 6) AS f1,
+       ROUND(SUM(share * pr), 6) AS precision, ROUND(SUM(share * re), 6) AS recall FROM rates""",
+    "cluster_departments_check": _cluster_check(_DEPARTMENT_TABLE, ("nombre_departamento",),
+                                                ("edad_promedio", "tasa_letalidad", "tasa_recuperacion", "densidad", "incidencia_100k")),
+    "cluster_groups_check": _cluster_check(_GROUP_TABLE, ("grupo_edad", "sexo"),
+                                           ("edad_promedio", "tasa_mortalidad", "tasa_recuperacion", "tasa_hospitalizacion")),
+}
+_OTHERS = "md5(CAST(list(o ORDER BY o) AS VARCHAR)) AS content"
+_CHANGES = f""", older AS (
+  SELECT * REPLACE (CASE WHEN CAST(id_caso AS BIGINT) % 499 = 3 THEN 'N' ELSE estado END AS estado,
+                    CASE WHEN CAST(id_caso AS BIGINT) % 499 = 4 THEN '1993-05-06' ELSE fecha_reporte END AS fecha_reporte)
+  FROM raw WHERE CAST(id_caso AS BIGINT) % 997 <> 5
+  UNION ALL SELECT * REPLACE ('x' || id_caso AS id_caso, '1980-02-03' AS fecha_reporte) FROM raw WHERE CAST(id_caso AS BIGINT) % 997 = 7
+), a AS (SELECT id_caso, MIN(estado) AS estado, {_OTHERS} FROM (SELECT id_caso, estado, CAST(o AS VARCHAR) AS o FROM older o) GROUP BY id_caso),
+b AS (SELECT id_caso, MIN(estado) AS estado, {_OTHERS} FROM (SELECT id_caso, estado, CAST(o AS VARCHAR) AS o FROM raw o) GROUP BY id_caso)
+SELECT coalesce(a.id_caso, b.id_caso) AS id_de_caso,
+       CASE WHEN a.id_caso IS NULL THEN 'nuevo' WHEN b.id_caso IS NULL THEN 'retirado' ELSE 'cambiado' END AS cambio,
+       a.estado AS estado_antes, b.estado AS estado_ahora
+FROM a FULL JOIN b ON a.id_caso = b.id_caso WHERE a.content IS DISTINCT FROM b.content"""
 _RAW_SQL = {
     "header_names": "SELECT * FROM raw",
     "clean_dates": f"SELECT id_caso, {', '.join(_parsed(c) for c in _DATES)} FROM raw",
@@ -422,6 +509,7 @@ FROM (SELECT nombre_departamento, upper(trim(nombre_departamento)) AS n FROM raw
 FROM raw GROUP BY 1, 2, 3""",
     "json_latest": f"""SELECT sexo, estado, nombre_departamento AS departamento_nom, CAST(COUNT(*) AS BIGINT) AS registros
 FROM raw GROUP BY 1, 2, 3""",
+    "snapshot_changes": _CHANGES,
 }
 _CLEAN_COLUMNS = """SELECT id_caso, fecha_reporte, fecha_notificacion, codigo_departamento, nombre_departamento, codigo_municipio,
        nombre_municipio, edad, unidad_edad, sexo, tipo_contagio, ubicacion, estado, recuperado, fecha_diagnostico,
@@ -444,6 +532,7 @@ _CLEAN_SQL = {
     "empty_dimension": f"SELECT sexo, {N} AS casos, CAST(0 AS BIGINT) AS con_poblacion FROM clean GROUP BY sexo",
     "csv_roundtrip": f"{_CLEAN_COLUMNS} FROM clean",
     "etl_trusted": _TRUSTED,
+    "incremental_trusted": _TRUSTED,
     "stage_counts": f"""SELECT 'leidos' AS etapa, {N} AS registros FROM raw
 UNION ALL SELECT 'limpios', {N} FROM clean
 UNION ALL SELECT 'enriquecidos', {N} FROM clean c
@@ -497,6 +586,8 @@ FROM (SELECT *, l_orderkey * 10 + l_linenumber AS id_caso,
 
 ORACLE: dict[str, str] = {
     **{key: _fact(text) for key, text in _REPORT_SQL.items()},
+    # These begin with tables of their own.
+    **{key: _fact("").rstrip() + "," + text.removeprefix("WITH") for key, text in _MODEL_SQL.items()},
     **{key: _joined_raw(text) for key, text in _RAW_SQL.items()},
     **{key: _clean(text) for key, text in _CLEAN_SQL.items()},
     **{key: _dimensions(text) for key, text in _DIMENSION_SQL.items()},

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,12 +29,15 @@ from vigia.functions.dates import days_between, parse_date, period_label, week_s
 from vigia.functions.measures import age_in_years, bucket_label
 from vigia.functions.text import canonical_name, fold_text, pad_code
 from vigia.model import DATE_COLUMNS, DIMENSION_SCHEMAS, RAW_CASE_SCHEMA
+from vigia.operators.changes import snapshot_changes
 from vigia.operators.dedup import keep_first
 from vigia.operators.integrity import duplicate_keys, key_report
 from vigia.operators.lookup import coverage, join_any, join_first_match
+from vigia.operators.prefix import area_under_curve, mid_ranks
 from vigia.operators.report import pivot_counts, rollup, state_columns
 from vigia.operators.split import split_bucket
 from vigia.plans import etl, models, views
+from vigia.plans.pipeline import Settings, refresh_cases
 from vigia.plans.reports import SEX_RATIO, dataset, find_report
 from vigia.sources.landing import audit, count_lines, land_snapshot
 from vigia.sources.readers import read_cases, read_csv, read_json_lines, read_latest
@@ -117,6 +121,7 @@ DATASET_QUERIES = {
     "critical_departments": "departamentos_criticos",
     "cumulative_cfr": "indicadores_epidemiologicos",
     "national_cumulative": "casos_acumulados_nacional",
+    "national_cumulative_municipality": "casos_acumulados_municipales",
 }
 PLAIN_QUERIES = {
     "geo_department_plain": "geografia_departamentos",
@@ -418,6 +423,48 @@ def parquet_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def department_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All cases written, those of one department read back: row groups without it are skipped."""
+    root = scratch_path(spark, "cases")
+    columns = ["id_caso", "codigo_departamento", "estado", "anio_reporte", "mes_reporte", "fallecido"]
+    write_cases(case_fact(spark, sf_dir, columns), root)
+    return read_cases(spark, root).filter(F.col("codigo_departamento") == 7)
+
+
+def _older_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw list as it was: some cases not there yet, some with another state or month, some that are gone by now."""
+    raw = raw_cases(spark, sf_dir)
+    number = F.col("id_de_caso").cast("bigint")
+    later = number % 997 == 5
+    stated = raw.withColumn("estado", F.when(number % 499 == 3, F.lit("N")).otherwise(F.col("estado")))
+    moved = stated.withColumn("fecha_reporte_web", F.when(number % 499 == 4, F.lit("1993-05-06")).otherwise(F.col("fecha_reporte_web")))
+    gone = raw.filter(number % 997 == 7).withColumn("id_de_caso", F.concat(F.lit("x"), F.col("id_de_caso"))).withColumn(
+        "fecha_reporte_web", F.lit("1980-02-03"))
+    return moved.filter(~later).unionByName(gone)
+
+
+def changed_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is different between two landed snapshots of the raw list, by case."""
+    zone = scratch_path(spark, "raw")
+    older = land_snapshot(_older_list(spark, sf_dir), zone, "api/casos", datetime(2024, 1, 1))
+    newer = land_snapshot(raw_cases(spark, sf_dir), zone, "api/casos", datetime(2024, 1, 8))
+    old, new = (read_json_lines(spark, path, RAW_CASE_SCHEMA) for path in (older, newer))
+    return snapshot_changes(old, new, ["id_de_caso"], carried=["estado"])
+
+
+def incremental_trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trusted cases of an older raw list, brought to the newer one by the months that differ."""
+    root = scratch_path(spark, "trusted")
+    dimensions = {"departamentos": star.departments(spark, sf_dir), "municipios": star.municipalities(spark, sf_dir),
+                  "hospitales": star.hospitals(spark, sf_dir)}
+    older = _older_list(spark, sf_dir)
+    write_cases(etl.derive_cases(etl.enrich_cases(etl.clean_cases(older), **{
+        "departments": dimensions["departamentos"], "municipalities": dimensions["municipios"], "hospitals": dimensions["hospitales"],
+        "aliases": {}, "substrings": {}}), VOCABULARY), root)
+    refresh_cases(spark, older, raw_cases(spark, sf_dir), dimensions, root, Settings(vocabulary=VOCABULARY), {}, {})
+    return rounded(read_cases(spark, root))
+
+
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw list written as CSV under its export headers, read back and cleaned."""
     path = scratch_path(spark, "csv")
@@ -555,6 +602,61 @@ def group_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(models.group_table(_model_cases(spark, sf_dir), THRESHOLDS, VOCABULARY))
 
 
+#: Pairs of a label and a numeric score that the area under the curve is asked for.
+AREAS = [("fallecido", "edad_anios"), ("fallecido", "dias_notificacion_diagnostico"), ("recuperado_flag", "edad_anios"),
+         ("recuperado_flag", "dias_notificacion_diagnostico")]
+
+
+def auc_by_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Area under the curve of given scores over the test rows, by rank sums; the scores have many ties."""
+    _, test = models.hash_split(_model_cases(spark, sf_dir), "id_caso", models.TRAIN_PERCENT)
+    rows = [area_under_curve(test, label, score).select(F.lit(label).alias("etiqueta"), F.lit(score).alias("puntaje"),
+                                                        F.col("positives").alias("positivos"), F.col("negatives").alias("negativos"), "auc")
+            for label, score in AREAS]
+    return rounded(reduce(DataFrame.unionByName, rows))
+
+
+def age_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean ranks of the ages of all cases."""
+    return rounded(mid_ranks(case_fact(spark, sf_dir, ["edad_anios"]), "edad_anios"))
+
+
+def mortality_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The test rows of the mortality model: ids, labels, features, standardised features."""
+    cases = models.mortality_labels(_model_cases(spark, sf_dir))
+    return rounded(models.model_features(cases, ["sexo", "tipo_contagio", "ubicacion", "region"], ["edad_anios", "densidad_poblacional"]))
+
+
+def severity_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The test rows of the severity model."""
+    cases = models.severity_labels(_model_cases(spark, sf_dir), VOCABULARY)
+    return rounded(models.model_features(cases, ["sexo", "tipo_contagio", "grupo_edad"], ["edad_anios", "densidad_poblacional"]))
+
+
+def hospital_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The test rows of the hospital model."""
+    cases = models.hospital_labels(_model_cases(spark, sf_dir), VOCABULARY)
+    return rounded(models.model_features(cases, ["sexo", "tipo_contagio"], ["edad_anios"]))
+
+
+def classification_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of a prediction that follows from the age: severity over the test rows."""
+    _, test = models.hash_split(models.severity_labels(_model_cases(spark, sf_dir), VOCABULARY), "id_caso", models.TRAIN_PERCENT)
+    guess = F.when(F.col("edad_anios") >= 60, 2.0).when(F.col("edad_anios") >= 30, 1.0).otherwise(0.0)
+    return rounded(models.classification_metrics(test.select("label", guess.alias("prediction"))))
+
+
+def cluster_departments_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Departments with standardised features, held against the centres of their clusters."""
+    clustered = models.cluster_departments(_model_cases(spark, sf_dir), THRESHOLDS, VOCABULARY)
+    return rounded(models.check_clusters(clustered, models.DEPARTMENT_FEATURES, ["nombre_departamento"]))
+
+
+def cluster_groups_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clustered = models.cluster_groups(_model_cases(spark, sf_dir), THRESHOLDS, VOCABULARY)
+    return rounded(models.check_clusters(clustered, models.GROUP_FEATURES, ["grupo_edad", "sexo"]))
+
+
 def mortality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.mortality_model(_model_cases(spark, sf_dir)).predictions
 
@@ -636,6 +738,11 @@ OPERATOR_QUERIES: dict[str, Query] = {
     "csv_dimensions": csv_dimensions,
     "empty_dimension": empty_dimension,
     "sex_ratio_one_listed": sex_ratio_one_listed,
+    "department_cases": department_cases,
+    "snapshot_changes": changed_cases,
+    "incremental_trusted": incremental_trusted,
+    "auc_by_ranks": auc_by_ranks,
+    "age_ranks": age_ranks,
 }
 MODEL_QUERIES: dict[str, Query] = {
     "ml_dataset": ml_dataset,
@@ -653,6 +760,12 @@ MODEL_QUERIES: dict[str, Query] = {
     "cluster_departments_profile": cluster_departments_profile,
     "cluster_groups": cluster_groups,
     "cluster_groups_profile": cluster_groups_profile,
+    "mortality_features": mortality_features,
+    "severity_features": severity_features,
+    "hospital_features": hospital_features,
+    "classification_metrics": classification_metrics,
+    "cluster_departments_check": cluster_departments_check,
+    "cluster_groups_check": cluster_groups_check,
 }
 QUERIES: dict[str, Query] = {
     **{key: _dataset_query(name) for key, name in DATASET_QUERIES.items()},

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
+def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] | None = None) -> DataFrame:
     """Keep the first row of each key in the given order (default: all other columns), NULLs last.
 
     The result does not depend on partitioning as long as ``order`` leaves no ties between rows
@@ -17,6 +17,6 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None =
     through the shuffle and not its whole group.  NULL keys form one group.
     """
     order = list(order) if order else [c for c in df.columns if c not in keys]
-    window = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    window = Window.partitionBy(*keys).orderBy(*[(F.col(c) if isinstance(c, str) else c).asc_nulls_last() for c in order])
     position = "__position"
     return df.withColumn(position, F.row_number().over(window)).filter(F.col(position) == 1).drop(position)

@@ -13,10 +13,11 @@ import re
 from collections.abc import Iterable, Mapping
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigia.model import CASE_COLUMNS, Thresholds, Vocabulary
+from vigia.operators.prefix import running_totals
 
 
 def _members(column: str, values: Iterable[str]) -> str:
@@ -36,9 +37,49 @@ def state_columns(vocabulary: Vocabulary) -> dict[str, str]:
         "st_age_n": "CASE WHEN edad_anios IS NOT NULL THEN 1 ELSE 0 END",
         "st_density_sum": "densidad_poblacional",
         "st_density_n": "CASE WHEN densidad_poblacional IS NOT NULL THEN 1 ELSE 0 END",
+        **moments("st_diagnosis", "datediff(fecha_diagnostico, fecha_inicio_sintomas)"),
+        **moments("st_recovery", "CASE WHEN recuperado_flag = 1 THEN datediff(fecha_recuperacion, fecha_diagnostico) END"),
+        **moments("st_death", "CASE WHEN fallecido = 1 THEN datediff(fecha_muerte, fecha_diagnostico) END"),
     }
 
 
+#: Squares are summed about this many days, near the middle of what durations take.
+SHIFT = 14
+#: How states merge that are not added.
+MERGED = {"_min": F.min, "_max": F.max}
+
+
+def moments(state: str, days: str) -> dict[str, str]:
+    """States of a number of days: how many, sum and sum of squares about ``SHIFT``, least and largest.
+
+    All are whole numbers and merge without loss of digits: mean and deviation of a merged state are those of its rows.
+    """
+    return {
+        f"{state}_n": f"CASE WHEN ({days}) IS NOT NULL THEN 1 ELSE 0 END",
+        f"{state}_sum": f"CAST(({days}) - {SHIFT} AS BIGINT)",
+        f"{state}_squares": f"CAST(({days}) - {SHIFT} AS BIGINT) * CAST(({days}) - {SHIFT} AS BIGINT)",
+        f"{state}_min": days,
+        f"{state}_max": days,
+    }
+
+
+def mean_of(state: str) -> str:
+    """SQL for the mean of a merged state."""
+    return f"try_divide(sum({state}_sum), sum({state}_n)) + {SHIFT}D"
+
+
+def deviation_of(state: str) -> str:
+    """SQL for the sample deviation of a merged state; NULL below two rows."""
+    n, total, squares = (f"CAST(sum({state}_{part}) AS DECIMAL(19, 0))" for part in ("n", "sum", "squares"))
+    return (f"sqrt(try_divide(CAST({n} * {squares} - {total} * {total} AS DOUBLE), "
+            f"CAST({n} AS DOUBLE) * CAST({n} - 1 AS DOUBLE)))")
+
+
+def merge(state: str) -> Column:
+    """The aggregate that merges a state."""
+    return MERGED.get(state[state.rfind("_"):], F.sum)(state)
+
+
 @dataclass(frozen=True)
 class Report:
     """A result dataset.  Texts are Spark SQL; ``{name}`` refers to a threshold.
@@ -57,6 +98,7 @@ class Report:
     having: str | None = None
     top: tuple[str, str, str] | None = None      # (key, measure, threshold with the number)
     derived: Mapping[str, str] = field(default_factory=dict)
+    running: Mapping[str, str] = field(default_factory=dict)  # totals of measures over all keys in order
     keep: str | None = None                      # filter on measures and derived columns
     dropped: tuple[str, ...] = ()
     order: tuple[str, ...] = ()                  # "-column" sorts descending
@@ -103,11 +145,11 @@ def rollup(
     only: Iterable[str] | None = None,
     carried: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Sum the states by ``keys``: the same table at a coarser grain."""
+    """Merge the states by ``keys``: the same table at a coarser grain."""
     rows = with_states(df, vocabulary, only)
     states = [s for s in state_columns(vocabulary) if s in rows.columns and (only is None or s in set(only))]
     return rows.groupBy(*keys).agg(
-        *[F.sum(s).alias(s) for s in states],
+        *[merge(s).alias(s) for s in states],
         *[F.expr(text).alias(c) for c, text in (carried or {}).items()],
     )
 
@@ -165,6 +207,8 @@ def run_report(
     if report.top:
         key, measure, number = report.top
         result = within_top(result, key, measure, values[number])
+    if report.running:
+        result = running_totals(result, report.keys, report.running)
     for name, text in report.derived.items():
         result = result.withColumn(name, F.expr(text.format(**values)))
     if report.keep:

@@ -56,10 +56,13 @@ def clean_cases(
 
     Rows without a department code can't stay and are no rivals either.  Of several others with one id the first in
     ``order`` stays (default: all other columns, which leaves no ties between different rows), a value before
-    a NULL and so a readable date before an unreadable one.
+    a NULL and so a readable date before an unreadable one.  Rows without a code come last in the order and go after
+    it: filtered before, the condition would be pushed below the joins and parsers that made the rows.
     """
     parsed = parse_columns(canonical_columns(raw), date_formats)
-    return keep_first(parsed.filter(F.col("codigo_departamento").isNotNull()), ["id_caso"], order)
+    order = list(order) if order else [c for c in parsed.columns if c != "id_caso"]
+    unknown = F.col("codigo_departamento").isNull()
+    return keep_first(parsed, ["id_caso"], [unknown, *order]).filter(~unknown)
 
 
 def hospital_capacity(hospitals: DataFrame) -> DataFrame:

@@ -15,7 +15,6 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +22,7 @@ from pyspark.sql import functions as F
 
 from vigia.functions.dates import days_between
 from vigia.model import CASE_COLUMNS, Thresholds, Vocabulary
+from vigia.operators.prefix import area_under_curve
 from vigia.operators.report import Report, run_report
 from vigia.operators.split import hash_split
 from vigia.plans.reports import (
@@ -42,6 +42,8 @@ MORTALITY_TREES, MORTALITY_DEPTH = 100, 10
 SEVERITY_TREES, SEVERITY_DEPTH = 100, 8
 HOSPITAL_ITERATIONS = 100
 DEPARTMENT_CLUSTERS, GROUP_CLUSTERS = 4, 3
+# Centres and means that differ by less are the same.
+CLOSE = 1e-6
 COMPLETE = ("edad_anios", "sexo", "nombre_departamento", "tipo_contagio")
 DEPARTMENT_FEATURES = ("edad_promedio", "tasa_letalidad", "tasa_recuperacion", "densidad", "incidencia_100k")
 GROUP_FEATURES = ("edad_promedio", "tasa_mortalidad", "tasa_recuperacion", "tasa_hospitalizacion")
@@ -108,12 +110,12 @@ def prepare_cases(df: DataFrame) -> DataFrame:
 
 
 def _spread(df: DataFrame) -> DataFrame:
-    """Rows dealt out evenly to as many tasks as the session shuffles to.
+    """Rows dealt out evenly, in as many tasks as their size asks for.
 
-    A fit passes over its rows some hundred times, so a few large or uneven input files would keep
-    most cores idle in each pass.  The number of cores is no guide: it is that of the moment.
+    A fit passes over its rows some hundred times, so a few large or uneven input files would keep most cores idle in each pass.
+    REBALANCE lets adaptive execution choose the number by the advisory partition size.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df.hint("rebalance")
 
 
 def label_counts(df: DataFrame) -> DataFrame:
@@ -186,16 +188,14 @@ def _from_counts(counts: Mapping[tuple[float, float], int]) -> dict[str, float]:
 
 
 def _evaluate(rows: DataFrame, metrics: Mapping[str, str]) -> dict[str, float]:
-    """Metrics of written (label, prediction, score) rows: one count of pairs, one more pass for a curve."""
+    """Metrics of written (label, prediction, score) rows: one count of pairs, and the rank sums of the scores for the area."""
     decided = rows.filter(F.col("prediction").isNotNull())
     counts = {(r["label"], r["prediction"]): r["n"] for r in
               decided.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n")).collect()}
     found = _from_counts(counts)
     if "areaUnderROC" in metrics.values():
-        # No curve without both classes.
-        both = len({label for label, _ in counts}) == 2
-        curve = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="score", metricName="areaUnderROC")
-        found["areaUnderROC"] = float(curve.evaluate(decided)) if both else 0.0
+        # No area without both classes.
+        found["areaUnderROC"] = area_under_curve(decided, "label", "score").first()["auc"] or 0.0
     return {name: found[metric] for name, metric in metrics.items()}
 
 
@@ -379,6 +379,47 @@ def cluster_groups(df: DataFrame, thresholds: Thresholds = Thresholds(),
     return _cluster(table, GROUP_FEATURES, k, profile, ["grupo_edad", "sexo"], seed)
 
 
+def check_clusters(clustered: Clustered, features: Sequence[str], key: Sequence[str]) -> DataFrame:
+    """Members with their standardised features, ``mas_cercano`` (no centre is nearer than that of their cluster) and
+    ``centro_es_media`` (the centre is the mean of its members), all as column expressions.
+
+    The centres are a handful of numbers and stand in the plan; mean and deviation of the features come from the members.
+    """
+    moments = clustered.members.agg(
+        *[F.avg(f).alias(f"__mean_{f}") for f in features], *[F.stddev_samp(f).alias(f"__dev_{f}") for f in features]).first()
+    scaled = {f"{f}_escalada": F.when(F.lit(moments[f"__dev_{f}"] > 0), (F.col(f) - moments[f"__mean_{f}"]) / moments[f"__dev_{f}"]).otherwise(0.0)
+              for f in features}
+    rows = clustered.members.select(*key, "cluster", *[c.cast("double").alias(n) for n, c in scaled.items()])
+    centres = [[float(x) for x in centre] for centre in clustered.model.stages[-1].clusterCenters()]
+    distances = F.array(*[sum((F.pow(F.col(n) - x, 2) for n, x in zip(scaled, centre, strict=True)), F.lit(0.0)) for centre in centres])
+    near = F.get(distances, F.col("cluster")) <= F.array_min(distances) + CLOSE
+    own = F.array(*[F.array(*[F.lit(x) for x in centre]) for centre in centres])
+    means = rows.groupBy("cluster").agg(F.array(*[F.avg(n) for n in scaled]).alias("__means"))
+    apart = F.aggregate(F.zip_with("__means", F.get(own, F.col("cluster")), lambda a, b: F.abs(a - b)), F.lit(0.0), lambda most, x: F.greatest(most, x))
+    return rows.join(means, "cluster").select(*key, *scaled, near.alias("mas_cercano"), (apart <= CLOSE).alias("centro_es_media"))
+
+
+def model_features(df: DataFrame, categories: Sequence[str], numbers: Sequence[str], seed: int = SEED) -> DataFrame:
+    """Test rows as the classifiers see them: id, label, numbers, the index of each category (``<name>_idx``), and all of them standardised.
+
+    Indexes and moments are those of the training rows: a category's index is its place by frequency there, then by name; a category
+    not seen there has the number of those that were.
+    """
+    train, test = hash_split(df.select("id_caso", *categories, *numbers, "label"), "id_caso", TRAIN_PERCENT, seed)
+    names = [*numbers, *[f"{c}_idx" for c in categories]]
+    with _cached(_spread(train)) as rows:
+        model = Pipeline(stages=[_index(categories), _assemble(names, "features_raw"), _scale()]).fit(rows)
+    values = vector_to_array("features")
+    seen = model.transform(test)
+    return seen.select("id_caso", "label", *names, *[F.get(values, F.lit(k)).alias(f"{n}_escalada") for k, n in enumerate(names)])
+
+
+def classification_metrics(df: DataFrame) -> DataFrame:
+    """One row of accuracy, f1, precision and recall (weighted by the cases of each label) of (label, prediction) rows."""
+    found = _evaluate(df, {"accuracy": "accuracy", "f1": "f1", "precision": "weightedPrecision", "recall": "weightedRecall"})
+    return df.sparkSession.createDataFrame([tuple(found.values())], ", ".join(f"{n} double" for n in found))
+
+
 def cluster_members(clustered: Clustered) -> DataFrame:
     """Departments listed by cluster."""
     return clustered.members.select(

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from vigia.model import Thresholds, Vocabulary
-from vigia.operators.report import Report, pivot_counts, run_report
+from vigia.operators.report import Report, deviation_of, mean_of, pivot_counts, run_report
 
 CASES = "sum(st_cases)"
 DEATHS = "sum(st_deaths)"
@@ -23,9 +23,6 @@ SEVERE_SHARE = "try_divide(sum(st_severe), sum(st_cases)) * 100"
 HOSPITAL_SHARE = "try_divide(sum(st_hospital), sum(st_cases)) * 100"
 PER_100K_DEPARTMENT = "try_divide(sum(st_cases), max(poblacion_departamento)) * 100000"
 PER_100K_MUNICIPALITY = "try_divide(sum(st_cases), max(poblacion_municipio)) * 100000"
-DAYS_TO_DIAGNOSIS = "datediff(fecha_diagnostico, fecha_inicio_sintomas)"
-DAYS_TO_RECOVERY = "datediff(fecha_recuperacion, fecha_diagnostico)"
-DAYS_TO_DEATH = "datediff(fecha_muerte, fecha_diagnostico)"
 SEVERITY = (
     "CASE WHEN letalidad > {high_cfr} THEN 'ALTA' WHEN letalidad > {medium_cfr} THEN 'MEDIA' "
     "ELSE 'BAJA' END"
@@ -142,9 +139,9 @@ _ALL = [
     ),
     Report(
         "tiempo_diagnostico", ("estado",),
-        {"dias_promedio": f"avg({DAYS_TO_DIAGNOSIS})", "dias_minimo": f"min({DAYS_TO_DIAGNOSIS})",
-         "dias_maximo": f"max({DAYS_TO_DIAGNOSIS})", "casos": CASES},
-        where="fecha_inicio_sintomas IS NOT NULL AND fecha_diagnostico IS NOT NULL",
+        {"dias_promedio": mean_of("st_diagnosis"), "dias_minimo": "min(st_diagnosis_min)",
+         "dias_maximo": "max(st_diagnosis_max)", "casos": "sum(st_diagnosis_n)"},
+        having="casos > 0",
     ),
     Report(
         "cfr_temporal_departamento", (*MONTH, *DEPARTMENT),
@@ -155,10 +152,9 @@ _ALL = [
     # recovery
     Report(
         "tiempo_recuperacion", ("grupo_edad", "estado"),
-        {"dias_promedio_recuperacion": f"avg({DAYS_TO_RECOVERY})",
-         "desviacion_std": f"stddev_samp({DAYS_TO_RECOVERY})", "casos_recuperados": CASES},
-        where="recuperado_flag = 1 AND fecha_diagnostico IS NOT NULL AND fecha_recuperacion IS NOT NULL",
-        having="casos_recuperados > {recovered_cases}",
+        {"dias_promedio_recuperacion": mean_of("st_recovery"), "desviacion_std": deviation_of("st_recovery"),
+         "casos_recuperados": "sum(st_recovery_n)"},
+        having="casos_recuperados > 0 AND casos_recuperados > {recovered_cases}",
     ),
     Report(
         "recuperacion_por_tipo", ("tipo_contagio", "ubicacion"),
@@ -248,10 +244,9 @@ _EXTRA = [
     ),
     Report(
         "tiempo_diagnostico_muerte", ("grupo_edad",),
-        {"dias_promedio": f"avg({DAYS_TO_DEATH})", "dias_minimo": f"min({DAYS_TO_DEATH})",
-         "dias_maximo": f"max({DAYS_TO_DEATH})", "desviacion_std": f"stddev_samp({DAYS_TO_DEATH})",
-         "casos": CASES},
-        where="fallecido = 1 AND fecha_diagnostico IS NOT NULL AND fecha_muerte IS NOT NULL",
+        {"dias_promedio": mean_of("st_death"), "dias_minimo": "min(st_death_min)", "dias_maximo": "max(st_death_max)",
+         "desviacion_std": deviation_of("st_death"), "casos": "sum(st_death_n)"},
+        having="casos > 0",
         order=("grupo_edad",),
     ),
     Report(
@@ -277,12 +272,17 @@ _EXTRA = [
                  "cfr_acumulado": "try_divide(fallecidos_acumulados, casos_acumulados) * 100"},
         order=(*DEPARTMENT, *MONTH),
     ),
-    # One row per day before the window, so its single partition holds days and not cases.
+    # The running total of all cases, by day and by day and municipality; in ranges, not in one window over all rows.
     Report(
         "casos_acumulados_nacional", ("fecha_reporte",), {"casos": CASES},
-        derived={"casos_acumulados": "sum(casos) OVER (ORDER BY fecha_reporte)"},
+        running={"casos_acumulados": "casos"},
         order=("fecha_reporte",),
     ),
+    Report(
+        "casos_acumulados_municipales", ("fecha_reporte", "codigo_municipio"), {"casos": CASES},
+        running={"casos_acumulados": "casos"},
+        order=("fecha_reporte", "codigo_municipio"),
+    ),
 ]
 
 SEX_RATIO = "ratio_sexo_edad"
@@ -328,7 +328,7 @@ MUNICIPALITY_KEYS = (
     "codigo_municipio", "nombre_municipio", "nombre_departamento", "poblacion_municipio",
     "num_hospitales", "total_camas_uci", "total_camas_general",
 )
-# Everything else reads the cases themselves: weeks, days and durations between dates.
+# Everything else reads the cases themselves: weeks and days.
 ROLLUP_OF = {
     name: MUNICIPALITY_KEYS
     for name in ("geografia_municipios_top50", "infraestructura_salud", "dashboard_kpis", "municipios_criticos")
@@ -342,6 +342,6 @@ ROLLUP_OF = {
         SEX_RATIO, "indice_gravedad", "sql_ranking_departamentos", "sql_evolucion_letalidad",
         "sql_edad_region", "sql_casos_acumulados", "mortalidad_departamento_mes",
         "mortalidad_por_tipo_recuperacion", "estado_salud_actual", "departamentos_criticos",
-        "indicadores_epidemiologicos",
+        "indicadores_epidemiologicos", "tiempo_diagnostico", "tiempo_recuperacion", "tiempo_diagnostico_muerte",
     )
 }

@@ -33,3 +33,58 @@ def remove_path(spark: SparkSession, path: str) -> None:
     store, hadoop = _store(spark, path)
     if store.exists(hadoop):
         store.delete(hadoop, True)
+
+
+def stamp(spark: SparkSession, path: str) -> str | None:
+    """What tells whether a file or folder is still as it was written: files, bytes and when it was committed; ``None`` if it is not there.
+
+    A job that writes a folder ends with a new ``_SUCCESS``; the store sums up files and bytes itself, so nothing is listed here.
+    """
+    store, hadoop = _store(spark, path)
+    if not store.exists(hadoop):
+        return None
+    summary, status = store.getContentSummary(hadoop), store.getFileStatus(hadoop)
+    if status.isDirectory():
+        done = hadoop.suffix("/_SUCCESS")
+        changed = store.getFileStatus(done).getModificationTime() if store.exists(done) else 0
+    else:
+        changed = status.getModificationTime()
+    return f"{summary.getFileCount()}:{summary.getLength()}:{changed}"
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, written beside and then renamed: whoever finds it finds all of it."""
+    store, target = _store(spark, path)
+    aside = target.suffix(".tmp")
+    stream = store.create(aside, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if store.exists(target):
+        store.delete(target, False)
+    if not store.rename(aside, target):
+        raise OSError(f"could not write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file, or ``None`` if it is not there."""
+    store, hadoop = _store(spark, path)
+    if not store.exists(hadoop):
+        return None
+    stream = store.open(hadoop)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def read_head(spark: SparkSession, path: str, size: int = 4096) -> bytes:
+    """The first bytes of a file."""
+    store, hadoop = _store(spark, path)
+    stream = store.open(hadoop)
+    try:
+        bounded = spark.sparkContext._jvm.org.apache.commons.io.input.BoundedInputStream(stream, size)
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(bounded))
+    finally:
+        stream.close()

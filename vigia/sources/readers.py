@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigia.sources.files import entries
+from vigia.sources.files import entries, read_head
 
 
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -80,7 +80,7 @@ def typed_by_name(df: DataFrame, schema: T.StructType) -> DataFrame:
 def read_latest(spark: SparkSession, root: str, schema: T.StructType | None = None, csv_as_strings: bool = False) -> DataFrame:
     """Read the newest snapshot in a folder, all of its files, in the format their names tell.
 
-    JSON whose first line is an object by itself is JSON lines, any other is an array or object to each file; a
+    A JSON file whose first line is an object by itself is JSON lines, any other is an array or object; a snapshot may hold both, and a
     record that cannot be read is an error.  CSV columns are matched with the schema by header and inferred without one
     (``csv_as_strings``: all strings, as they stand).  A snapshot without data is an empty table.
     """
@@ -96,10 +96,28 @@ def read_latest(spark: SparkSession, root: str, schema: T.StructType | None = No
         return rows if schema is None or csv_as_strings else typed_by_name(rows, schema)
     if kinds != {"json"}:
         raise ValueError(f"no reader for {path}")
-    reader = spark.read.option("mode", "FAILFAST")
-    reader = reader.schema(schema) if schema else reader
-    first = spark.read.text(inside[0]).where(F.trim("value") != "").first()
-    return reader.option("multiLine", first is not None and not _is_object(first[0])).json(inside)
+    lines = {path: _is_object(_first_line(spark, path)) for path in inside}
+    parts = []
+    for as_lines in (True, False):
+        paths = [path for path in inside if lines[path] == as_lines]
+        if paths:
+            reader = spark.read.option("mode", "FAILFAST").option("multiLine", not as_lines)
+            parts.append((reader.schema(schema) if schema else reader).json(paths))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
+
+
+def _first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a file that is not blank; of a plain file from its first bytes, in which a record's line need not end."""
+    if not path.endswith(".json"):
+        first = spark.read.text(path).where(F.trim("value") != "").first()
+        return first[0] if first else "{}"
+    head = read_head(spark, path).decode("utf-8", "ignore").lstrip("\ufeff \t\r\n")
+    first, end, _ = head.partition("\n")
+    if not head or end:
+        return first or "{}"
+    # A line longer than the head: as long as a record can be told by, in full.
+    first = spark.read.text(path).where(F.trim("value") != "").first()
+    return first[0] if first else "{}"
 
 
 def _is_object(line: str) -> bool:
@@ -109,6 +127,24 @@ def _is_object(line: str) -> bool:
         return False
 
 
+def unfitting_values(spark: SparkSession, root: str, schema: T.StructType) -> dict[str, int]:
+    """How many values of the newest snapshot's CSV files are not of the type that ``schema`` asks for, by column; those are NULL when read.
+
+    Columns without any are left out.  JSON is read strictly and has none.
+    """
+    path = latest_snapshot(spark, root)
+    inside = [e.path for e in entries(spark, path) if not e.folder and re.search(r"[.]csv([.]\w+)?$", e.path)]
+    if not inside:
+        return {}
+    rows = read_csv(spark, inside)
+    known = {c.lower(): c for c in rows.columns}
+    checks = [F.count(F.when(F.col(f"`{known[f.name.lower()]}`").isNotNull() & F.col(f"`{known[f.name.lower()]}`").try_cast(f.dataType).isNull(), 1)).alias(f.name)
+              for f in schema.fields if f.name.lower() in known]
+    if not checks:
+        return {}
+    return {name: n for name, n in rows.agg(*checks).first().asDict().items() if n}
+
+
 def read_table(
     spark: SparkSession,
     url: str,

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from vigia.sources.files import remove_path
+from vigia.sources.files import entries, remove_path
+
 
 def write_parquet(df: DataFrame, path: str, by: Sequence[str] = ()) -> int:
     """Overwrite a parquet folder; returns its rows.
@@ -20,17 +23,26 @@ def write_parquet(df: DataFrame, path: str, by: Sequence[str] = ()) -> int:
     return df.sparkSession.read.schema(df.schema).parquet(path).count()
 
 
+#: Order of the rows of a file of cases, and columns with a Bloom filter in each row group.
+WITHIN = ("codigo_departamento", "id_caso")
+BLOOM = ("id_caso",)
+
+
 def write_cases(df: DataFrame, root: str, by: Sequence[str] = ("anio_reporte", "mes_reporte"),
-                replace_only_present: bool = False) -> int:
+                replace_only_present: bool = False, options: Mapping[str, str] | None = None) -> int:
     """Parquet partitioned by report year and month; returns the rows of the whole dataset.
 
     REBALANCE brings the rows of a month together, so that a month does not end in one small file
     per task, and adaptive execution cuts a month that is far larger than the others into several
     files.  ``replace_only_present`` keeps the partitions the new data does not touch.
+
+    Within a file rows are in the order of their department and id.  The statistics of its row groups then tell which of them
+    hold a department at all, and their Bloom filters tell the same of an id: a reader skips the others.
     """
-    writer = df.hint("rebalance", *by).write.mode("overwrite")
+    dealt = df.hint("rebalance", *by).sortWithinPartitions(*by, *[c for c in WITHIN if c in df.columns])
+    writer = dealt.write.mode("overwrite").options(**{f"parquet.bloom.filter.enabled#{c}": "true" for c in BLOOM if c in df.columns})
     mode = "dynamic" if replace_only_present else "static"
-    writer.option("partitionOverwriteMode", mode).partitionBy(*by).parquet(root)
+    writer.options(**(options or {})).option("partitionOverwriteMode", mode).partitionBy(*by).parquet(root)
     return df.sparkSession.read.schema(df.schema).parquet(root).count()
 
 
@@ -82,7 +94,36 @@ def remove_result(spark: SparkSession, folder: str, name: str) -> None:
         remove_path(spark, f"{folder.rstrip('/')}/{name}.{suffix}")
 
 
-def publish(df: DataFrame, table: str, path: str | None = None) -> None:
-    """Replace the contents of a catalogue table."""
-    writer = df.write.mode("overwrite").format("parquet")
-    (writer.option("path", path) if path else writer).saveAsTable(table)
+def publish(df: DataFrame, table: str, path: str | None = None, keep: int = 2) -> str:
+    """Replace the contents of a catalogue table at once; returns the folder of the new ones.
+
+    The rows are written to a folder of their own, ``version=<time>-...`` below ``path`` (default: beside the session's
+    warehouse tables), and then the table's location is set to it.  Until then readers have the old contents, and a load that
+    fails leaves them; queries that run on go on reading the old folder, since the ``keep`` newest ones stay.
+    A table whose columns have changed is declared anew.
+    """
+    spark = df.sparkSession
+    if path is None:
+        path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{table.replace('.', '.db/')}_versions"
+    stamp = datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S_%f")
+    target = f"{path.rstrip('/')}/version={stamp}-{uuid.uuid4().hex[:8]}"
+    try:
+        df.write.parquet(target)
+    except Exception:
+        remove_path(spark, target)
+        raise
+    location = target.replace("\\", "\\\\").replace("'", "\\'")
+    columns = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+    known = spark.catalog.tableExists(table)
+    if known and spark.table(table).dtypes == columns:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+    else:
+        if known:
+            spark.sql(f"DROP TABLE {table}")
+        declared = ", ".join(f"`{name}` {kind}" for name, kind in columns)
+        spark.sql(f"CREATE TABLE {table} ({declared}) USING parquet LOCATION '{location}'")
+    spark.catalog.refreshTable(table)
+    versions = sorted((e for e in entries(spark, path) if e.folder and e.name.startswith("version=")), key=lambda e: e.name)
+    for old in versions[:-keep]:
+        remove_path(spark, old.path)
+    return target
