@@ -203,7 +203,7 @@ def test_leaks_of_odd_rows(spark, monkeypatch):
     rows = [(1, None), (1, None), (2, ""), (None, f"so, {item.upper()}!"), (3, "..."), (4, "word " * 60_000 + item)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     bench = spark.createDataFrame([(7, item), (8, "an entirely different question about rivers and their many bridges")], "item_id bigint, text string")
-    monkeypatch.setattr(decontaminate, "ITEMS_PER_PASS", 2)
+    monkeypatch.setattr(decontaminate, "PASS_CHARS", 60)
     found = decontaminate.find_leaks(docs, bench).collect()
     assert sorted((str(r["doc_id"]), r["leaked_items"]) for r in found) == [("1", []), ("1", []), ("2", []), ("3", []), ("4", ["7"]), ("None", ["7"])]
     assert decontaminate.find_leaks(docs, bench.limit(0)).where("size(leaked_items) = 0").count() == 6

@@ -1,7 +1,7 @@
 """The corpus pipeline stage by stage."""
 
 import corpus_pipeline
-from tests.llm.test_corpus_joins import plain_fingerprint, roots_of
+from tests.llm.test_similar import smallest_ids
 from vigia.llm.queries import QUERIES
 
 
@@ -27,9 +27,7 @@ def test_stages_keep_what_their_operators_decide(spark, small, tmp_path):
     good = {r["doc_id"] for r in QUERIES["op4_quality"](spark, small).where("predicted = 1").collect()}
     kept &= good
     assert step("quality") == kept and docs.columns == columns
-    ids = sorted(kept)
-    roots = roots_of([plain_fingerprint(rows[i]) for i in ids], 3)
-    kept = {ids[r] for r in set(roots)}
+    kept = set(smallest_ids({i: rows[i] for i in kept}).values())
     assert step("near_duplicates") == kept and docs.columns == columns
     kept -= {r["doc_id"] for r in QUERIES["op3_decontaminate"](spark, small).collect()}
     assert step("benchmark_leaks") == kept and docs.columns == columns

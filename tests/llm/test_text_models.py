@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import random
+import sys
 
 import numpy as np
 import public_tokenizers
@@ -50,10 +51,23 @@ def test_codec_equals_the_library(codec):
 def test_cache_limit_changes_nothing(codec, monkeypatch):
     texts = ["one two three", "two  three four", "five"]
     want = codec.encode(texts)
-    monkeypatch.setattr("vigia.llm.bpe.CACHE_WORDS", 0)
+    monkeypatch.setattr("vigia.llm.bpe.WORD_BYTES", 0)
+    monkeypatch.setattr("vigia.llm.bpe.PAIR_BYTES", 0)
     assert [codec.encode([t])[0] for t in texts] == want
 
 
+def test_cache_is_bounded_in_bytes_and_goes_with_the_task(codec, monkeypatch):
+    monkeypatch.setattr("vigia.llm.bpe.WORD_BYTES", 50_000)
+    rng = random.Random(2)
+    codec.forget()
+    for _ in range(60):
+        codec.encode([" ".join("".join(rng.choices("abcdefgh", k=rng.randint(3, 90))) for _ in range(40))])
+        held = sum(sys.getsizeof(k) + sys.getsizeof(v) for k, v in codec.known.items())
+        assert held <= codec.known_bytes < 50_000 + 40 * 2 * 300
+    codec.forget()
+    assert not codec.known and not codec.apart and not codec.known_bytes
+
+
 def test_encoding_odd_rows(spark):
     rows = encode_documents(odd_table(spark, ids="clash", other="kept"), PATH).collect()
     assert len(rows) == len(ODD) and {r["other"] for r in rows} == {"kept"}

@@ -26,8 +26,11 @@ from pyspark.sql import DataFrame
 
 from vigia.llm.common import annotate
 
-#: Words, and pieces between spaces, whose encodings a Python worker keeps; a cache starts anew beyond, which changes no result.
-CACHE_WORDS = 800_000
+#: Bytes that a task keeps of encodings of words and of pieces between spaces, and of pairs of tokens, about; each is emptied beyond,
+#: which changes no result, and both go with the task.
+WORD_BYTES, PAIR_BYTES = 24_000_000, 8_000_000
+#: What Python takes for an entry of either, besides the characters and bytes in it.
+WORD_ENTRY, PAIR_ENTRY = 190, 170
 #: Longer words are encoded and forgotten.
 CACHE_BYTES = 64
 #: Fixed value: how the byte-level pre-tokenizer cuts a text into words.
@@ -71,12 +74,17 @@ class Codec:
         for word in self.ids:
             ending.setdefault(word[-2:], set()).add(len(word))
         self.ending = {b: tuple(sorted(n | ({1} if len(b) > 1 else set()), reverse=True)) for b, n in ending.items()}
-        self.apart: dict[tuple[int, int], bool] = {}
-        self.known: dict[str, bytes] = {}
+        self.forget()
         self.run = re.compile(r"\s\s")
         self.pattern = regex.compile(WORDS)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
 
+    def forget(self) -> None:
+        """Empties what is kept of earlier texts; only the vocabulary's own tables stay."""
+        self.apart: dict[tuple[int, int], bool] = {}
+        self.known: dict[str, bytes] = {}
+        self.known_bytes = 0
+
     @staticmethod
     def _check(spec: dict) -> None:
         pre = spec.get("pre_tokenizer") or {}
@@ -100,7 +108,7 @@ class Codec:
         """
         known = self.apart.get((a, b))
         if known is None:
-            if len(self.apart) > 2_000_000:
+            if len(self.apart) * PAIR_ENTRY > PAIR_BYTES:
                 self.apart.clear()
             known = True
             for x, ends_x in self.right[a]:
@@ -153,8 +161,9 @@ class Codec:
         the next one, so that the pieces between spaces can be encoded, and remembered, by themselves.
         A space and letters are one word; other pieces are cut by the pattern.
         """
-        if len(self.known) > CACHE_WORDS:
+        if self.known_bytes > WORD_BYTES:
             self.known.clear()
+            self.known_bytes = 0
         known, cut = self.known, self.pattern.findall
         split = [[t] if self.run.search(t) else [first, *[" " + x for x in rest]]
                  for t in texts for first, *rest in (t.split(" "),)]
@@ -170,6 +179,8 @@ class Codec:
         for p in fresh | words:
             if len(p) > CACHE_BYTES:
                 del known[p]
+            else:
+                self.known_bytes += WORD_ENTRY + 2 * len(p)
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -220,6 +231,7 @@ def encode_documents(df: DataFrame, vocabulary: str, *, text: str = "text", ids:
                         "decoded_sha256": [hashlib.sha256(b.encode()).hexdigest() for b in back]}
             return {ids: [np.frombuffer(p, dtype="<u4").astype(np.int64) for p in packed], decoded: list(back)}
 
+        work.done = tool.forget
         return work
 
     fields = {"n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"} if digests else {ids: "array<bigint>", decoded: "string"}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vigia.sources.files import remove_path
 from vigia.sources.scratch import scratch_path
 
 #: Texts are handed to numpy in slices of about this many characters, so that memory follows one
@@ -26,13 +28,36 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written below the shared scratch folder and read back: cuts the lineage, survives lost executors."""
+def stored(df: DataFrame, label: str, folders: list[str] | None = None) -> DataFrame:
+    """``df`` written below the shared scratch folder and read back: cuts the lineage, survives lost executors.
+
+    The folder is noted in ``folders``, for whoever knows when its last reader is done.
+    """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
+    if folders is not None:
+        folders.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, folders: list[str]) -> None:
+    """Removes scratch folders that nobody reads any more."""
+    while folders:
+        remove_path(spark, folders.pop())
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Within it, Spark hands at most so many rows at a time to Python: for rows that are large."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """``wanted``, or a longer name that no column of ``df`` has."""
     taken = {c.lower() for c in df.columns}
@@ -58,7 +83,8 @@ def annotate(df: DataFrame, text: str, make: Callable[[], Callable[[list[str | N
              fields: dict[str, str]) -> DataFrame:
     """``df`` with the columns ``fields`` (name: Spark type) computed from the column ``text``.
 
-    ``make`` runs once in each task and gives a function from a list of texts to the new columns.
+    ``make`` runs once in each task and gives a function from a list of texts to the new columns; if that has an
+    attribute ``done``, it is called when the task has no more texts.
     A column of ``df`` that has the name of a new one is replaced.
     """
     new = {f.lower() for f in fields}
@@ -73,13 +99,16 @@ def annotate(df: DataFrame, text: str, make: Callable[[], Callable[[list[str | N
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in batches:
-            texts = batch.column(at).to_pylist()
-            for part in slices(texts):
-                made = work(texts[part])
-                same = [c.slice(part.start, part.stop - part.start) for c in batch.columns[:len(kept)]]
-                yield pa.RecordBatch.from_arrays(
-                    [*same, *(pa.array(made[n], type=t) for n, t in zip(fields, types, strict=True))], names=[*kept, *fields])
+        try:
+            for batch in batches:
+                texts = batch.column(at).to_pylist()
+                for part in slices(texts):
+                    made = work(texts[part])
+                    same = [c.slice(part.start, part.stop - part.start) for c in batch.columns[:len(kept)]]
+                    yield pa.RecordBatch.from_arrays(
+                        [*same, *(pa.array(made[n], type=t) for n, t in zip(fields, types, strict=True))], names=[*kept, *fields])
+        finally:
+            getattr(work, "done", lambda: None)()
 
     return rows.mapInArrow(run, schema)
 

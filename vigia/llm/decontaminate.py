@@ -2,11 +2,15 @@
 
 Texts are cut into passages; a passage is its TF-IDF vector over hashed words.  One pass over the corpus sums, in
 each task, the document frequencies and the passages' second moment applied to random vectors; from these sums follows the
-randomised SVD, without a second look at the corpus.  A second pass maps sliding windows and benchmark
+randomised SVD, without a second look at the corpus.  A second pass maps windows of the texts and benchmark
 items to the whitened latent space and takes window and item for a candidate if their cosine is high.  A candidate counts if the
 longest common subsequence of the item's words and those around the window is long enough, or somewhat
 shorter with the item's answer found word by word, as in a paraphrase.
 
+Which windows and items can be near each other at all is told by an inverted file from pairs of an item's words that stand close
+together to the item: where the words that such pairs find weigh less than a candidate's must, no window is mapped.  So the work
+follows what the texts have in common with the benchmark and not its size.
+
 Windows come in several lengths; an item is looked for by overlapping pieces from its first word to its last, as long as the longest
 window that it fills and as the next shorter one, so that what is left of a changed item fills a window.  Sums over passages are additive, windows are scored where their text is: nothing but the sums is shuffled.
 """
@@ -41,8 +45,16 @@ WEIGHT = 0.3
 COPY, PARAPHRASE = 0.7, 0.5
 #: Shorter items must be found whole.
 SHORT = 8
-#: Benchmark items of one pass; a larger benchmark takes several.
-ITEMS_PER_PASS = 8_000
+#: Characters of the benchmark items of one pass, about; a larger benchmark takes several.
+PASS_CHARS = 1_000_000
+#: Pairs of words of an item at most so far apart make up the inverted file, if their inverse document frequencies sum up to so much;
+#: and for each word the heaviest of its pairs, whatever it weighs.
+REACH = 3
+PAIR_WEIGHT = 8.0
+#: Words that a changed item may be shifted by in a text, half its length and so many at least.
+LEAST_BIN = 12
+#: High bits of a pair that the first look-up goes by.
+SIEVE = 22
 #: Words mapped at a time, and characters of texts whose words are hashed together.
 PIECE = 16_384
 CHARS = 100_000
@@ -74,8 +86,8 @@ def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
-def hashed_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Slots of the words of all texts one after the other, and how many words each text has."""
+def word_values(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """32-bit hashes of the words of all texts one after the other, and how many words each text has."""
     if not _FOLD:
         table = np.zeros(0x110000, dtype=np.uint32)
         for point in range(0x110000):
@@ -96,20 +108,36 @@ def hashed_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     value ^= value >> np.uint32(15)
     ends = np.cumsum(np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)) + 1)
     counts = np.diff(np.searchsorted(first, ends), prepend=0)
-    return (value & np.uint32(SLOTS - 1)).astype(np.uint16), counts
+    return value, counts
 
 
-def slot_runs(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(number of the first text, slots, words of each text) for runs of texts of about ``CHARS`` characters."""
+def slot_of(values: np.ndarray) -> np.ndarray:
+    return (values & np.uint32(SLOTS - 1)).astype(np.uint16)
+
+
+def hashed_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Slots of the words of all texts one after the other, and how many words each text has."""
+    values, counts = word_values(texts)
+    return slot_of(values), counts
+
+
+def value_runs(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(number of the first text, hashes of words, words of each text) for runs of texts of about ``CHARS`` characters."""
     start, waiting, size = 0, [], 0
     for text in texts:
         if waiting and size + len(text or "") > CHARS:
-            yield start, *hashed_words(waiting)
+            yield start, *word_values(waiting)
             start, waiting, size = start + len(waiting), [], 0
         waiting.append(text or "")
         size += len(text or "")
     if waiting:
-        yield start, *hashed_words(waiting)
+        yield start, *word_values(waiting)
+
+
+def slot_runs(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The same with slots."""
+    for start, values, counts in value_runs(texts):
+        yield start, slot_of(values), counts
 
 
 def slots_of(text: str) -> np.ndarray:
@@ -286,56 +314,124 @@ def pieces_of(words: int) -> list[tuple[int, int]]:
     return out
 
 
+def _pair(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """32-bit hashes of ordered pairs of words."""
+    mixed = (first * np.uint32(0x85EBCA6B)) ^ (second * np.uint32(0xC2B2AE35) + np.uint32(0x27D4EB2F))
+    mixed ^= mixed >> np.uint32(15)
+    return mixed * np.uint32(0x2C1B3C6D)
+
+
 class Index:
-    """Benchmark items in the latent space, by window length."""
+    """Benchmark items in the latent space, and the inverted file that leads to them."""
 
     def __init__(self, space: Space, items: list[tuple[str, str, str | None]]):
         self.space = space
         self.items = [(id, words_of(text), words_of(answer) if answer else answer_of(text)) for id, text, answer in items]
-        pieces: dict[int, list[tuple[int, np.ndarray]]] = {}
-        for n, (_, text, _) in enumerate(items):
-            slots = slots_of(text)
-            for length, start in pieces_of(len(slots)):
-                pieces.setdefault(length, []).append((n, slots[start:start + length]))
-        self.pieces = {}
-        for length, found in sorted(pieces.items()):
-            vectors = np.stack([space.rows[piece].sum(axis=0) for _, piece in found])
-            size = np.linalg.norm(vectors, axis=1, keepdims=True)
-            has = np.zeros((len(found), SLOTS + 1), dtype=bool)
-            for k, (_, piece) in enumerate(found):
-                has[k, piece] = True
-            need = WEIGHT * np.array([space.weight[p].sum() for _, p in found])
-            self.pieces[length] = np.array([n for n, _ in found]), (vectors / np.maximum(size, 1e-12)).astype(np.float32), has, need
+        self.lengths = np.array([len(words) for _, words, _ in self.items], dtype=np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        values, _ = word_values([text for _, text, _ in items])
+        slots = slot_of(values)
+        self.weights = space.weight[slots].astype(np.float64)
+        self.need = np.zeros(len(items))
+        #: For each item and window length: vectors of its pieces, their slots, and the weight that a candidate must share with each.
+        self.pieces: list[list[tuple[int, np.ndarray, list[frozenset[int]], np.ndarray]]] = []
+        found = [(np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))]
+        for n, (start, length) in enumerate(zip(self.starts.tolist(), self.lengths.tolist(), strict=True)):
+            own, value, weight = slots[start:start + length], values[start:start + length], self.weights[start:start + length]
+            by_length: dict[int, list[np.ndarray]] = {}
+            for size, first in pieces_of(length):
+                by_length.setdefault(size, []).append(own[first:first + size])
+            made = []
+            for size, pieces in sorted(by_length.items()):
+                vectors = np.stack([space.rows[piece].sum(axis=0) for piece in pieces])
+                vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
+                made.append((size, vectors.astype(np.float32), [frozenset(piece.tolist()) for piece in pieces],
+                             WEIGHT * np.array([space.weight[piece].sum() for piece in pieces], dtype=np.float64)))
+            self.pieces.append(made)
+            self.need[n] = min(need.min() for *_, need in made)
+            found.append(self._postings(start, value, weight))
+        keys, first, second = (np.concatenate(c) for c in zip(*found, strict=True))
+        order = np.argsort(keys, kind="stable")
+        self.first, self.second = first[order], second[order]
+        self.keys, self.at, self.count = np.unique(keys[order], return_index=True, return_counts=True)
+        self.sieve = np.zeros(1 << SIEVE, dtype=bool)
+        self.sieve[self.keys >> np.uint32(32 - SIEVE)] = True
         self.rows = np.concatenate([space.rows, np.zeros((1, space.rows.shape[1]), dtype=np.float32)])
         self.weight = np.append(space.weight, np.float32(0))
 
-    def candidates(self, room: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(item, first word, last word + 1) of windows of ``room`` close to an item; ``SLOTS`` stands for no word."""
-        mapped = self.rows[room]
-        words = np.append(room, np.full(WINDOWS[-1], SLOTS, dtype=room.dtype))
-        for length, (numbers, vectors, has, need) in self.pieces.items():
+    @staticmethod
+    def _postings(start: int, value: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(pair, place of its first word, place of its second word) of an item, places counted over all items; a lone word is a pair with itself."""
+        if len(value) == 1:
+            return _pair(value, value), np.array([start]), np.array([start])
+        pairs = np.array([(i, i + d) for d in range(1, REACH + 1) for i in range(len(value) - d)])
+        i, j = pairs[:, 0], pairs[:, 1]
+        both = weight[i] + weight[j]
+        best = np.full(len(value), -np.inf)
+        np.maximum.at(best, i, both)
+        np.maximum.at(best, j, both)
+        kept = (both >= PAIR_WEIGHT) | (both >= best[i]) | (both >= best[j])
+        return _pair(value[i], value[j])[kept], start + i[kept], start + j[kept]
+
+    def regions(self, values: np.ndarray, room: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(item, first word, last word + 1) of stretches of ``room`` whose words found by pairs weigh enough for a candidate."""
+        found = []
+        for d in range(REACH + 1):
+            # Without distance: items of a single word.
+            if d == 0 and not (self.lengths == 1).any():
+                continue
+            left, right = (values[:-d], values[d:]) if d else (values, values)
+            keys = _pair(left, right)
+            at = np.flatnonzero(self.sieve[keys >> np.uint32(32 - SIEVE)])
+            at = at[(room[at] < SLOTS) & (room[at + d] < SLOTS)]
+            place = np.minimum(np.searchsorted(self.keys, keys[at]), max(len(self.keys) - 1, 0))
+            hit = self.keys[place] == keys[at] if len(self.keys) else np.zeros(0, dtype=bool)
+            at, place = at[hit], place[hit]
+            many = self.count[place]
+            posting = np.repeat(self.at[place], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            found.append((np.repeat(at, many), np.full(many.sum(), d), posting))
+        word, apart, posting = (np.concatenate(c) for c in zip(*found, strict=True))
+        if not len(word):
+            return
+        first, second = self.first[posting], self.second[posting]
+        item = np.searchsorted(self.starts, first, side="right") - 1
+        # Where the item would begin in the room; two ways to deal these places out, half a bin apart, so that one has what is close together.
+        begin = word - (first - self.starts[item]) + len(self.weights)
+        bins = np.maximum(LEAST_BIN, self.lengths[item] // 2)
+        item, word, apart, first, second = (np.concatenate([c, c]) for c in (item, word, apart, first, second))
+        place = np.concatenate([begin // bins * 2, (begin + bins // 2) // bins * 2 + 1])
+        order = np.lexsort((word, place, item))
+        word, apart, first, second, item, place = (c[order] for c in (word, apart, first, second, item, place))
+        new = np.concatenate([[True], (item[1:] != item[:-1]) | (place[1:] != place[:-1])])
+        group = np.cumsum(new) - 1
+        heads = np.flatnonzero(new)
+        # Each word of the item counts once for a stretch.
+        width = np.int64(len(self.weights) + 1)
+        seen = np.unique(np.concatenate([group * width + first, group * width + second]))
+        mass = np.bincount(seen // width, self.weights[seen % width], minlength=len(heads))
+        last = np.maximum.reduceat(word + apart, heads) + 1
+        enough = np.flatnonzero(mass >= self.need[item[heads]] - 1e-6)
+        yield from sorted(set(zip(item[heads[enough]].tolist(), word[heads[enough]].tolist(), last[enough].tolist(), strict=True)))
+
+    def candidates(self, item: int, room: np.ndarray, low: int, high: int) -> list[tuple[int, int]]:
+        """(first word, last word + 1) of windows of ``room`` between ``low`` and ``high`` that are close to a piece of the item."""
+        out = []
+        for length, vectors, slots, need in self.pieces[item]:
             step = length // 3
-            count = -(-len(room) // step)
-            if count * step > len(mapped):
-                mapped = np.concatenate([mapped, np.zeros((count * step - len(mapped), mapped.shape[1]), dtype=np.float32)])
-            steps = mapped[:count * step].reshape(count, step, -1).sum(axis=1) if step > 1 else mapped[:count]
-            window = steps.copy()
-            window[:-1] += steps[1:]
-            window[:-2] += steps[2:]
+            begin = low // step * step
+            count = max(1, -(-(high - begin) // step))
+            own = np.full((count + 2) * step, SLOTS, dtype=room.dtype)
+            some = room[begin:min(begin + len(own), len(room))]
+            own[:len(some)] = some
+            steps = self.rows[own].reshape(count + 2, step, -1).sum(axis=1)
+            window = steps[:-2] + steps[1:-1] + steps[2:]
             size = np.sqrt(np.einsum("ij,ij->i", window, window))
-            full = np.flatnonzero(size > 1e-9)
-            window = window[full] / size[full, None]
-            for block in range(0, len(numbers), 256):
-                close = window @ vectors[block:block + 256].T >= COSINE
-                some = np.flatnonzero(close.any(axis=1))
-                w, q = np.nonzero(close[some])
-                w = some[w]
-                for at in range(0, len(w), 20_000):
-                    start, qk = full[w[at:at + 20_000]] * step, q[at:at + 20_000] + block
-                    own = words[start[:, None] + np.arange(length)]
-                    shared = (self.weight[own] * has[qk[:, None], own]).sum(axis=1)
-                    for k in np.flatnonzero(shared >= need[qk]).tolist():
-                        yield int(numbers[qk[k]]), int(start[k]), int(start[k] + length)
+            close = (window @ vectors.T >= COSINE * size[:, None]) & (size > 1e-9)[:, None]
+            for w, q in zip(*(x.tolist() for x in np.nonzero(close)), strict=True):
+                shared = [x for x in own[w * step:w * step + length].tolist() if x in slots[q]]
+                if self.weight[shared].sum() >= need[q]:
+                    out.append((begin + w * step, begin + w * step + length))
+        return out
 
     def matches(self, text: str, near: dict[int, list[tuple[int, int]]]) -> list[tuple[str, float, bool]]:
         """Items that hold against the text's words: id, share of the common subsequence, answer found."""
@@ -343,7 +439,7 @@ class Index:
         for number, spans in sorted(near.items()):
             id, item, answer = self.items[number]
             best = (0.0, False)
-            for first, last in spans:
+            for first, last in joined(spans, len(item)):
                 # The window is about a piece of the item, which may be its first or last.
                 around = words[max(0, first - len(item)):last + len(item)]
                 if len(item) < SHORT:
@@ -359,29 +455,46 @@ class Index:
     def search(self, texts: list[str | None]) -> list[list[tuple[str, float, bool]]]:
         """Matches of each whole text."""
         near: list[dict[int, list[tuple[int, int]]]] = [{} for _ in texts]
-        for first_text, slots, counts in slot_runs(texts):
+        for first_text, values, counts in value_runs(texts):
             # Texts stand apart by blanks, each at a place that all steps divide: its windows don't depend on other texts.
             each = -(-(counts + GAP) // ALIGN) * ALIGN
             places, starts = np.cumsum(each) - each, np.cumsum(counts) - counts
-            room = np.full(each.sum(), SLOTS, dtype=np.uint16)
-            room[np.arange(len(slots)) + np.repeat(places - starts, counts)] = slots
-            # Runs overlap by a window; a window that two runs see is met twice, to the same end.
-            for begin in range(0, len(room), PIECE):
-                for number, first, last in self.candidates(room[begin:begin + PIECE + WINDOWS[-1]]):
-                    own = int(np.searchsorted(places, begin + first, side="right")) - 1
-                    near[first_text + own].setdefault(number, []).append((int(begin + first - places[own]), int(begin + last - places[own])))
+            at = np.arange(len(values)) + np.repeat(places - starts, counts)
+            room, hashed = np.full(each.sum(), SLOTS, dtype=np.uint16), np.zeros(each.sum(), dtype=np.uint32)
+            room[at], hashed[at] = slot_of(values), values
+            for number, first, last in self.regions(hashed, room):
+                own = int(np.searchsorted(places, first, side="right")) - 1
+                base, end = int(places[own]), int(places[own] + counts[own])
+                size = len(self.items[number][1])
+                spans = self.candidates(number, room, max(base, first - size), min(end, last + size))
+                if spans:
+                    near[first_text + own].setdefault(number, []).extend((a - base, b - base) for a, b in spans)
         return [self.matches(t, found) if found else [] for t, found in zip(texts, near, strict=True)]
 
 
+def joined(spans: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
+    """Spans that overlap as one, as long as that is no longer than three times ``length`` (and the longest window)."""
+    out: list[tuple[int, int]] = []
+    for first, last in sorted(set(spans)):
+        if out and first <= out[-1][1] and max(last, out[-1][1]) - out[-1][0] <= 3 * length + WINDOWS[-1]:
+            out[-1] = out[-1][0], max(last, out[-1][1])
+        else:
+            out.append((first, last))
+    return out
+
+
 def _passes(benchmark: DataFrame, id: str, text: str, answer: str | None) -> Iterator[list[tuple[str, str, str | None]]]:
-    """Benchmark items, ``ITEMS_PER_PASS`` at a time; NULL ids, NULL texts and texts without a word are no items."""
+    """Benchmark items, of about ``PASS_CHARS`` characters at a time; NULL ids, NULL texts and texts without a word are no items."""
     items = benchmark.select(F.col(id).cast("string").alias("id"), F.col(text).cast("string").alias("text"),
                              (F.col(answer).cast("string") if answer else F.lit(None).cast("string")).alias("answer"))
     items = items.where("id IS NOT NULL AND text IS NOT NULL").distinct()
-    buckets = -(-items.count() // (ITEMS_PER_PASS // 2))
+    size = items.agg(F.sum(F.length("text") + F.coalesce(F.length("answer"), F.lit(0)))).first()[0] or 0
+    buckets = -(-size // (PASS_CHARS // 2))
     for k in range(buckets):
         part = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(buckets)) == k).orderBy("id", "text", "answer").collect()
-        yield [tuple(r) for r in part if words_of(r["text"])]
+        some = [tuple(r) for r in part if words_of(r["text"])]
+        if some:
+            yield some
 
 
 def find_leaks(df: DataFrame, benchmark: DataFrame, *, text: str = "text", id: str = "item_id", item: str = "text",
@@ -391,16 +504,16 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, *, text: str = "text", id: s
 
     NULL and empty texts have no leaks.  Repeated rows get the same ones; repeated items count once; an empty benchmark leaves
     nothing to find.  Columns of ``df`` named like a new one are replaced, all others kept.  Items are sent to the tasks
-    ``ITEMS_PER_PASS`` at a time; a larger benchmark takes a further pass over ``df`` for each.
+    ``PASS_CHARS`` characters at a time; a larger benchmark takes a further pass over ``df`` for each.
     """
     space = space or latent_space(df, text)
     out = df.drop(items, shares)
     found = []
     for k, some in enumerate(_passes(benchmark, id, item, answer)):
-        held = df.sparkSession.sparkContext.broadcast((space, some))
+        held = df.sparkSession.sparkContext.broadcast(Index(space, some))
 
         def make(held=held):
-            index = Index(*held.value)
+            index = held.value
 
             def work(texts):
                 matched = index.search(texts)

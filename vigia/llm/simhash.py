@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigia.llm.common import annotate, free_name, stored
+from vigia.llm.common import annotate, free_name, remove, stored
 
 BITS = 64
 SHINGLE = 3
@@ -255,16 +255,19 @@ def components(edges: DataFrame, label: str = "simhash") -> DataFrame:
     Alternates two steps until nothing changes: larger neighbours of a node are hung on its smallest one, then smaller ones.  A
     node's neighbours are never gathered, only their minimum is, so a hub is aggregated in tasks first.
     """
-    edges = stored(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{label}-edges")
+    spark, used = edges.sparkSession, []
+    edges = stored(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{label}-edges", used)
     while True:
+        read, used = used, []
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         star = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        star = stored(star.where("a != b").distinct(), f"{label}-star")
+        star = stored(star.where("a != b").distinct(), f"{label}-star", read)
         lower = star.groupBy("a").agg(F.min("b").alias("m"))
         hung = star.join(lower, "a")
         small = hung.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").unionByName(lower.select("a", F.col("m").alias("b")))
-        after = stored(small.distinct(), f"{label}-edges")
+        after = stored(small.distinct(), f"{label}-edges", used)
+        remove(spark, read)
         # Done when every node hangs on a root: no root of one edge hangs on another node.
         if after.join(after.select(F.col("a").alias("b")), "b", "left_semi").isEmpty():
             multiple = after.groupBy("a").count().where("count > 1")
