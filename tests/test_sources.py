@@ -143,7 +143,7 @@ def test_a_load_that_fails_leaves_the_contents(spark, tmp_path):
     assert reader.count() == 5 and spark.table(name).count() == 2
     publish(spark.range(3), name, path)
     last = publish(spark.range(4).withColumn("more", F.lit("it's")), name, path)
-    assert table_rows(spark.table(name), "id") == [(0, "it's"), (1, "it's"), (2, "it's"), (3, "it's")]
+    assert table_rows(spark.table(name), "id", "more") == [(0, "it's"), (1, "it's"), (2, "it's"), (3, "it's")]
     assert not (tmp_path / "t" / first.rpartition("/")[2]).exists() and len([p for p in (tmp_path / "t").iterdir() if (p / "_SUCCESS").exists()]) == 2
     assert spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"].endswith(last.rpartition("/")[2])
     spark.sql(f"DROP TABLE {name}")
