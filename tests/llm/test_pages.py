@@ -1,7 +1,10 @@
 """Web archives, main text and URL verdicts."""
 
 import hashlib
+import math
+import random
 import re
+from collections import Counter
 from html import unescape
 
 import pytest
@@ -121,13 +124,54 @@ def test_copies_of_a_page_count_once(spark):
 
     rows = [(k, f"http://a.example/{k}", page("One text under many urls.")) for k in range(8)]
     rows += [(100 + k, f"http://b.example/{k}", page("Copied 75 times." if k < 75 else f"Told only by page {k}.")) for k in range(100)]
-    # A page of nothing but what all others have keeps its text.
+    # Of a page of nothing but what all others have nothing is left.
     rows += [(300, "http://b.example/top", "<html><body><div class=top>Welcome to this site</div></body></html>")]
     table = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
     found = {r["page_id"]: r["text"] for r in htmltext.extract(table).collect()}
     assert all(found[k] == "Welcome to this site\nOne text under many urls." for k in range(8))
     assert all(found[100 + k] == ("Copied 75 times." if k < 75 else f"Told only by page {k}.") for k in range(100))
-    assert found[300] == "Welcome to this site"
+    assert found[300] == ""
+
+
+@pytest.mark.parametrize("html,want", [
+    ('<p title="a hidden gem">text</p>', "text"),
+    ('<p hidden>no</p><p HIDDEN="">no</p><p style="color:red;display : none">no</p><p aria-hidden=true>no</p><p data-hidden="x">yes</p>', "yes"),
+    ('<div data-id="comment-5"><p>kept?</p></div>', "kept?"),
+    ('<div id="comment-5"><p>no</p></div><p>x</p>', "x"),
+    ('<article><p data-role="notice">kept</p></article>', "kept"),
+    ('<article><p class="share-price">Share price rose</p></article>', "Share price rose"),
+    ('<article><p id="skip">kept</p><div class="skip-intro">kept too</div></article>', "kept\nkept too"),
+    ('<article><p>a</p><div class="box comments"><p>no</p></div><ul class=share><li>no</li></ul><nav>no</nav><p>b</p></article>', "a\nb"),
+    ("<article><header><h1>Title</h1></header><p class='it\"s'>b</p></article>", "Title\nb"),
+    ("<div>" * 600 + "<nav>menu</nav><p>x</p>", "x"),
+    ("<div>" * 600 + "<article><div class=ads>no</div><p>x</p></article>", "x"),
+])
+def test_attributes_are_names_and_values(html, want):
+    assert htmltext.main_text(htmltext.blocks(html), set()) == want
+
+
+def test_entropies_equal_plain_counts(spark):
+    """On pages whose classes say nothing."""
+    rng = random.Random(8)
+    pages = []
+    for host, count in (("a", 3), ("b", 7), ("c", 12), ("d", 40)):
+        for k in range(count):
+            top, mid = rng.choice(["one", "two", "one", "one"]), f"text {rng.randrange(max(1, k // 2 + 1))}"
+            menu = "".join(f"<a href={i}>link {i}</a> " for i in range(3)) + (f"page {k}" if rng.random() < 0.3 else "")
+            pages.append((host, f"<body><div class=x1>{top}</div><div class=x2><p>{mid}</p><p>{k} told</p></div><ul class=x3><li>{menu}</li></ul></body>"))
+    pages += pages[:5]  # copies
+    held = {}
+    for host, html in set(pages):
+        for node, content, linked in htmltext.contents(htmltext.blocks(html)):
+            held.setdefault((host, node), []).append((content, linked))
+    want = set()
+    for key, found in held.items():
+        m, counts = len(found), Counter(c for c, _ in found)
+        entropy = -sum(n / m * math.log(n / m) for n in counts.values()) / math.log(m) if m > 1 else 1.0
+        if (m * entropy + 3) / (m + 3) < 0.3 or sum(x for _, x in found) / (m + 3) > 0.6:
+            want.add(key)
+    got = {tuple(r) for r in htmltext.style_trees(spark.createDataFrame(pages, "host string, html string").repartition(3)).collect()}
+    assert got == want and {h for h, _ in got} >= {"c", "d"} and "a" not in {h for h, _ in got}
 
 
 def test_articles_of_pages(spark, small):

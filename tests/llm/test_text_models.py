@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import random
 import sys
 
@@ -12,7 +13,7 @@ from tokenizers import Tokenizer
 
 from vigia.llm import langid, licenses, quality
 from vigia.llm.bpe import Codec, encode_documents
-from vigia.llm.common import held_out, slices
+from vigia.llm.common import held_out, may_learn, slices
 from vigia.llm.queries import QUERIES
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -246,3 +247,84 @@ def test_license_lines_are_found(spark):
              "Licensed under the Apache License, Version 2.0.": "Apache-2.0", "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0"}
     want = {(r["doc_id"], name) for r in spark.read.parquet(f"{folder}/documents.parquet").collect() for line, name in lines.items() if line in r["text"].split("\n")}
     assert {(r["doc_id"], r["license"]) for r in QUERIES["op5_licenses"](spark, folder).collect()} == want
+
+
+def test_every_language_is_learned(spark):
+    """More languages than texts of each that fit, and one with most of the rows."""
+    rng = random.Random(1)
+    rows = []
+    for k in range(70):
+        letters = "".join(rng.sample("abcdefghijklmnopqrstuvwxyz", 6))
+        for n in range(6 if k else 200):
+            rows.append((len(rows), " ".join("".join(rng.choices(letters, k=rng.randint(3, 8))) for _ in range(60)), f"l{k:02d}"))
+    rows += [(0, rows[0][1], "l69"), (len(rows), None, "l00"), (None, "x", "l00")]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(5)
+    model = langid.fit(table)
+    assert len(model.languages) == 70
+    found = langid.identify(table.where("doc_id > 0 AND text IS NOT NULL"), model).collect()
+    assert sum(r["lang"] == r["lang_pred"] for r in found) > 0.9 * len(found)
+
+
+def test_the_stage_drops_texts_in_no_learned_language(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    model = langid.fit(docs.where(may_learn("doc_id")))
+    rng = random.Random(12)
+    other = [" ".join("".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(150)) for letters in ("абвгдежзиклмнопрстуфхцчшэюя", "αβγδεζηθικλμνξοπρστυφχψω")]
+    other.append("1234 !!")
+    more = spark.createDataFrame([(10_000 + k, t, None, None, None) for k, t in enumerate(other)], docs.schema)
+    kept = {r["doc_id"] for r in langid.keep_identified(docs.unionByName(more), model).collect()}
+    letters = {r["doc_id"] for r in docs.collect() if any(c.isalpha() for c in r["text"] or "")}
+    assert not kept & {10_000, 10_001, 10_002} and kept == letters
+
+
+def plain_kernel(a, b):
+    return len(a & b) / math.sqrt(max(len(a), 1) * max(len(b), 1))
+
+
+def test_scores_equal_a_plain_kernel_ridge_regression(spark, small):
+    """Nyström features, centred and weighted by language, ridge by normal equations; from sets of hash slots."""
+    texts = [(r["doc_id"], r["text"], r["lang"]) for r in spark.read.parquet(f"{small}/documents.parquet").where("lang IS NOT NULL AND text IS NOT NULL").limit(60).collect()]
+    table = spark.createDataFrame(texts, "doc_id bigint, text string, lang string")
+    model = langid.fit(table)
+
+    def slots(text):
+        row = np.zeros(langid.WIDTH, dtype=np.uint8)
+        return set(np.flatnonzero(row).tolist()) if not langid.mark(text, row) else set(np.flatnonzero(row).tolist())
+
+    rows = langid._samples(table, "text", "lang", "doc_id")
+    sets = [set(np.flatnonzero(np.unpackbits(np.frombuffer(b, dtype=np.uint8))).tolist()) for b in rows["bits"]]
+    labels, names = rows["label"].tolist(), sorted(set(rows["label"]))
+    marks = [s for k, s in enumerate(sets) if labels[:k].count(labels[k]) < 32]
+    kernel = np.array([[plain_kernel(a, b) for b in marks] for a in marks])
+    values, vectors = np.linalg.eigh(kernel)
+    good = values > 1e-6 * values.max()
+    root = vectors[:, good] / np.sqrt(values[good])
+    feats = np.array([[plain_kernel(a, b) for b in marks] for a in sets]) @ root
+    weight = np.array([len(sets) / len(names) / labels.count(x) for x in labels])
+    for k, name in enumerate(names):
+        target = np.array([1.0 if x == name else -1.0 for x in labels])
+        centre, level = np.average(feats, axis=0, weights=weight), np.average(target, weights=weight)
+        f = feats - centre
+        solved = np.linalg.solve(f.T @ np.diag(weight) @ f + langid.RIDGE * np.eye(f.shape[1]), f.T @ (weight * (target - level)))
+        for text in [texts[0][1], texts[7][1], "ein Haus und the dog"]:
+            row = np.array([plain_kernel(slots(text), m) for m in marks]) @ root
+            own = np.zeros(langid.WIDTH, dtype=np.uint8)
+            langid.mark(text, own)
+            got = (own.astype(np.float32) @ model.weights[:, k]) / math.sqrt(own.sum()) + model.offsets[k]
+            assert got == pytest.approx(level + (row - centre) @ solved, abs=2e-3)
+
+
+def test_lines_of_the_fit_are_neighbours(spark, monkeypatch):
+    text = "\n".join(f"line {'x' * k}" for k in range(400))
+    table = spark.createDataFrame([(1, text), (2, "a\nb")], "doc_id bigint, text string")
+    marks = spark.createDataFrame([(1, 1), (2, 0)], "doc_id bigint, quality int")
+    sizes = [s for _, s, label in quality._samples(table, marks, "text", "quality", "doc_id") if label == 1][0]
+    assert len(sizes) == quality.FIT_LINES and set(np.diff(sizes).tolist()) == {1.0}
+
+
+def test_a_licence_behind_a_wording_on_one_line():
+    tool, line = licenses.templates(licenses.LEAST), " ".join(licenses._MIT.split())
+    assert [name for name, *_ in tool.scan(line)] == ["MIT"]
+    for text in (f"{line} Released under GPLv3.", f"{line}\nReleased under GPLv3.", f"Released under GPLv3. {line}"):
+        found = {name for name, *_ in tool.scan(text)}
+        assert "MIT" in found and any(name.startswith("GPL-3") for name in found) and len(found) == 2

@@ -7,7 +7,8 @@ entropy of its content over the pages, from 0 (the same on every page) to 1 (dif
 are cut from each page; so are branches whose markup says what they are (menus, headers, footers, forms, scripts, adverts, comments
 and the like).  What the page itself marks as its article is not judged by entropy, so that passages many pages share stay in.
 
-Equal pages of a host are one page to the entropies, however many urls they have.  Were nothing left of a page, it is kept uncut.
+Equal pages of a host are one page to the entropies, however many urls they have, and few pages are weak evidence: importance is
+drawn towards 1 as if ``PRIOR`` more pages had each had a content of their own.
 
 The sums behind the entropies are additive: they are counted by host, node and content in tasks before they are shuffled,
 so that a host with a third of all pages is no heavier than its different contents.
@@ -27,12 +28,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigia.llm.common import annotate, free_name, stored
+from vigia.llm.common import annotate, free_name, slices, stored
 from vigia.llm.urlfilter import host_of
 
-#: Branches of less importance are cut; pages of a host from which entropy is judged at all.
-LEAST, LEAST_PAGES = 0.3, 8
-#: Elements nested deeper are passed over (their text is not), as browsers do.
+#: Branches of less importance are cut; pages that importance is drawn towards 1 by.
+LEAST, PRIOR = 0.3, 3
+#: Elements nested deeper have no style nodes of their own; they mean what they mean all the same.
 DEEPEST = 512
 #: A style node whose pages have, on average, more links than this in their text is a menu.
 LINKED = 0.6
@@ -52,6 +53,9 @@ NOT_TEXT = frozenset("""ad ads adv advert adverts advertisement advertising bann
     header masthead topbar toolbar footer footers foot bottom colophon copyright cookie cookies consent gdpr notice notices alert
     popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended
     comment comments commentlist disqus reply replies respond discussion form search skip hidden""".split())
+#: Within an article only these elements are taken for something else, and only by a whole class, id or role that names it.
+HOLDERS = frozenset("div section ul ol dl table details fieldset figure center".split())
+NAMES_OTHERS = NOT_TEXT - {"header", "bottom", "foot", "search", "skip", "hidden", "reply", "replies", "respond", "discussion", "alert", "overlay", "aside"}
 #: Words that name the article.
 IS_TEXT = frozenset("article post entry story".split())
 #: Elements that the standard closes when another one opens: what opens -> what it closes, and where to stop looking.
@@ -65,24 +69,32 @@ _BARRIER = frozenset({"table", "td", "th", "html", "body", "template", "object",
 _TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
     r"|<([a-zA-Z][^\s/>]*)((?>[^>\"'=]+|=\s*\"[^\"]*\"|=\s*'[^']*'|[\"'=])*+)>", re.S)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+#: A name and, after an equals sign, its value.
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 @lru_cache(maxsize=65536)
-def _described(tag: str, attributes: str) -> tuple[str, bool, bool]:
-    """Style of an element (tag and classes), whether its markup says it is no text, and whether it says it is the article."""
-    found = {}
+def _described(tag: str, attributes: str, inside: bool = False) -> tuple[str, bool, bool]:
+    """Style of an element (tag and classes), whether its markup says it is no text, and whether it says it is the article.
+
+    ``inside`` an article, a word in a name is not enough: the name has to be that of a menu, an advert, the comments and so on.
+    """
+    found: dict[str, str] = {}
     for name, value in _ATTRIBUTE.findall(attributes):
-        found.setdefault(name.lower(), unescape(value.strip("\"'")))
+        found.setdefault(name.lower(), unescape(value[1:-1] if value[:1] in "\"'" and value[:1] else value))
     classes = sorted(set(found.get("class", "").split()))
     style = ".".join([tag, *classes])
     words = {w.lower() for key in ("class", "id", "role") for w in _NAME.findall(found.get(key, ""))}
     article = tag in ("article", "main") or bool(words & IS_TEXT) and tag in ("div", "section", "td")
     hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true" or re.search(
         r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.I) is not None
-    no_text = tag in DROPPED or hidden or tag not in ("body", "html", "article", "main") and bool(words & NOT_TEXT)
-    return style, no_text, article
+    if inside:
+        names = {w.lower() for key in ("class", "id", "role") for w in found.get(key, "").split()}
+        named = tag in HOLDERS and bool(names & NAMES_OTHERS)
+    else:
+        named = tag not in ("body", "html", "article", "main") and bool(words & NOT_TEXT)
+    return style, tag in DROPPED or hidden or named, article
 
 
 class Block(NamedTuple):
@@ -112,8 +124,8 @@ class _Open:
         self.styles: list[str] = []
         self.no_text: list[bool] = []
         self.articles: list[bool] = []
-        #: How many of them are no text, and how many are links.
-        self.silent = self.anchors = 0
+        #: How many of them are no text, are links, and are articles.
+        self.silent = self.anchors = self.inside = 0
 
     def push(self, tag: str, style: str, no_text: bool, article: bool) -> None:
         self.tags.append(tag)
@@ -122,10 +134,12 @@ class _Open:
         self.articles.append(article)
         self.silent += no_text
         self.anchors += tag == "a"
+        self.inside += article
 
     def cut(self, part: slice) -> None:
         self.silent -= sum(self.no_text[part])
         self.anchors -= self.tags[part].count("a")
+        self.inside -= sum(self.articles[part])
         for held in (self.tags, self.styles, self.no_text, self.articles):
             del held[part]
 
@@ -166,9 +180,9 @@ class _Open:
             return None
         path, article = [], 0
         for tag, style, own in zip(self.tags, self.styles, self.articles, strict=True):
-            if tag in BLOCK:
+            if tag in BLOCK and len(path) < DEEPEST:
                 path.append(style)
-                article = article or own and len(path)
+            article = article or own and max(1, len(path))
         linked = sum(len(p) for p, a in zip(pieces, links, strict=True) if a) / len(joined)
         return Block(tuple(path), text, int(article), linked)
 
@@ -226,8 +240,8 @@ def blocks(html: str) -> list[Block]:
                 open_.make_room(tag)
             if tag in RAW:
                 at = _end_of(tag, html, at)
-            elif tag not in VOID and len(open_.tags) < DEEPEST:
-                open_.push(tag, *_described(tag, attributes))
+            elif tag not in VOID:
+                open_.push(tag, *_described(tag, attributes, open_.inside > 0))
         elif end:
             tag = end.lower()
             if tag in BLOCK:
@@ -268,27 +282,27 @@ def whole(page: list[Block]) -> int:
 
 
 def main_text(page: list[Block], cut: set[int]) -> str:
-    """The blocks of a page, one line each; those below a style node of ``cut`` go unless they are in an article or none would be left."""
-    kept = [block.text for block in page if block.article or not cut or not any(
-        _key(*block.path[:depth]) in cut for depth in range(1, len(block.path) + 1))]
-    return "\n".join(kept or [block.text for block in page])
+    """The blocks of a page, one line each; those below a style node of ``cut`` go unless they are in an article."""
+    return "\n".join(block.text for block in page if block.article or not cut or not any(
+        _key(*block.path[:depth]) in cut for depth in range(1, len(block.path) + 1)))
 
 
 def style_trees(pages: DataFrame) -> DataFrame:
     """(host, node) of the branches of low importance, from ``pages`` (host, html).
 
     With ``m`` different pages that have a node, content ``c`` on ``n_c`` of them has the share ``n_c / m``; importance is the entropy of
-    these shares to the base ``m``.
+    these shares to the base ``m``, averaged with ``PRIOR`` pages of importance 1 (and without links).
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hosts, htmls = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            read = [blocks(html or "") for html in htmls]
-            found = [(h, whole(page), *c) for h, page in zip(hosts, read, strict=True) for c in contents(page)]
-            columns = list(zip(*found, strict=True)) or [[]] * 5
-            types = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.float64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, types, strict=True)],
-                                             names=["host", "page", "node", "content", "linked"])
+            for part in slices(htmls):
+                read = [blocks(html or "") for html in htmls[part]]
+                found = [(h, whole(page), *c) for h, page in zip(hosts[part], read, strict=True) for c in contents(page)]
+                columns = list(zip(*found, strict=True)) or [[]] * 5
+                types = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.float64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, types, strict=True)],
+                                                 names=["host", "page", "node", "content", "linked"])
 
     rows = pages.select("host", "html").mapInArrow(count, "host string, page bigint, node bigint, content bigint, linked double")
     once = rows.groupBy("host", "page", "node", "content").agg(F.min("linked").alias("linked"))
@@ -296,8 +310,8 @@ def style_trees(pages: DataFrame) -> DataFrame:
     nodes = each.groupBy("host", "node").agg(
         F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("s"), F.sum("linked").alias("linked"))
     importance = F.when(F.col("m") > 1, (F.log("m") - F.col("s") / F.col("m")) / F.log("m")).otherwise(1.0)
-    menu = F.col("linked") / F.col("m") > LINKED
-    low = (F.col("m") >= LEAST_PAGES) & ((importance < LEAST) | menu)
+    seen = F.col("m") + PRIOR
+    low = ((importance * F.col("m") + PRIOR) / seen < LEAST) | (F.col("linked") / seen > LINKED)
     return nodes.where(low).select("host", "node")
 
 
@@ -306,7 +320,7 @@ def extract(df: DataFrame, *, html: str = "html", url: str = "url", text: str =
     """``df`` with the main text of the whole column ``html`` and its number of code points.
 
     Character references are decoded, white space within a block is one space, blocks are joined by line feeds in page
-    order.  A NULL or empty page has an empty text.  Pages without a host share the empty one.  Repeated rows get the same text;
+    order.  A NULL or empty page has an empty text, and so has one of nothing but its host's template.  Very long pages are read to the end.  Pages without a host share the empty one.  Repeated rows get the same text;
     an empty table gives no rows.  Columns named like a new one are replaced, all others kept (``html`` only if ``keep_html``).
     """
     host = free_name(df, "host")

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigia.llm.common import annotate, codes, free_name
@@ -26,18 +26,22 @@ from vigia.llm.common import annotate, codes, free_name
 MIN_GRAM, MAX_GRAM = 2, 4
 #: Hash slots of each n-gram size (powers of two).
 SLOTS = {2: 1 << 11, 3: 1 << 13, 4: 1 << 14}
-#: Labelled texts of each language that the model is fitted on, at most and in all, and how many of these are landmarks.
+#: Labelled texts of each language that the model is fitted on, at most, and in all languages together (one of each at least); and how
+#: many of these are landmarks.
 FIT_PER_LANGUAGE = 600
 FIT_IN_ALL = 3000
 LANDMARKS_PER_LANGUAGE = 32
-#: Languages learned, most frequent first; bounds what the fit collects.
-MOST_LANGUAGES = 64
+LANDMARKS_IN_ALL = 2048
 RIDGE = 0.1
 #: Characters marked at a time.
 PIECE = 1 << 20
 #: Presence rows multiplied at a time.
 ROWS = 64
 UNDETERMINED = "und"
+#: Texts of fewer n-grams (slots) are too short for their margin to tell that their language was never learned; that of others has to be
+#: so much above the margin of a text of which nothing is known.
+EVIDENCE = 300
+LIFT = 0.15
 
 WIDTH = sum(SLOTS.values())
 FIRST = {size: sum(SLOTS[k] for k in range(MIN_GRAM, size)) for size in SLOTS}
@@ -101,9 +105,10 @@ class Model:
     weights: np.ndarray
     offsets: np.ndarray
 
-    def score(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        """Language and its share (softmax of the regressions) for each text."""
-        names, shares = [], []
+    def score(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float]]:
+        """Language, its share (softmax of the regressions) and its margin (the regression itself, 1 for its own and -1 for others; infinite for
+        texts too short to tell) for each text."""
+        names, shares, margins = [], [], []
         for start in range(0, len(texts), ROWS):
             part = texts[start:start + ROWS]
             rows = np.zeros((len(part), WIDTH), dtype=np.uint8)
@@ -117,25 +122,24 @@ class Model:
             for i, k in enumerate(best):
                 names.append(self.languages[k] if letters[i] else UNDETERMINED)
                 shares.append(float(odds[i, k]) if letters[i] else 0.0)
-        return names, shares
+                margins.append(float(values[i, k]) if own[i]**2 >= EVIDENCE else np.inf)
+        return names, shares, margins
 
 
 def _samples(df: DataFrame, text: str, label: str, order: str) -> pd.DataFrame:
     """For a bounded number of labelled texts the packed presence rows; chosen by a hash of ``order``."""
-    names = [r[0] for r in df.where(F.col(label).isNotNull()).groupBy(label).count()
-             .orderBy(F.desc("count"), label).limit(MOST_LANGUAGES).collect()]
-    if not names:
+    labelled = df.where(F.col(label).isNotNull() & F.col(text).isNotNull() & F.col(order).isNotNull())
+    languages = labelled.select(label).distinct().count()
+    if not languages:
         return pd.DataFrame({"label": [], "bits": []})
-    each = min(FIT_PER_LANGUAGE, FIT_IN_ALL // len(names))
-    some = df.where(F.col(label).isin(names) & F.col(text).isNotNull()).select(
-        F.col(label).alias("label"), F.col(order).alias("id"), F.xxhash64(F.col(order).cast("string"), F.lit(7)).alias("place"))
-    chosen = None
-    for name in names:
-        best = some.where(F.col("label") == name).orderBy("place", "id").limit(each)
-        chosen = best if chosen is None else chosen.unionByName(best)
-    # At most FIT_IN_ALL ids: a bounded table, whose texts are picked up where they are.
-    picked = df.join(F.broadcast(chosen.select(F.col("id").alias(order), "label", "place").dropDuplicates([order])
-                                 .withColumnRenamed("label", "picked_label")), order).select(
+    each = max(1, min(FIT_PER_LANGUAGE, FIT_IN_ALL // languages))
+    # An id with several languages is one of the first of them.
+    some = labelled.groupBy(F.col(order).alias("id")).agg(F.min(label).alias("label")).withColumn("place", F.xxhash64(F.col("id").cast("string"), F.lit(7)))
+    # The rank limit works within each task first, so that a language with most rows is cut before its rows meet.
+    best = Window.partitionBy("label").orderBy("place", "id")
+    chosen = some.withColumn("n", F.row_number().over(best)).where(F.col("n") <= each).drop("n")
+    # So many ids for each language: a bounded table, whose texts are picked up where they are.
+    picked = df.join(F.broadcast(chosen.select(F.col("id").alias(order), F.col("label").alias("picked_label"), "place")), order).select(
         F.col("picked_label").alias("label"), "place", F.col(text).alias("text"))
 
     def presence(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -156,8 +160,8 @@ def _samples(df: DataFrame, text: str, label: str, order: str) -> pd.DataFrame:
 def fit(df: DataFrame, text: str = "text", label: str = "lang", order: str = "doc_id") -> Model | None:
     """The model of the labelled rows of ``df``; None without any.
 
-    Fitted on at most ``FIT_PER_LANGUAGE`` texts (``FIT_IN_ALL`` together) of each of the ``MOST_LANGUAGES`` most frequent languages, of which
-    ``LANDMARKS_PER_LANGUAGE`` are landmarks.  The driver gets their presence bits and never a text.
+    Every language is learned, from at most ``FIT_PER_LANGUAGE`` texts each (fewer if that were more than ``FIT_IN_ALL`` together), of which
+    ``LANDMARKS_PER_LANGUAGE`` (``LANDMARKS_IN_ALL``) are landmarks.  The driver gets their presence bits and never a text.
     """
     rows = _samples(df, text, label, order)
     if rows.empty:
@@ -167,7 +171,7 @@ def fit(df: DataFrame, text: str = "text", label: str = "lang", order: str = "do
     own = np.sqrt(np.maximum(present.sum(axis=1), 1.0))
     present /= own[:, None]
     place = rows.groupby("label").cumcount().to_numpy()
-    marks = present[place < LANDMARKS_PER_LANGUAGE]
+    marks = present[place < max(1, min(LANDMARKS_PER_LANGUAGE, LANDMARKS_IN_ALL // len(languages)))]
     # Nyström: the landmark kernel's inverse square root maps kernel rows to features.
     values, vectors = np.linalg.eigh((marks @ marks.T).astype(np.float64))
     good = values > 1e-6 * values.max()
@@ -184,11 +188,13 @@ def fit(df: DataFrame, text: str = "text", label: str = "lang", order: str = "do
     return Model(languages, weights.astype(np.float32), (level - centre @ solved).astype(np.float32))
 
 
-def identify(df: DataFrame, model: Model | None, text: str = "text", language: str = "lang_pred", score: str = "score") -> DataFrame:
-    """``df`` with the predicted language of every whole text and a score from 0 to 1.
+def identify(df: DataFrame, model: Model | None, text: str = "text", language: str = "lang_pred", score: str = "score",
+             margin: str | None = None) -> DataFrame:
+    """``df`` with the predicted language of every whole text and a score from 0 to 1 (and the margin, if a name for it is given).
 
     A NULL or empty text, or one without a letter, gets ``und`` with score 0, and so does every text if nothing was
-    learned.  Repeated rows get the same answer; an empty table gives no rows.  Columns named like the two new ones are
+    learned; its margin is NULL then.  Of equally likely languages the first by name is told.  A very long text is marked piece by piece to its end.
+    Repeated rows get the same answer; an empty table gives no rows.  Columns named like the two new ones are
     replaced, all others kept.  The model is sent to the tasks: its size is slots times learned languages.
     """
     held = df.sparkSession.sparkContext.broadcast(model)
@@ -198,17 +204,19 @@ def identify(df: DataFrame, model: Model | None, text: str = "text", language: s
 
         def work(texts):
             if known is None:
-                return {language: [UNDETERMINED] * len(texts), score: [0.0] * len(texts)}
-            names, shares = known.score(texts)
-            return {language: names, score: shares}
+                return {language: [UNDETERMINED] * len(texts), score: [0.0] * len(texts), margin: [None] * len(texts)}
+            names, shares, margins = known.score(texts)
+            return {language: names, score: shares, margin: [m if n != UNDETERMINED else None for m, n in zip(margins, names, strict=True)]}
 
         return work
 
-    return annotate(df, text, make, {language: "string", score: "double"})
+    return annotate(df, text, make, {language: "string", score: "double"} | ({margin: "double"} if margin else {}))
 
 
-def keep_identified(df: DataFrame, model: Model | None, text: str = "text", least: float = 0.0) -> DataFrame:
-    """The rows of ``df``, unchanged, whose language could be told with a score of ``least`` or more."""
-    language, score = free_name(df, "lang_pred"), free_name(df, "lang_score")
-    told = identify(df, model, text, language, score)
-    return told.where((F.col(language) != UNDETERMINED) & (F.col(score) >= least)).select(*df.columns)
+def keep_identified(df: DataFrame, model: Model | None, text: str = "text", lift: float = LIFT) -> DataFrame:
+    """The rows of ``df``, unchanged, whose language could be told: texts that have letters, and whose margin is more by ``lift`` than that
+    of a text which has no n-gram in common with any learned language.  Texts of fewer than ``EVIDENCE`` n-grams are given the benefit of the doubt."""
+    language, score, margin = (free_name(df, name) for name in ("lang_pred", "lang_score", "lang_margin"))
+    told = identify(df, model, text, language, score, margin)
+    least = float(model.offsets.max()) + lift if model else float("-inf")
+    return told.where((F.col(language) != UNDETERMINED) & (F.col(margin) >= F.lit(least))).select(*df.columns)

@@ -183,8 +183,8 @@ class Templates:
         self.known = frozenset().union(*(t[3] for t in self.templates))
         self.largest = self.sizes[-1] * (2 - least) / least
 
-    def best(self, grams: Grams) -> tuple[float, str] | None:
-        """The closest template within the bounds; of ties the first by name."""
+    def best(self, grams: Grams) -> tuple[float, str, Grams] | None:
+        """The closest template within the bounds: coefficient, licence, bigrams; of ties the first by name."""
         size = len(grams)
         first = bisect_left(self.sizes, size * self.least / (2 - self.least) - 1e-9)
         last = bisect_right(self.sizes, size * (2 - self.least) / self.least + 1e-9)
@@ -192,18 +192,18 @@ class Templates:
         for _, name, needed, template in self.templates[first:last]:
             score = dice(grams, template)
             if score >= self.least and needed <= words and (found is None or (-score, name) < (-found[0], found[1])):
-                found = score, name
+                found = score, name, template
         return found
 
     def scan(self, text: str | None) -> list[tuple[str, float, str]]:
         """(licence, Dice coefficient, part) for each licence of a text: its closest part, the first of ties."""
         found: dict[str, tuple[float, str]] = {}
 
-        def look(part: str, grams: Grams) -> bool:
+        def look(part: str, grams: Grams) -> Grams:
             hit = self.best(grams)
             if hit and hit[0] > found.get(hit[1], (0.0, ""))[0]:
                 found[hit[1]] = hit[0], part
-            return hit is not None
+            return hit[2] if hit else frozenset()
 
         words = normalised(text or "")
         if self.anchors.isdisjoint(zip(words, words[1:])):
@@ -212,12 +212,14 @@ class Templates:
             grams = bigrams(normalised(line))
             if self.anchors.isdisjoint(grams):
                 continue
-            if len(grams) <= self.largest and look(line, grams):
-                continue
+            # Of a line that is a licence as a whole, only sentences that are not of its wording may be another one.
+            wording = look(line, grams) if len(grams) <= self.largest else frozenset()
             sentences = _SENTENCE.split(line)
             if len(sentences) > 1:
                 for sentence in sentences:
-                    look(sentence, bigrams(normalised(sentence)))
+                    own = bigrams(normalised(sentence))
+                    if 2 * len(own & wording) < len(own):
+                        look(sentence, own)
         if "\n" in text:
             paragraphs = _PARAGRAPH.split(text)
             for part in [*(p for p in paragraphs if "\n" in p), *([text] if len(paragraphs) > 1 else [])]:
@@ -278,7 +280,8 @@ def scan_licenses(df: DataFrame, *, text: str = "text", least: float = LEAST, li
     """``df`` with three array columns: the licences that the whole column ``text`` holds, the Dice coefficient of the part closest to
     each, and that part.
 
-    NULL and empty texts have none.  Repeated rows get the same; an empty table gives no rows.  Columns named like a new one are
+    NULL and empty texts have none.  Very long texts are searched to the end, in windows that the largest template bounds; of parts equally close
+    to a licence the first counts.  Repeated rows get the same; an empty table gives no rows.  Columns named like a new one are
     replaced, all others kept.
     """
     def make():

@@ -10,6 +10,7 @@ The field is fitted by maximum likelihood on the lines of a bounded number of la
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -270,8 +271,9 @@ def _samples(df: DataFrame, labels: DataFrame, text: str, label: str, order: str
             for text in frame["text"]:
                 found, size = shapes(text or "")
                 if len(size) > FIT_LINES:
-                    at = np.linspace(0, len(size) - 1, FIT_LINES).astype(int)
-                    found, size = found[at], size[at]
+                    # Lines that follow each other, so that neighbours are neighbours; where they begin depends on the text only.
+                    first = zlib.crc32((text or "").encode("utf-8", "replace")) % (len(size) - FIT_LINES + 1)
+                    found, size = found[first:first + FIT_LINES], size[first:first + FIT_LINES]
                 out.append(np.concatenate([found, size[:, None].astype(np.float32)], axis=1).astype("<f4").tobytes())
             yield pd.DataFrame({"label": frame["picked_label"], "place": frame["place"], "cells": out})
 
