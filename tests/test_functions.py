@@ -1,9 +1,10 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from vigia.functions.dates import calendar_parts, parse_date, period_label, week_start
+from vigia.functions.dates import _places, _shape, calendar_parts, parse_date, period_label, week_start
 from vigia.functions.measures import (
     age_in_years,
     bucket_label,
@@ -119,3 +120,28 @@ def test_missing_numbers_become_zero(spark):
     data = [1.5, None, float("nan"), float("inf"), float("-inf")]
     assert single(spark, data, "double", lambda c: zero_if_missing(c, "double")) == [1.5, 0, 0, 0, 0]
     assert single(spark, [7, None], "bigint", lambda c: zero_if_missing(c, "bigint")) == [7, 0]
+
+
+def test_dates_by_places_equal_the_parser(spark):
+    """Texts that patterns read and texts that look like it, against Spark's own parser."""
+    formats = (*DATE_FORMATS, "yyyy-MM-dd'T'HH:mm:ss.SSS", "dd.MM.yyyy", "MM/yyyy/dd")
+    rng = random.Random(5)
+    texts = ["2020-02-30", "2020-02-29 23:59:59", "2021-02-29", "2020-01-01 24:00:00", "2020-01-01 23:60:00", "2020-01-01 23:59:60", "0000-01-01", "0001-01-01",
+             "9999-12-31", "31/12/1999", "32/12/1999", "12/31/1999", "2020-1-01", " 2020-01-01", "2020-01-01 ", "2020-01-01\n", "٢٠٢٠-01-01", "2020/01/01",
+             "2020-01-01T10:11:12.345", "2020-13-01", "1.1.2020", "01.01.2020", "", "sin fecha", None, "2020-00-10", "2020-10-00", "-020-01-01", "02/2020/30", "02/2020/03"]
+    for _ in range(600):
+        base = rng.choice(["2020-02-28", "2019-11-05 12:34:56", "07/08/2015", "2020-01-01T10:11:12.345", "01.01.2020", "02/2020/03"])
+        k = rng.randrange(len(base))
+        texts.append(base[:k] + rng.choice("0123456789-/: .T") + base[k + 1:])
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+
+    def by_parser(f):
+        return F.when(F.col("t").rlike(_shape(f)), F.try_to_timestamp("t", F.lit(f))).cast("date")
+
+    for f in formats:
+        assert _places(f) is not None
+        rows = df.select("t", parse_date(F.col("t"), [f]).cast("string").alias("a"), by_parser(f).cast("string").alias("b")).collect()
+        assert [(r.t, f) for r in rows if r.a != r.b] == []
+    assert _places("d/M/yyyy H:mm:ss") is None and _places("yyyy-MM-dd yyyy") is None and _places("HH:mm:ss") is None
+    plan = df.select(parse_date(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "timestamp" not in plan.lower()
