@@ -241,6 +241,25 @@ def test_recall_of_neighbours(spark, small):
     assert hits / total >= 0.9
 
 
+def test_recall_over_several_blocks(spark, small, monkeypatch):
+    """Rows and queries in many blocks, each of which reranks the same share."""
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 64)
+    monkeypatch.setattr(neighbours, "BLOCK_QUERIES", 7)
+    table = spark.read.parquet(f"{small}/embeddings.parquet")
+    rows = [(r["vec_id"], r["embedding"]) for r in table.collect()]
+    ids, unit = np.array([i for i, _ in rows]), np.array([v for _, v in rows], dtype=float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    found = {}
+    for r in neighbours.search(table, table.where("vec_id % 20 = 0")).collect():
+        found.setdefault(r["query_id"], []).append(r["vec_id"])
+    hits = 0
+    for q in np.flatnonzero(ids % 20 == 0):
+        score = unit @ unit[q]
+        score[q] = -2
+        hits += len(set(ids[np.argsort(-score)[:5]].tolist()) & set(found[ids[q]]))
+    assert all(len(v) == 5 for v in found.values()) and hits / (5 * len(found)) >= 0.9
+
+
 def test_neighbours_of_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     same = [(i, [1.0, 2.0, 3.0]) for i in range(10, 60)]
