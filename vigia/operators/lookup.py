@@ -31,9 +31,9 @@ def join_any(
     """LEFT join on ``code = dimension_code OR name = dimension_name``.
 
     A row that meets several dimension rows comes out once for each of them; a row that meets none
-    comes out once with NULLs.  Every row is turned into one probe for the code if the dimension
-    knows it and one for the name if it knows that, and the probes are matched by equality.  A name
-    match that is also a code match is dropped, because the code probe has brought it already.
+    comes out once with NULLs.  The dimension is folded to one row for each code and one for each name, with the rows that have it, so that
+    two equi-joins by unique keys bring all matches of a row side by side, and one explode sets them apart.  A name
+    match that is also a code match is left out, because the code has brought it already.
     """
     payload = [c for c in dimension.columns if c not in (dimension_code, dimension_name)]
     entry = F.struct(
@@ -42,35 +42,19 @@ def join_any(
         *payload,
     )
     entries = dimension.select(entry.alias("entry"))
-    keyed = (
-        entries.select(F.lit("C").alias("__kind"), F.col("entry.__dim_code").alias("__key"), "entry")
-        .unionByName(entries.select(F.lit("N").alias("__kind"), F.col("entry.__dim_name").alias("__key"), "entry"))
-        .filter(F.col("__key").isNotNull())
-        .withColumnRenamed("entry", "__entry")
-    )
-    codes = dimension.select(F.col(dimension_code).cast("string").alias("__has_code")).distinct()
-    names = dimension.select(F.col(dimension_name).alias("__has_name")).distinct()
 
+    def folded(key: str, name: str) -> DataFrame:
+        known = entries.filter(F.col(f"entry.{key}").isNotNull())
+        return known.groupBy(F.col(f"entry.{key}").alias(f"{name}_key")).agg(F.collect_list("entry").alias(name))
+
+    by_code, by_name = folded("__dim_code", "__by_code"), folded("__dim_name", "__by_name")
     rows = df.withColumns({"__code": code.cast("string"), "__name": name})
-    rows = rows.join(codes, F.col("__code") == F.col("__has_code"), "left")
-    rows = rows.join(names, F.col("__name") == F.col("__has_name"), "left")
-    by_code = F.when(
-        F.col("__has_code").isNotNull(),
-        F.array(F.struct(F.lit("C").alias("probe_kind"), F.col("__code").alias("probe_key"))),
-    ).otherwise(F.array())
-    by_name = F.when(
-        F.col("__has_name").isNotNull(),
-        F.array(F.struct(F.lit("N").alias("probe_kind"), F.col("__name").alias("probe_key"))),
-    ).otherwise(F.array())
-    probes = rows.withColumn("__probe", F.explode_outer(F.concat(by_code, by_name)))
-    matched = probes.join(
-        keyed,
-        (F.col("__probe.probe_kind") == F.col("__kind")) & (F.col("__probe.probe_key") == F.col("__key")),
-        "left",
-    )
-    also_by_code = (F.col("__kind") == "N") & (F.col("__entry.__dim_code") == F.col("__code"))
-    kept = matched.filter(~F.coalesce(also_by_code, F.lit(False)))
-    return kept.select(*df.columns, *[F.col(f"__entry.{c}").alias(c) for c in payload])
+    rows = rows.join(by_code, F.col("__code") == F.col("__by_code_key"), "left")
+    rows = rows.join(by_name, F.col("__name") == F.col("__by_name_key"), "left")
+    other = F.filter("__by_name", lambda e: ~F.coalesce(e["__dim_code"] == F.col("__code"), F.lit(False)))
+    none = F.array().cast(by_code.schema["__by_code"].dataType)
+    found = rows.withColumn("__entry", F.explode_outer(F.concat(F.coalesce("__by_code", none), F.coalesce(other, none))))
+    return found.select(*df.columns, *[F.col(f"__entry.{c}").alias(c) for c in payload])
 
 
 def join_first_match(
