@@ -28,11 +28,11 @@ from vigia.llm.common import annotate
 
 #: Bytes that a task keeps of encodings of words and of pieces between spaces, and of pairs of tokens, about; each is emptied beyond,
 #: which changes no result, and both go with the task.
-WORD_BYTES, PAIR_BYTES = 24_000_000, 8_000_000
+WORD_BYTES, PAIR_BYTES = 40_000_000, 8_000_000
 #: What Python takes for an entry of either, besides the characters and bytes in it.
 WORD_ENTRY, PAIR_ENTRY = 190, 170
 #: Longer words are encoded and forgotten.
-CACHE_BYTES = 64
+CACHE_BYTES = 24
 #: Fixed value: how the byte-level pre-tokenizer cuts a text into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 

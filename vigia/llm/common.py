@@ -109,6 +109,8 @@ def annotate(df: DataFrame, text: str, make: Callable[[], Callable[[list[str | N
                         [*same, *(pa.array(made[n], type=t) for n, t in zip(fields, types, strict=True))], names=[*kept, *fields])
         finally:
             getattr(work, "done", lambda: None)()
+            # The worker lives on: what Arrow keeps for later goes back.
+            pa.default_memory_pool().release_unused()
 
     return rows.mapInArrow(run, schema)
 
