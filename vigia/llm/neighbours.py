@@ -28,8 +28,9 @@ PIVOT_ROWS = 2_000
 #: Rows and queries of a block.
 BLOCK_ROWS = 8_192
 BLOCK_QUERIES = 4_096
-#: Share of a block's rows that are reranked, the same for blocks of any size.
+#: Share of a block's rows that are reranked, the same for blocks of any size; a table of a few dozen rows is reranked whole.
 RERANKED = 0.2
+WHOLE = 40
 
 
 def usable(vector: Column) -> Column:
@@ -96,7 +97,7 @@ class Block:
             at = slice(self.first[pivot], self.first[pivot + 1])
             # Both lists miss a pivot at cost ``nearest - place`` each; meeting saves what exceeds the difference of places.
             gain[self.rows[at]] += 2 * (self.nearest - np.maximum(self.place[at], place))
-        wanted = min(len(gain), max(count + 1, int(np.ceil(share * len(gain)))))
+        wanted = min(len(gain), max(count + 1, WHOLE, int(np.ceil(share * len(gain)))))
         if wanted < len(gain):
             # Ties go to smaller ids, which stand first.
             order = np.lexsort((np.arange(len(gain)), -gain))[:wanted]
