@@ -28,7 +28,7 @@ from vigia.llm.common import annotate
 
 #: Bytes that a task keeps of encodings of words and of pieces between spaces, and of pairs of tokens, about; each is emptied beyond,
 #: which changes no result, and both go with the task.
-WORD_BYTES, PAIR_BYTES = 40_000_000, 8_000_000
+WORD_BYTES, PAIR_BYTES = 80_000_000, 8_000_000
 #: What Python takes for an entry of either, besides the characters and bytes in it.
 WORD_ENTRY, PAIR_ENTRY = 190, 170
 #: Longer words are encoded and forgotten.
