@@ -1,6 +1,7 @@
 import os
 import re
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 
 from tests.conftest import case_rows, raw_row, same_rows, table_rows, write_json_array
 from vigia.model import DIMENSION_SCHEMAS, RAW_CASE_SCHEMA
+from vigia.sources import landing
+from vigia.sources.files import read_head
 from vigia.sources.landing import audit, count_lines, land_snapshot, land_tables
 from vigia.sources.readers import (
     latest_snapshot,
@@ -191,6 +194,20 @@ def test_pages_beside_lines(spark, tmp_path):
     assert [r.a for r in read_latest(spark, str(tmp_path / "d"), schema).orderBy("a").collect()] == [1, 2, 3, 4, 5, 6, 7]
 
 
+def test_landed_lists_are_compressed_and_cut_by_records(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "FILE_RECORDS", 300)
+    rows = spark.range(1000).coalesce(1).select(F.col("id").alias("a"), F.lit("x" * 200).alias("b"))
+    folder = Path(land_snapshot(rows, str(tmp_path), "d", datetime(2024, 1, 1)))
+    files = sorted(folder.glob("part-*"))
+    assert len(files) == 4 and all(f.name.endswith(".json.gz") for f in files)
+    assert sum(f.stat().st_size for f in files) < 1000 * 200 / 5
+    read = read_latest(spark, str(tmp_path / "d"), T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())]))
+    assert table_rows(read, "a") == table_rows(rows, "a")
+    assert [r.registros for r in count_lines(spark, str(folder), header_lines=0).orderBy("registros").collect()] == [100, 300, 300, 300]
+    # What tells lines from pages is read from the contents, not from the compressed bytes.
+    assert read_head(spark, str(files[0]), 5) == b'{"a":'
+
+
 def test_values_that_do_not_fit_are_counted(spark, tmp_path):
     folder = complete(tmp_path / "d" / "snapshot=20240101_000000")
     (folder / "part-0.csv").write_text("Region,codigo_dane,extra,id_departamento,poblacion_2020\nR,05,x,5,many\nS,11,y,z,\nT,12,y,z,7\n")

@@ -80,10 +80,13 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 
 
 def read_head(spark: SparkSession, path: str, size: int = 4096) -> bytes:
-    """The first bytes of a file."""
+    """The first bytes of a file, those of its contents if its name tells that it is compressed."""
     store, hadoop = _store(spark, path)
+    codecs = spark.sparkContext._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark.sparkContext._jsc.hadoopConfiguration())
+    codec = codecs.getCodec(hadoop)
     stream = store.open(hadoop)
     try:
+        stream = codec.createInputStream(stream) if codec else stream
         bounded = spark.sparkContext._jvm.org.apache.commons.io.input.BoundedInputStream(stream, size)
         return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(bounded))
     finally:

@@ -9,11 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: A compressed file is read by one task, so none has more records.
+FILE_RECORDS = 500_000
+
+
 def land_snapshot(df: DataFrame, zone: str, dataset: str, at: datetime | None = None) -> str:
-    """Write the rows as JSON lines below ``<zone>/<dataset>/snapshot=<time>``; returns that folder."""
+    """Write the rows as JSON lines below ``<zone>/<dataset>/snapshot=<time>``; returns that folder.
+
+    Each line repeats the names of all fields, so the files are compressed, and cut by records, as a compressed file cannot be split.
+    """
     stamp = (at or datetime.now(timezone.utc)).strftime("%Y%m%d_%H%M%S")
     target = f"{zone.rstrip('/')}/{dataset}/snapshot={stamp}"
-    df.write.mode("errorifexists").json(target)
+    writer = df.write.mode("errorifexists").option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS)
+    writer.json(target)
     return target
 
 
