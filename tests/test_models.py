@@ -1,4 +1,5 @@
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tests.conftest import case_rows
@@ -116,3 +117,18 @@ def test_clusters_do_not_depend_on_partitions(cases):
 def test_too_few_groups_or_no_dimension(cases):
     assert models.cluster_departments(cases, Thresholds(cluster_cases=10**6)) is None
     assert models.cluster_departments(cases.drop("poblacion_departamento"), LOW) is None
+
+
+def test_forests_leave_nothing_per_tree_and_row_behind(spark, tmp_path):
+    rows = spark.range(400).select((F.col("id") % 7).cast("double").alias("x"), (F.col("id") % 2).cast("double").alias("label"))
+    rows = rows.select("label", array_to_vector(F.array("x")).alias("features"))
+    context = spark.sparkContext
+    before, interval = context.getCheckpointDir(), 2
+    context.setCheckpointDir(str(tmp_path / "c"))
+    try:
+        models._forest(20, 6, 1).setCheckpointInterval(interval).fit(rows)
+    finally:
+        if before:
+            context.setCheckpointDir(before)
+    assert not list((tmp_path / "c").rglob("part-*"))
+    assert not models._forest(20, 6, 1).getCacheNodeIds()
