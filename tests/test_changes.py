@@ -11,7 +11,8 @@ from tests.test_pipeline import raw_records
 from vigia.model import RAW_CASE_SCHEMA
 from vigia.operators.changes import snapshot_changes
 from vigia.plans.etl import clean_cases, derive_cases, enrich_cases
-from vigia.plans.pipeline import refresh_cases
+from vigia.plans import pipeline
+from vigia.plans.pipeline import cleaned_list, refresh_cases
 from vigia.sources.writers import write_cases
 
 SCHEMA = "k int, a string, b string"
@@ -80,3 +81,19 @@ def test_only_touched_months_are_written(spark, tmp_path, dimensions):
     assert not os.path.exists(f"{root}/anio_reporte=2021/mes_reporte=7")
     assert refresh_cases(spark, new, new, dimensions, root) == [] and files_of(root) - kept
     assert got.filter(F.col("id_caso") == "gone").isEmpty()
+
+
+def test_a_cleaned_list_is_not_cleaned_again(spark, tmp_path, dimensions, monkeypatch):
+    records = [r | {"fecha_reporte_web": f"2020-0{1 + k % 4}-05"} for k, r in enumerate(raw_records(120))]
+    old = spark.createDataFrame(records, RAW_CASE_SCHEMA)
+    new = old.withColumn("estado", F.when(F.col("id_de_caso") == "7", F.lit("Otro")).otherwise(F.col("estado")))
+    roots, before, found = [str(tmp_path / n) for n in ("raw", "clean")], cleaned_list(old), []
+    for root in roots:
+        write_cases(derive_cases(enrich_cases(before.drop("__period"), *dimensions.values())), root)
+    calls = []
+    monkeypatch.setattr(pipeline, "clean_cases", lambda *a: calls.append(1) or clean_cases(*a))
+    for root, given in zip(roots, (old, before), strict=True):
+        months = refresh_cases(spark, given, new, dimensions, root)
+        found.append((months, len(calls), table_rows(spark.read.parquet(root))))
+    assert found[0][0] == found[1][0] and len(found[0][0]) == 1 and found[0][2] == found[1][2]
+    assert (found[0][1], found[1][1]) == (2, 3)

@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tests.conftest import raw_row, table_rows
-from vigia.model import CASE_COLUMNS, RAW_CASE_SCHEMA, RAW_NAMES, Vocabulary
+from vigia.model import CASE_COLUMNS, DATE_FORMATS, RAW_CASE_SCHEMA, RAW_NAMES, Vocabulary
 from vigia.plans.etl import (
     canonical_columns,
     clean_cases,
@@ -106,3 +106,12 @@ def test_the_usable_duplicate_survives(spark):
     )
     kept = clean_cases(cases).select("id_caso", "codigo_departamento", "sexo").collect()
     assert [tuple(r) for r in kept] == [("7", "5", "F")]
+
+
+def test_the_date_parser_stands_once_in_the_plan(spark):
+    """Written out for each column it made a method too long to compile."""
+    raw = spark.createDataFrame([raw_row(id_de_caso="1", departamento="05", fecha_reporte_web="2020-03-06", fecha_muerte="07/03/2020")], RAW_CASE_SCHEMA)
+    cleaned = clean_cases(raw)
+    assert cleaned._jdf.queryExecution().optimizedPlan().toString().count("RLIKE") <= len(DATE_FORMATS)
+    row = cleaned.first()
+    assert (row.fecha_reporte, row.fecha_muerte, row.fecha_diagnostico) == (dt.date(2020, 3, 6), dt.date(2020, 3, 7), None)

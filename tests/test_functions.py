@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from vigia.functions.dates import _places, _shape, calendar_parts, parse_date, period_label, week_start
+from vigia.functions.dates import _exclusive, _places, _shape, calendar_parts, parse_date, period_label, week_start
 from vigia.functions.measures import (
     age_in_years,
     bucket_label,
@@ -145,3 +145,14 @@ def test_dates_by_places_equal_the_parser(spark):
     assert _places("d/M/yyyy H:mm:ss") is None and _places("yyyy-MM-dd yyyy") is None and _places("HH:mm:ss") is None
     plan = df.select(parse_date(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
     assert "timestamp" not in plan.lower()
+
+
+def test_patterns_no_text_fits_twice():
+    assert _exclusive(DATE_FORMATS) and _exclusive(["dd/MM/yyyy", "yyyy-MM-dd"])
+    assert not _exclusive(["dd/MM/yyyy", "MM/dd/yyyy"]) and not _exclusive(["yyyyMMdd", "ddMMyyyy"])
+
+
+def test_patterns_of_one_shape_are_tried_in_order(spark):
+    rows = spark.createDataFrame([("13/02/2020",), ("02/13/2020",), ("03/04/2020",), ("40/40/2020",), (None,)], "t string")
+    found = rows.select(parse_date(F.col("t"), ["dd/MM/yyyy", "MM/dd/yyyy"]).alias("d")).collect()
+    assert [r.d for r in found] == [dt.date(2020, 2, 13), dt.date(2020, 2, 13), dt.date(2020, 4, 3), None, None]

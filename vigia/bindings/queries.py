@@ -37,7 +37,7 @@ from vigia.operators.prefix import area_under_curve, mid_ranks
 from vigia.operators.report import pivot_counts, rollup, state_columns
 from vigia.operators.split import split_bucket
 from vigia.plans import etl, models, views
-from vigia.plans.pipeline import Settings, refresh_cases
+from vigia.plans.pipeline import Settings, cleaned_list, refresh_cases
 from vigia.plans.reports import SEX_RATIO, dataset, find_report
 from vigia.sources.landing import audit, count_lines, land_snapshot
 from vigia.sources.readers import read_cases, read_csv, read_json_lines, read_latest
@@ -457,8 +457,9 @@ def incremental_trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "trusted")
     dimensions = {"departamentos": star.departments(spark, sf_dir), "municipios": star.municipalities(spark, sf_dir),
                   "hospitales": star.hospitals(spark, sf_dir)}
-    older = _older_list(spark, sf_dir)
-    write_cases(etl.derive_cases(etl.enrich_cases(etl.clean_cases(older), **{
+    # Cleaned once, for the trusted cases and for the comparison.
+    older = cleaned_list(_older_list(spark, sf_dir))
+    write_cases(etl.derive_cases(etl.enrich_cases(older.drop("__period"), **{
         "departments": dimensions["departamentos"], "municipalities": dimensions["municipios"], "hospitals": dimensions["hospitales"],
         "aliases": {}, "substrings": {}}), VOCABULARY), root)
     refresh_cases(spark, older, raw_cases(spark, sf_dir), dimensions, root, Settings(vocabulary=VOCABULARY), {}, {})

@@ -211,11 +211,12 @@ def case_fact(
     stored = [c for c in wanted if c in _COLUMNS]
     tables = _tables(stored)
     fact = table(spark, sf_dir, "lineitem") if lines is None else lines
+    # Where neither is broadcast, the lines cross the network for their parts before they have the columns of orders and customers.
+    if "part" in tables:
+        fact = _with_part(spark, sf_dir, fact)
     if tables - {"part"}:
         orders = _order_side(spark, sf_dir, tables)
         fact = fact.join(orders, fact["l_orderkey"] == orders["o_orderkey"], "left")
-    if "part" in tables:
-        fact = _with_part(spark, sf_dir, fact)
     fact = fact.select(*[F.expr(_COLUMNS[c][1]).alias(c) for c in stored])
     return _with_derived(fact, wanted).select(*columns)
 
@@ -320,11 +321,11 @@ def raw_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
     def spelled(column: str) -> Column:
-        date = F.col(column)
+        day = F.col(column).cast("string")
         return (
-            F.when(F.col("id_caso") % 3 == 0, F.date_format(date, "yyyy-MM-dd HH:mm:ss"))
-            .when(F.col("id_caso") % 3 == 1, F.date_format(date, "yyyy-MM-dd"))
-            .otherwise(F.date_format(date, "dd/MM/yyyy"))
+            F.when(F.col("id_caso") % 3 == 0, F.concat(day, F.lit(" 00:00:00")))
+            .when(F.col("id_caso") % 3 == 1, day)
+            .otherwise(F.concat(F.substring(day, 9, 2), F.lit("/"), F.substring(day, 6, 2), F.lit("/"), F.substring(day, 1, 4)))
         )
 
     return fact.select(

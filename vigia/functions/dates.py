@@ -43,33 +43,59 @@ def _places(pattern: str) -> dict[str, int] | None:
     return found if {"yyyy", "MM", "dd"} <= set(found) else None
 
 
-def _from_places(text: Column, pattern: str, places: dict[str, int]) -> Column:
-    """Date of a text in which every part has its place, else NULL.
+def _tokens(pattern: str) -> list[tuple[bool, str]]:
+    """The parts of a pattern (True) and what stands between them (False)."""
+    return [(bool(t["letter"]), t[0] if t["letter"] else t["quoted"] if t["quoted"] is not None else t["other"]) for t in _TOKEN.finditer(pattern)]
 
-    A text of the right length is held against one expression, and its parts are cut out and cast, which is a fraction of
+
+def _cells(pattern: str) -> list[str | None]:
+    """What stands in each place of the texts of a pattern, ``None`` for a digit."""
+    return [None if letter else c for letter, part in _tokens(pattern) for c in part]
+
+
+def _exclusive(patterns: Sequence[str]) -> bool:
+    """Whether no text fits two of these patterns of fixed places: their lengths differ, or a place has a mark in one and not in the other."""
+    cells = [_cells(p) for p in patterns]
+    return all(len(a) != len(b) or any(x != y and not ((x or "0").isdigit() and (y or "0").isdigit()) for x, y in zip(a, b, strict=True))
+               for k, a in enumerate(cells) for b in cells[:k])
+
+
+def _day(text: Column, pattern: str, places: dict[str, int]) -> Column:
+    """The day, as ``yyyy-MM-dd``, of a text in which every part has its place, else NULL.
+
+    A text of the right length is held against one expression, and its parts are cut out, which is a fraction of
     what a parser costs that goes by a pattern.
     """
-    tokens = [(t["letter"], t[0] if t["letter"] else t["quoted"] if t["quoted"] is not None else t["other"]) for t in _TOKEN.finditer(pattern)]
+    tokens = _tokens(pattern)
     exact = r"\A" + "".join(_DIGITS[part] if letter else re.escape(part) for letter, part in tokens) + r"\z"
     size = sum(len(part) for _, part in tokens)
     if pattern[places["yyyy"] - 1:].startswith("yyyy-MM-dd"):
-        day = F.substring(text, places["yyyy"], 10)
+        day = text if size == 10 else F.substring(text, places["yyyy"], 10)
     else:
         day = F.concat_ws("-", *(F.substring(text, places[name], len(name)) for name in ("yyyy", "MM", "dd")))
-    return F.when((F.length(text) == size) & text.rlike(exact), day.try_cast("date"))
+    return F.when((F.length(text) == size) & text.rlike(exact), day)
 
 
 def parse_date(value: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """Date by the first pattern that reads the value, else NULL.
 
     Patterns whose parts have fixed places are read by these places, without an exception for a text that is none.  Others go through Spark's parser, and only for values of their shape.
+    Where no text fits two patterns in a row, the day is cut out by the one that it fits and cast once: the expression of a row of many
+    dates has to stay short enough for the JVM to compile.
     """
     text = value.cast("string")
-    return F.coalesce(*[
-        _from_places(text, f, places) if (places := _places(f)) else
-        F.when(text.rlike(_shape(f)), F.try_to_timestamp(text, F.lit(f))).cast("date")
-        for f in formats
-    ])
+    found: list[Column] = []
+    rest = list(formats)
+    while rest:
+        fixed = []
+        while rest and _places(rest[0]) and _exclusive([*fixed, rest[0]]):
+            fixed.append(rest.pop(0))
+        if fixed:
+            found.append(F.coalesce(*[_day(text, f, _places(f)) for f in fixed]).try_cast("date"))
+        else:
+            other = rest.pop(0)
+            found.append(F.when(text.rlike(_shape(other)), F.try_to_timestamp(text, F.lit(other))).cast("date"))
+    return F.coalesce(*found)
 
 
 def calendar_parts(date: Column, prefix: str = "", suffix: str = "") -> dict[str, Column]:

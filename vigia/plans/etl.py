@@ -40,11 +40,17 @@ def canonical_columns(raw: DataFrame) -> DataFrame:
 
 
 def parse_columns(df: DataFrame, date_formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
-    """Dates as dates, age in years beside the age as given."""
-    return df.withColumns({
-        **{c: parse_date(F.col(c), date_formats) for c in DATE_COLUMNS},
+    """Dates as dates, age in years beside the age as given.
+
+    The parser stands once in the plan, for an array of all dates of a row.  Written out for each column, it and whatever makes
+    the rows become one method that is too long for the JVM to compile, and every row is interpreted.
+    """
+    texts = F.array(*[F.col(c).cast("string") for c in DATE_COLUMNS])
+    dates = df.withColumn("__dates", F.transform(texts, lambda text: parse_date(text, date_formats)))
+    return dates.withColumns({
+        **{c: F.get("__dates", F.lit(k)) for k, c in enumerate(DATE_COLUMNS)},
         "edad_anios": age_in_years(F.col("edad"), F.col("unidad_edad")),
-    })
+    }).drop("__dates")
 
 
 def clean_cases(

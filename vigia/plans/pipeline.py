@@ -159,6 +159,15 @@ def run_etl(spark: SparkSession, zones: Zones, settings: Settings = Settings(),
     return audit
 
 
+def cleaned_list(raw: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The cleaned cases of a raw list with their report month as ``__period``, written to the scratch folder and read back."""
+    path = scratch_path(raw.sparkSession, "clean")
+    cases = clean_cases(raw, settings.date_formats)
+    period = F.struct(F.year("fecha_reporte").alias("anio"), F.month("fecha_reporte").alias("mes"))
+    cases.withColumn("__period", period).write.parquet(path)
+    return raw.sparkSession.read.parquet(path)
+
+
 def refresh_cases(spark: SparkSession, old: DataFrame, new: DataFrame, dimensions: Mapping[str, DataFrame | None], root: str,
                   settings: Settings = Settings(), aliases: Mapping[str, str] = DEPARTMENT_ALIASES,
                   substrings: Mapping[str, str] = DEPARTMENT_SUBSTRINGS) -> list[tuple[int | None, int | None]]:
@@ -167,16 +176,9 @@ def refresh_cases(spark: SparkSession, old: DataFrame, new: DataFrame, dimension
     Both lists are cleaned, and the ids whose row is new, changed or gone tell which report months are touched, before or
     now.  Only these months are enriched, derived and written, each in place of what it was; a month without cases any more goes.
     The result is that of a whole run over ``new``, given that the dimensions are the same.  Returns the (year, month) pairs touched,
-    NULL for cases without a report date.
+    NULL for cases without a report date.  ``old`` may be the ``cleaned_list`` that the trusted cases were made of; it is not cleaned again.
     """
-    def cleaned(raw: DataFrame) -> DataFrame:
-        path = scratch_path(spark, "clean")
-        cases = clean_cases(raw, settings.date_formats)
-        period = F.struct(F.year("fecha_reporte").alias("anio"), F.month("fecha_reporte").alias("mes"))
-        cases.withColumn("__period", period).write.parquet(path)
-        return spark.read.parquet(path)
-
-    before, now = cleaned(old), cleaned(new)
+    before, now = old if "__period" in old.columns else cleaned_list(old, settings), cleaned_list(new, settings)
     found = snapshot_changes(before, now, ["id_caso"], carried=["__period"])
     # Months, not cases: the struct of a row that is not there is NULL, that of a row without date has NULLs inside.
     both = found.select(F.explode(F.array("__period_antes", "__period_ahora")).alias("period")).where("period IS NOT NULL").distinct()
