@@ -4,7 +4,8 @@ import re
 
 import pytest
 
-from tests.conftest import SMALL
+from tests.conftest import SMALL, same_rows, table_rows
+from vigia.bindings import queries, star
 from vigia.bindings.queries import DATASET_QUERIES, MODEL_QUERIES, PLAIN_QUERIES, QUERIES
 
 # Queries that run jobs or write before they return are left out.
@@ -78,3 +79,39 @@ def test_running_totals_need_no_single_partition(large, name):
     text = plan(large, name)
     assert "SinglePartition" not in text and "NestedLoop" not in text
     assert re.search(r"Exchange hashpartitioning\(__range", text)
+
+
+@pytest.fixture()
+def many_customers(spark):
+    """Plan as if the customers were so many that Spark's guess of the department dimension is beyond what it broadcasts."""
+    previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1MB")
+    yield spark
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
+
+
+def test_cases_are_not_shuffled_for_a_few_departments(many_customers, monkeypatch):
+    written = []
+
+    def write(df, root, **options):
+        written.append(df._jdf.queryExecution().executedPlan().toString())
+        return write_cases(df, root, **options)
+
+    write_cases = queries.write_cases
+    monkeypatch.setattr(queries, "write_cases", write)
+    counts = dict(table_rows(QUERIES["stage_counts"](many_customers, SMALL)))
+    assert counts["leidos"] >= counts["limpios"] > 0 and counts["enriquecidos"] >= counts["limpios"]
+    assert "SortMergeJoin" not in written[0] and written[0].count("BroadcastHashJoin") == 2
+
+
+def test_stored_departments_are_the_departments(spark, tmp_path):
+    folder = str(tmp_path)
+    rows = {
+        "nation": [(1, "A", 1), (2, None, 2), (None, "C", None), (1, "A", 1), (30, "D", 9)],
+        "region": [(1, "R"), (2, None)],
+        "customer": [(1, "x", 1, 0.0, "s"), (2, "y", 1, 0.0, "s"), (3, "z", None, 0.0, "s")],
+    }
+    for name, data in rows.items():
+        spark.createDataFrame(data, star.TABLES[name]).write.parquet(f"{folder}/{name}.parquet")
+    stored, plain = star.stored_departments(spark, folder), star.departments(spark, folder)
+    assert stored.dtypes == plain.dtypes and stored.count() == 5 and same_rows(stored, plain)

@@ -11,7 +11,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tests.conftest import case_rows, raw_row, same_rows, table_rows, write_json_array
-from vigia.model import DIMENSION_SCHEMAS, RAW_CASE_SCHEMA
+from vigia.model import DIMENSION_SCHEMAS, RAW_CASE_SCHEMA, Vocabulary
+from vigia.plans.etl import derived_columns
 from vigia.sources import landing
 from vigia.sources.files import read_head
 from vigia.sources.landing import audit, count_lines, land_snapshot, land_tables
@@ -25,7 +26,7 @@ from vigia.sources.readers import (
     unfitting_values,
 )
 from vigia.sources.scratch import scratch_path, scratch_root
-from vigia.sources.writers import flat_columns, publish, save_if_any, save_result, write_cases, write_csv
+from vigia.sources.writers import deal, flat_columns, publish, save_if_any, save_result, write_cases, write_csv
 
 
 def stamp(path, seconds):
@@ -277,3 +278,16 @@ def test_stale_results_go(spark, tmp_path):
     assert save_if_any(spark, spark.range(3), str(tmp_path), "r") == 3
     assert save_if_any(spark, spark.range(0), str(tmp_path), "r") is None
     assert not (tmp_path / "r.parquet").exists() and not (tmp_path / "r.csv").exists()
+
+
+def test_derived_columns_do_not_cross_the_network(spark, tmp_path):
+    columns = derived_columns(Vocabulary())
+    cases = case_rows(spark, 900)
+    plain = cases.drop(*columns)
+    dealt = deal(plain, ["anio_reporte", "mes_reporte"], columns)
+    below = dealt._jdf.queryExecution().optimizedPlan().toString().split("RebalancePartitions")[1]
+    assert "anio_reporte" in below and not any(c in below for c in set(columns) - {"anio_reporte", "mes_reporte"})
+    assert write_cases(plain, str(tmp_path / "a"), derived=columns) == write_cases(cases, str(tmp_path / "b")) == 900
+    one, other = read_cases(spark, str(tmp_path / "a")), read_cases(spark, str(tmp_path / "b"))
+    assert one.dtypes == other.dtypes and same_rows(one, other)
+    assert one.select(F.input_file_name()).distinct().count() == other.select(F.input_file_name()).distinct().count()

@@ -263,7 +263,7 @@ def _two_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _departments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.departments(spark, sf_dir).select(
+    return star.stored_departments(spark, sf_dir).select(
         "codigo_dane", F.col("nombre_departamento").alias("nombre_dim"), "id_departamento", "poblacion_2020", "region",
     )
 
@@ -281,7 +281,7 @@ def first_match_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
     cases = etl.enrich_cases(
         etl.clean_cases(raw_cases(spark, sf_dir)),
-        star.departments(spark, sf_dir), star.municipalities(spark, sf_dir), star.hospitals(spark, sf_dir),
+        star.stored_departments(spark, sf_dir), star.municipalities(spark, sf_dir), star.hospitals(spark, sf_dir),
         aliases={}, substrings={},
     )
     return etl.derive_cases(cases, VOCABULARY)
@@ -296,7 +296,7 @@ def enrich_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Enrichment without cleaning, department by code or else name."""
     fact = case_fact(spark, sf_dir, ["id_caso", "codigo_departamento", "nombre_departamento", "codigo_municipio"])
     df = etl.enrich_cases(
-        fact, star.departments(spark, sf_dir), star.municipalities(spark, sf_dir),
+        fact, star.stored_departments(spark, sf_dir), star.municipalities(spark, sf_dir),
         star.hospitals(spark, sf_dir), aliases={}, substrings={}, first_match=True,
     )
     return rounded(df)
@@ -455,13 +455,13 @@ def changed_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 def incremental_trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trusted cases of an older raw list, brought to the newer one by the months that differ."""
     root = scratch_path(spark, "trusted")
-    dimensions = {"departamentos": star.departments(spark, sf_dir), "municipios": star.municipalities(spark, sf_dir),
+    dimensions = {"departamentos": star.stored_departments(spark, sf_dir), "municipios": star.municipalities(spark, sf_dir),
                   "hospitales": star.hospitals(spark, sf_dir)}
     # Cleaned once, for the trusted cases and for the comparison.
     older = cleaned_list(_older_list(spark, sf_dir))
-    write_cases(etl.derive_cases(etl.enrich_cases(older.drop("__period"), **{
+    write_cases(etl.enrich_cases(older.drop("__period"), **{
         "departments": dimensions["departamentos"], "municipalities": dimensions["municipios"], "hospitals": dimensions["hospitales"],
-        "aliases": {}, "substrings": {}}), VOCABULARY), root)
+        "aliases": {}, "substrings": {}}), root, derived=etl.derived_columns(VOCABULARY))
     refresh_cases(spark, older, raw_cases(spark, sf_dir), dimensions, root, Settings(vocabulary=VOCABULARY), {}, {})
     return rounded(read_cases(spark, root))
 
@@ -549,11 +549,12 @@ def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = land_snapshot(raw_cases(spark, sf_dir), scratch_path(spark, "raw"), "api/casos")
     raw = read_json_lines(spark, landed, RAW_CASE_SCHEMA)
     clean_path = scratch_path(spark, "clean")
-    clean_rows = write_parquet(etl.clean_cases(raw), clean_path)
+    # Cases of a day beside each other: they are like each other, and cross the network in less when they are dealt by month.
+    clean_rows = write_parquet(etl.clean_cases(raw).sortWithinPartitions("fecha_reporte", "codigo_departamento"), clean_path)
     enriched = etl.with_department(
-        spark.read.parquet(clean_path), star.departments(spark, sf_dir), {}, {}
+        spark.read.parquet(clean_path), star.stored_departments(spark, sf_dir), {}, {}
     )
-    enriched_rows = write_cases(etl.derive_cases(enriched, VOCABULARY), scratch_path(spark, "trusted"))
+    enriched_rows = write_cases(enriched, scratch_path(spark, "trusted"), derived=etl.derived_columns(VOCABULARY))
     written = spark.createDataFrame(
         [("limpios", clean_rows), ("enriquecidos", enriched_rows)], "etapa string, registros bigint"
     )

@@ -18,6 +18,8 @@ from vigia.model import CASE_COLUMNS, Thresholds, Vocabulary
 from vigia.operators.lookup import lookup
 from vigia.operators.report import Report, mentions, required_columns, state_columns, with_states
 from vigia.plans.etl import derived_columns, hospital_capacity
+from vigia.sources.scratch import scratch_path
+from vigia.sources.writers import write_parquet
 
 VOCABULARY = Vocabulary(
     deceased=("R",),
@@ -120,6 +122,18 @@ def departments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_departments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The department dimension, written to the scratch folder and read back.
+
+    Spark guesses the size of what ``departments`` makes from that of all customers, and beyond some number of these it would shuffle the
+    cases, once by code and once by name, to join a few dozen rows.  Of a written table it knows the size.
+    """
+    path = scratch_path(spark, "departamentos")
+    df = departments(spark, sf_dir)
+    write_parquet(df, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def municipalities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Municipality dimension: customers; the code is the key with 5 digits, longer keys kept whole."""
     key = F.col("c_custkey").cast("string")

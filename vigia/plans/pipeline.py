@@ -31,7 +31,7 @@ from vigia.operators.changes import snapshot_changes
 from vigia.operators.lookup import coverage
 from vigia.operators.report import rollup
 from vigia.plans import models
-from vigia.plans.etl import clean_cases, derive_cases, enrich_cases
+from vigia.plans.etl import clean_cases, derived_columns, enrich_cases
 from vigia.plans.manifest import FOLDER, Manifest
 from vigia.plans.reports import (
     DATASETS,
@@ -148,7 +148,7 @@ def run_etl(spark: SparkSession, zones: Zones, settings: Settings = Settings(),
         dimensions["departamentos"], dimensions["municipios"], dimensions["hospitales"],
         first_match=settings.first_match,
     )
-    rows = write_cases(derive_cases(cases, settings.vocabulary), zones.cases)
+    rows = write_cases(cases, zones.cases, derived=derived_columns(settings.vocabulary))
     audit.add("etl", TRUSTED_CASES, rows)
     written = read_cases(spark, zones.cases)
     if "poblacion_departamento" in written.columns:
@@ -192,7 +192,7 @@ def refresh_cases(spark: SparkSession, old: DataFrame, new: DataFrame, dimension
     cases = enrich_cases(now.filter(wanted).drop("__period"), dimensions["departamentos"], dimensions["municipios"], dimensions["hospitales"],
                          aliases=aliases, substrings=substrings, first_match=settings.first_match)
     left = {(r["anio"], r["mes"]) for r in now.filter(wanted).select("__period.*").distinct().collect()}
-    write_cases(derive_cases(cases, settings.vocabulary), root, replace_only_present=True)
+    write_cases(cases, root, replace_only_present=True, derived=derived_columns(settings.vocabulary))
     for year, month in months:
         if (year, month) not in left:
             named = [f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in (("anio_reporte", year), ("mes_reporte", month))]

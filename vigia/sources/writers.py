@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from vigia.sources.files import entries, remove_path
@@ -28,8 +28,15 @@ WITHIN = ("codigo_departamento", "id_caso")
 BLOOM = ("id_caso",)
 
 
+def deal(df: DataFrame, by: Sequence[str], derived: Mapping[str, Column]) -> DataFrame:
+    """The rows brought together by the columns of ``by``, then the other ``derived`` columns added."""
+    keyed = df.withColumns({c: derived[c] for c in by if c in derived})
+    return keyed.hint("rebalance", *by).withColumns({c: e for c, e in derived.items() if c not in by})
+
+
 def write_cases(df: DataFrame, root: str, by: Sequence[str] = ("anio_reporte", "mes_reporte"),
-                replace_only_present: bool = False, options: Mapping[str, str] | None = None) -> int:
+                replace_only_present: bool = False, options: Mapping[str, str] | None = None,
+                derived: Mapping[str, Column] | None = None) -> int:
     """Parquet partitioned by report year and month; returns the rows of the whole dataset.
 
     REBALANCE brings the rows of a month together, so that a month does not end in one small file
@@ -38,12 +45,16 @@ def write_cases(df: DataFrame, root: str, by: Sequence[str] = ("anio_reporte", "
 
     Within a file rows are in the order of their department and id.  The statistics of its row groups then tell which of them
     hold a department at all, and their Bloom filters tell the same of an id: a reader skips the others.
+
+    ``derived`` columns follow from the others of their row.  All but those of ``by`` are added once the rows are dealt, so that
+    they do not cross the network.
     """
-    dealt = df.hint("rebalance", *by).sortWithinPartitions(*by, *[c for c in WITHIN if c in df.columns])
-    writer = dealt.write.mode("overwrite").options(**{f"parquet.bloom.filter.enabled#{c}": "true" for c in BLOOM if c in df.columns})
+    dealt = deal(df, by, derived or {})
+    rows = dealt.sortWithinPartitions(*by, *[c for c in WITHIN if c in dealt.columns])
+    writer = rows.write.mode("overwrite").options(**{f"parquet.bloom.filter.enabled#{c}": "true" for c in BLOOM if c in rows.columns})
     mode = "dynamic" if replace_only_present else "static"
     writer.options(**(options or {})).option("partitionOverwriteMode", mode).partitionBy(*by).parquet(root)
-    return df.sparkSession.read.schema(df.schema).parquet(root).count()
+    return df.sparkSession.read.schema(rows.schema).parquet(root).count()
 
 
 def flat_columns(df: DataFrame) -> list[str]:
