@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.storagelevel import StorageLevel
 
 from vigia.sources.files import remove_path
 from vigia.sources.scratch import scratch_path
@@ -17,6 +19,8 @@ from vigia.sources.scratch import scratch_path
 #: Texts are handed to numpy in slices of about this many characters, so that memory follows one
 #: slice and not one Arrow batch; a longer single text is a slice of its own.
 SLICE_CHARS = 4_000_000
+#: Narrow rows that one file of ``gathered`` holds, about.
+FILE_ROWS = 100_000
 
 _ARROW = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(),
           "boolean": pa.bool_(), "binary": pa.binary(), "array<float>": pa.list_(pa.float32()),
@@ -40,6 +44,19 @@ def stored(df: DataFrame, label: str, folders: list[str] | None = None) -> DataF
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def gathered(df: DataFrame, label: str, folders: list[str] | None = None) -> DataFrame:
+    """As ``stored``, in as many files as the rows need and not one for each partition of a shuffle: for narrow rows.
+
+    Each file that is made on a local file system starts a process for its permissions, and each costs a request elsewhere.
+    The rows are computed in all partitions, wait on the executors' disks until they are counted, and are let go when written.
+    """
+    df = df.persist(StorageLevel.DISK_ONLY)
+    try:
+        return stored(df.coalesce(max(1, ceil(df.count() / FILE_ROWS))), label, folders)
+    finally:
+        df.unpersist()
+
+
 def remove(spark: SparkSession, folders: list[str]) -> None:
     """Removes scratch folders that nobody reads any more."""
     while folders:

@@ -11,7 +11,7 @@ only the links of a spanning forest.  Linked classes are then merged by rounds o
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigia.llm.common import annotate, free_name, remove, stored
+from vigia.llm.common import annotate, free_name, gathered, remove, stored
 
 BITS = 64
 SHINGLE = 3
@@ -249,24 +249,24 @@ def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return pairs.unionByName(dense).where("a != b").distinct()
 
 
-def components(edges: DataFrame, label: str = "simhash") -> DataFrame:
+def components(edges: DataFrame, label: str = "simhash", keep: Callable[[DataFrame, str, list[str]], DataFrame] = stored) -> DataFrame:
     """(node, root) for the nodes of the undirected ``edges`` (a, b): the smallest node each can reach.
 
     Alternates two steps until nothing changes: larger neighbours of a node are hung on its smallest one, then smaller ones.  A
-    node's neighbours are never gathered, only their minimum is, so a hub is aggregated in tasks first.
+    node's neighbours are never gathered, only their minimum is, so a hub is aggregated in tasks first.  ``keep`` writes what a step has made.
     """
     spark, used = edges.sparkSession, []
-    edges = stored(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{label}-edges", used)
+    edges = keep(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{label}-edges", used)
     while True:
         read, used = used, []
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         star = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        star = stored(star.where("a != b").distinct(), f"{label}-star", read)
+        star = keep(star.where("a != b").distinct(), f"{label}-star", read)
         lower = star.groupBy("a").agg(F.min("b").alias("m"))
         hung = star.join(lower, "a")
         small = hung.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").unionByName(lower.select("a", F.col("m").alias("b")))
-        after = stored(small.distinct(), f"{label}-edges", used)
+        after = keep(small.distinct(), f"{label}-edges", used)
         remove(spark, read)
         # Done when every node hangs on a root: no root of one edge hangs on another node.
         if after.join(after.select(F.col("a").alias("b")), "b", "left_semi").isEmpty():
@@ -306,7 +306,7 @@ def keep_one(df: DataFrame, text: str = "text", id: str = "doc_id", distance: in
 def keep_smallest(df: DataFrame, found: DataFrame, id: str) -> DataFrame:
     """The rows of ``df`` whose id is that of its component in ``found`` (id, component), once each, and those with a NULL id."""
     flag = free_name(df, "component")
-    ids = stored(found.where("id = component").groupBy("id").agg(F.count(F.lit(1)).alias("n")), "simhash-kept")
+    ids = gathered(found.where("id = component").groupBy("id").agg(F.count(F.lit(1)).alias("n")), "simhash-kept")
     # Nearly all ids are kept, so their table grows with the input: the rows are dealt out by id at every size.
     kept = df.join(ids.select(F.col("id").alias(flag)).hint("shuffle_hash"), F.col(id) == F.col(flag), "left_semi")
     if not ids.where("n > 1").isEmpty():
