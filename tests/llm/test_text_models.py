@@ -328,3 +328,23 @@ def test_a_licence_behind_a_wording_on_one_line():
     for text in (f"{line} Released under GPLv3.", f"{line}\nReleased under GPLv3.", f"Released under GPLv3. {line}"):
         found = {name for name, *_ in tool.scan(text)}
         assert "MIT" in found and any(name.startswith("GPL-3") for name in found) and len(found) == 2
+
+
+def test_language_fit_unpacks_few_rows_at_a_time(monkeypatch):
+    """The driver holds the packed presence of all learned texts, never all of it as numbers."""
+    import tracemalloc
+
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    rows = [("en" if k % 2 else "es", k, np.packbits(rng.random(langid.WIDTH) < (0.02 if k % 2 else 0.04)).tobytes()) for k in range(1200)]
+    table = pd.DataFrame(rows, columns=["label", "place", "bits"]).sort_values(["label", "place"], ignore_index=True)
+    monkeypatch.setattr(langid, "_samples", lambda *_: table)
+    tracemalloc.start()
+    try:
+        model = langid.fit(None)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert model.languages == ("en", "es") and np.isfinite(model.weights).all()
+    assert peak < langid.WIDTH * 1200 * 4

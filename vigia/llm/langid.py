@@ -32,6 +32,8 @@ FIT_PER_LANGUAGE = 600
 FIT_IN_ALL = 3000
 LANDMARKS_PER_LANGUAGE = 32
 LANDMARKS_IN_ALL = 2048
+#: Presence rows of learned texts unpacked at a time.
+FIT_ROWS = 480
 RIDGE = 0.1
 #: Characters marked at a time.
 PIECE = 1 << 20
@@ -157,6 +159,13 @@ def _samples(df: DataFrame, text: str, label: str, order: str) -> pd.DataFrame:
     return rows.sort_values(["label", "place", "bits"], ignore_index=True)
 
 
+def _unpacked(packed: np.ndarray) -> np.ndarray:
+    """Presence rows of length one."""
+    present = np.unpackbits(packed, axis=1)[:, :WIDTH].astype(np.float32)
+    present /= np.sqrt(np.maximum(present.sum(axis=1), 1.0))[:, None]
+    return present
+
+
 def fit(df: DataFrame, text: str = "text", label: str = "lang", order: str = "doc_id") -> Model | None:
     """The model of the labelled rows of ``df``; None without any.
 
@@ -167,16 +176,16 @@ def fit(df: DataFrame, text: str = "text", label: str = "lang", order: str = "do
     if rows.empty:
         return None
     languages = tuple(sorted(rows["label"].unique()))
-    present = np.unpackbits(np.stack([np.frombuffer(b, dtype=np.uint8) for b in rows["bits"]]), axis=1)[:, :WIDTH].astype(np.float32)
-    own = np.sqrt(np.maximum(present.sum(axis=1), 1.0))
-    present /= own[:, None]
+    packed = np.stack([np.frombuffer(b, dtype=np.uint8) for b in rows["bits"]])
     place = rows.groupby("label").cumcount().to_numpy()
-    marks = present[place < max(1, min(LANDMARKS_PER_LANGUAGE, LANDMARKS_IN_ALL // len(languages)))]
+    marks = _unpacked(packed[place < max(1, min(LANDMARKS_PER_LANGUAGE, LANDMARKS_IN_ALL // len(languages)))])
     # Nyström: the landmark kernel's inverse square root maps kernel rows to features.
     values, vectors = np.linalg.eigh((marks @ marks.T).astype(np.float64))
     good = values > 1e-6 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])
-    features = (present @ marks.T).astype(np.float64) @ root
+    # Only so many rows are unpacked at a time: whole, they are the largest table of the driver.
+    kernel = np.concatenate([_unpacked(packed[k:k + FIT_ROWS]) @ marks.T for k in range(0, len(packed), FIT_ROWS)])
+    features = kernel.astype(np.float64) @ root
     targets = np.stack([np.where(rows["label"].to_numpy() == lang, 1.0, -1.0) for lang in languages], axis=1)
     # Each language weighs the same, however many texts it has.
     counts = rows["label"].value_counts()
