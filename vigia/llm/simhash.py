@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigia.llm.common import annotate, free_name, gathered, remove, stored
@@ -276,13 +276,8 @@ def components(edges: DataFrame, label: str = "simhash", keep: Callable[[DataFra
         edges = after
 
 
-def near_duplicates(df: DataFrame, text: str = "text", id: str = "doc_id", distance: int = DISTANCE, size: int = SHINGLE) -> DataFrame:
-    """(id, fp, component): fingerprint and smallest id of its component for every row of ``df``.
-
-    NULL, empty and blank texts have the fingerprint 0 and link like any other.  A repeated row is in the component of its
-    copies; a row with a NULL id gets a component too, that of its smallest id that is not NULL (NULL if none).  An empty
-    table gives no rows.  Other columns are not looked at.
-    """
+def _classed(df: DataFrame, text: str, id: str, distance: int, size: int) -> tuple[DataFrame, DataFrame]:
+    """Written rows (id, fp), and for each fingerprint its class ``root`` and the smallest id ``component`` of that."""
     keyed = df.select(F.col(id).alias("id"), F.col(text).alias("text"))
     rows = stored(fingerprints(keyed, "text", "fp", size).select("id", "fp"), "simhash-prints")
     # One row for each distinct fingerprint, however many copies it has.
@@ -291,29 +286,72 @@ def near_duplicates(df: DataFrame, text: str = "text", id: str = "doc_id", dista
     joined = prints.join(roots, prints["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = joined.groupBy("root").agg(F.min("least").alias("component"))
-    named = stored(joined.join(smallest, "root").select("fp", "component"), "simhash-named")
+    return rows, joined.join(smallest, "root").select("fp", "root", "component")
+
+
+def near_duplicates(df: DataFrame, text: str = "text", id: str = "doc_id", distance: int = DISTANCE, size: int = SHINGLE) -> DataFrame:
+    """(id, fp, component): fingerprint and smallest id of its component for every row of ``df``.
+
+    NULL, empty and blank texts have the fingerprint 0 and link like any other.  A repeated row is in the component of its
+    copies; a row with a NULL id gets a component too, that of its smallest id that is not NULL (NULL if none).  An empty
+    table gives no rows.  Other columns are not looked at.
+    """
+    rows, classes = _classed(df, text, id, distance, size)
+    named = stored(classes.select("fp", "component"), "simhash-named")
     return rows.join(named, "fp").select("id", "fp", "component")
 
 
 def keep_one(df: DataFrame, text: str = "text", id: str = "doc_id", distance: int = DISTANCE, size: int = SHINGLE) -> DataFrame:
     """The rows of ``df``, unchanged, with the smallest id of each component.
 
-    Of rows that repeat an id one stays.  Rows with a NULL id can't be told apart and all stay.
+    Rows that share an id are told apart by their texts.  Rows with a NULL id all stay.
     """
-    return keep_smallest(df, near_duplicates(df.where(F.col(id).isNotNull()), text, id, distance, size), id)
+    named = df.where(F.col(id).isNotNull())
+    rows, classes = _classed(named, text, id, distance, size)
+    found = rows.join(stored(classes, "simhash-named"), "fp").select("id", F.col("fp").alias("class"), "root", "component")
 
+    def mark(some: DataFrame, name: str) -> DataFrame:
+        return fingerprints(some, text, name, size)
 
-def keep_smallest(df: DataFrame, found: DataFrame, id: str) -> DataFrame:
-    """The rows of ``df`` whose id is that of its component in ``found`` (id, component), once each, and those with a NULL id."""
-    flag = free_name(df, "component")
-    ids = gathered(found.where("id = component").groupBy("id").agg(F.count(F.lit(1)).alias("n")), "simhash-kept")
-    # Nearly all ids are kept, so their table grows with the input: the rows are dealt out by id at every size.
-    kept = df.join(ids.select(F.col("id").alias(flag)).hint("shuffle_hash"), F.col(id) == F.col(flag), "left_semi")
-    if not ids.where("n > 1").isEmpty():
-        kept = kept.dropDuplicates([id])
+    kept = keep_smallest(named, found, shared_ids(rows), mark, text, id)
     return kept.unionByName(df.where(F.col(id).isNull()))
 
 
+def shared_ids(rows: DataFrame) -> DataFrame | None:
+    """The ids of ``rows`` (id, ...) that do not name one row: those of several rows, and NULL; None if there are none."""
+    counts = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    found = counts.where((F.col("n") > 1) | F.col("id").isNull()).select("id")
+    return None if found.isEmpty() else gathered(found, "simhash-shared")
+
+
+def keep_smallest(df: DataFrame, found: DataFrame, shared: DataFrame | None, mark: Callable[[DataFrame, str], DataFrame], text: str, id: str) -> DataFrame:
+    """One row of ``df`` for each component of ``found`` (id, class, root, component), which has all rows: that with the smallest id.
+
+    Components are told apart by their ``root``, since rows that share an id may be in several, each of them with that id as its smallest.  A
+    component without an id keeps a row too.  ``shared`` are the ids that do not name one row, if any; rows with these get their class by ``mark`` and are kept by id and class.
+    Of rows that share both, the first in the order of the text and the other columns stays.
+    """
+    flag, own = free_name(df, "component"), free_name(df, "class")
+    won = found.where(F.col("id").eqNullSafe(F.col("component"))).groupBy("root").agg(F.min("id").alias("id"), F.min("class").alias("class"))
+    won = gathered(won.select("id", "class"), "simhash-kept")
+    # Nearly all ids are kept, so their table grows with the input: the rows are dealt out by id at every size.
+    ids = won.select(F.col("id").alias(flag)).hint("shuffle_hash")
+    kept = df.join(ids, F.col(id) == F.col(flag), "left_semi")
+    if shared is None:
+        return kept
+    several = shared.select(F.col("id").alias(flag))
+    kept = kept.join(several, F.col(id) == F.col(flag), "left_anti").where(F.col(id).isNotNull())
+    marked = mark(df.join(several, F.col(id).eqNullSafe(F.col(flag)), "left_semi"), own)
+    # Maps have no order.
+    order = [F.col(text), *(F.col(f"`{c}`") for c, kind in df.dtypes if c not in (id, text) and "map<" not in kind and "variant" not in kind)]
+    place, wanted = free_name(marked, "place"), free_name(marked, "wanted")
+    # A copy is left out in its task already, so that the copies of one row do not meet in one.
+    first = marked.withColumn(place, F.row_number().over(Window.partitionBy(id, own).orderBy(*order))).where(F.col(place) == 1).drop(place)
+    picked = won.select(F.col("id").alias(flag), F.col("class").alias(wanted))
+    rest = first.join(picked, F.col(id).eqNullSafe(F.col(flag)) & (F.col(own) == F.col(wanted)), "left_semi")
+    return kept.unionByName(rest.drop(own))
+
+
 def as_hex(value: Column) -> Column:
     """16 lower-case hexadecimal digits of a long."""
     return F.lower(F.lpad(F.hex(value), 16, "0"))
