@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from tests.conftest import case_rows
 from vigia.model import Thresholds
+from vigia.operators.forest import drawn
+from vigia.operators.forest import grow as models_grow
 from vigia.plans import models
 
 LOW = Thresholds(cluster_cases=20)
@@ -132,3 +134,40 @@ def test_forests_leave_nothing_per_tree_and_row_behind(spark, tmp_path):
             context.setCheckpointDir(before)
     assert not list((tmp_path / "c").rglob("part-*"))
     assert not models._forest(20, 6, 1).getCacheNodeIds()
+
+
+def test_forests_over_merged_rows(spark, cases, monkeypatch):
+    rows = cases.unionByName(cases.withColumn("id_caso", F.concat("id_caso", F.lit("b")))).unionByName(cases.withColumn("id_caso", F.concat("id_caso", F.lit("c"))))
+    plain = models.mortality_model(rows, trees=20, depth=6)
+    monkeypatch.setattr(models, "MERGED_ROWS", 1000)
+    monkeypatch.setattr(models, "MERGED_SHARE", 1)
+    fitted = [models.mortality_model(r, trees=20, depth=6) for r in (rows, rows.repartition(5))]
+    forest = fitted[0].model.stages[-1]
+    assert forest.getNumTrees == 20 and forest.numClasses == 2 and max(t.depth for t in forest.trees) == 6
+    assert len({t.toDebugString for t in forest.trees}) > 15
+    found = [sorted(tuple(r) for r in f.predictions.collect()) for f in fitted]
+    assert found[0] == found[1] and len(found[0]) == plain.predictions.count()
+    assert all(abs(plain.metrics[m] - fitted[0].metrics[m]) < 0.05 for m in plain.metrics)
+    weights = [f.model.stages[-1].featureImportances.toArray() for f in (plain, fitted[0])]
+    assert abs(weights[0] - weights[1]).max() < 0.1
+    assert set(models.severity_model(rows, trees=4, depth=3).metrics) == {"accuracy", "f1", "precision", "recall"}
+
+
+def test_a_forest_visits_equal_rows_once(spark, cases, monkeypatch):
+    """Rows that a tree is given, not the cases."""
+    monkeypatch.setattr(models, "MERGED_ROWS", 1000)
+    monkeypatch.setattr(models, "MERGED_SHARE", 1)
+    seen = []
+    monkeypatch.setattr(models, "grow", lambda forest, rows, classes: seen.append((rows.count(), rows.agg(F.sum("n")).first()[0])) or models_grow(forest, rows, classes))
+    models.mortality_model(cases.unionByName(cases), trees=2, depth=2)
+    train = models.hash_split(models.mortality_labels(cases.unionByName(cases)), "id_caso")[0]
+    assert seen == [(train.select("sexo", "tipo_contagio", "ubicacion", "region", "edad_anios", "densidad_poblacional", "label").distinct().count(), train.count())]
+
+
+def test_draws_are_those_of_a_bootstrap(spark):
+    groups = spark.range(2000).select("id", (F.col("id") % 50 + 1).alias("n"))
+    draws = drawn(groups, ["id"], 8, 7).collect()
+    apart = [(r[f"draw{k}"] - r["n"]) / r["n"] ** 0.5 for r in draws for k in range(8)]
+    mean = sum(apart) / len(apart)
+    assert abs(mean) < 0.03 and abs(sum(a * a for a in apart) / len(apart) - 1) < 0.05
+    assert {tuple(r) for r in drawn(groups.repartition(3), ["id"], 8, 7).collect()} == {tuple(r) for r in draws}

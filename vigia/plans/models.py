@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from vigia.functions.dates import days_between
 from vigia.model import CASE_COLUMNS, Thresholds, Vocabulary
+from vigia.operators.forest import drawn, grow, merged
 from vigia.operators.prefix import area_under_curve
 from vigia.operators.report import Report, run_report
 from vigia.operators.split import hash_split
@@ -42,6 +43,8 @@ MORTALITY_TREES, MORTALITY_DEPTH = 100, 10
 SEVERITY_TREES, SEVERITY_DEPTH = 100, 8
 HOSPITAL_ITERATIONS = 100
 DEPARTMENT_CLUSTERS, GROUP_CLUSTERS = 4, 3
+# From so many training rows on, and if so many of them are equal on average, a forest is grown on merged rows.
+MERGED_ROWS, MERGED_SHARE = 1_000_000, 4
 # Centres and means that differ by less are the same.
 CLOSE = 1e-6
 COMPLETE = ("edad_anios", "sexo", "nombre_departamento", "tipo_contagio")
@@ -200,6 +203,22 @@ def _evaluate(rows: DataFrame, metrics: Mapping[str, str]) -> dict[str, float]:
     return {name: found[metric] for name, metric in metrics.items()}
 
 
+def _merged(rows: DataFrame, columns: Sequence[str]) -> DataFrame | None:
+    """The different ones of ``rows`` with their numbers, written; None if there are few rows or few that are equal."""
+    total = rows.count()
+    if total < MERGED_ROWS:
+        return None
+    groups = _stored(merged(rows, columns), "groups")
+    return groups if groups.count() * MERGED_SHARE <= total else None
+
+
+def _with_forest(model: PipelineModel, forest: RandomForestClassifier, groups: DataFrame, columns: Sequence[str]) -> PipelineModel:
+    """``model`` and a forest over all rows that ``groups`` stands for."""
+    classes = int(groups.agg(F.max("label")).first()[0]) + 1
+    rows = drawn(model.transform(groups), columns, forest.getNumTrees(), forest.getSeed())
+    return PipelineModel(stages=[*model.stages, grow(forest, rows, classes)])
+
+
 def _classify(
     df: DataFrame,
     categories: Sequence[str],
@@ -219,7 +238,10 @@ def _classify(
         for stage in last:
             if isinstance(stage, RandomForestClassifier):
                 stage.setMaxBins(bins)
-        model = Pipeline(stages=[index, *last]).fit(rows)
+        groups = _merged(rows, [*categories, *numbers, "label"]) if isinstance(last[-1], RandomForestClassifier) else None
+        model = Pipeline(stages=[index, *last] if groups is None else [index, *last[:-1]]).fit(rows)
+    if groups is not None:
+        model = _with_forest(model, last[-1], groups, [*categories, *numbers, "label"])
     score = F.coalesce(F.get(vector_to_array("probability"), F.lit(1)), F.lit(0.0)).alias("score")
     predictions = model.transform(test).select(*output, "label", "prediction", score)
     # The assembler leaves out cases without all numbers: they are part of the result, undecided.
